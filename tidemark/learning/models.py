@@ -19,12 +19,10 @@ SEED = 42
 
 
 def _indexers(categories: Mapping[str, Sequence[str]]) -> list:
-    if not categories:
-        return []
-    cols = list(categories)
-    return [StringIndexerModel.from_arrays_of_labels(
-        [list(categories[c]) for c in cols], inputCols=cols,
-        outputCols=[f"{c}__code" for c in cols], handleInvalid="keep")]
+    # one model per column: the multi-column constructor pads lists of unequal length with nulls
+    return [StringIndexerModel.from_labels(list(labels), inputCol=c, outputCol=f"{c}__code",
+                                           handleInvalid="keep")
+            for c, labels in categories.items()]
 
 
 def _imputed(numeric: Sequence[str]) -> list:
@@ -75,11 +73,11 @@ def baseline_pipeline(numeric: Sequence[str], categories: Mapping[str, Sequence[
         stages += [*_indexers(categories),
                    OneHotEncoder(inputCols=[f"{c}__code" for c in categories],
                                  outputCols=[f"{c}__hot" for c in categories],
-                                 dropLast=False, handleInvalid="keep")]
+                                 dropLast=False, handleInvalid="error")]
         parts += [f"{c}__hot" for c in categories]
     stages += [VectorAssembler(inputCols=parts, outputCol="features"),
                LogisticRegression(featuresCol="features", labelCol=target, weightCol="weight",
-                                  maxIter=1000, regParam=1.0 / max(weight_sum, 1.0),
+                                  maxIter=1000, tol=1e-4, regParam=1.0 / max(weight_sum, 1.0),
                                   elasticNetParam=0.0, standardization=False)]
     return Pipeline(stages=stages)
 

@@ -27,15 +27,17 @@ def unknown_periods(df: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
             .join(calendar.select(key), key, "left_anti"))
 
 
-def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """One row per key: the smallest by ``order`` and then by all other columns.
+def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (),
+                 keep: str = "first") -> DataFrame:
+    """One row per key: the first (or last) by ``order`` and then by all other columns.
 
     A minimum over structs combines on the map side, so a key with a huge number of copies
     sends one row per task instead of all of them to one task.
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)], *rest)
-    best = df.groupBy(*keys).agg(F.min(ranked).alias("_best"))
+    pick = {"first": F.min, "last": F.max}[keep]
+    best = df.groupBy(*keys).agg(pick(ranked).alias("_best"))
     return best.select(*[F.col(k) if k in keys else F.col(f"_best.{k}") for k in df.columns])
 
 

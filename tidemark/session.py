@@ -17,6 +17,7 @@ def local_session(app: str = "tidemark", cores: int | str = "*",
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -5,7 +5,7 @@ from tidemark.sources.json_arrays import (
     dataset_id, page_audit, read_json_array, read_pages, route_datasets)
 from tidemark.sources.publication import publish, read_published
 from tidemark.sources.reports import (
-    clean_export, export_audit, number_lines, read_report)
+    clean_export, export_audit, number_lines, read_report, split_lines)
 from tidemark.sources.tables import (
     ensure_database, existing_table, literal_rows, mirror, read_partitioned, register_table,
     sql_sample, with_gold_audit, with_silver_audit, write_gold, write_scores, write_silver)
@@ -15,6 +15,6 @@ __all__ = [
     "export_audit", "literal_rows", "load_latest", "mirror", "number_lines", "page_audit",
     "publish", "read_delimited", "read_json_array", "read_pages", "read_partitioned",
     "read_published", "read_report", "read_wide_csv", "register_table", "require_same_version",
-    "route_datasets", "run_stamp", "save_artifacts", "sql_sample", "with_file_key",
+    "route_datasets", "run_stamp", "save_artifacts", "split_lines", "sql_sample", "with_file_key",
     "with_gold_audit", "with_silver_audit", "write_gold", "write_scores", "write_silver",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,10 @@ def read_json_array(spark: SparkSession, path: str | Sequence[str],
     return reader.json(path)
 
 
-def dataset_id(path: "F.Column") -> "F.Column":
-    """``…/dataset_<id>.json``, ``…/<id>.json`` or ``…/<id>_part-0000001.json`` gives the id."""
-    return F.regexp_extract(path, r"(?:dataset_)?([^/]+?)(?:_part-\d+)?\.json$", 1)
+def dataset_id(path: Column) -> Column:
+    """``…/dataset_<id>.json``, ``…/<id>.json`` and ``…/<id>_part-0000001.json`` give the id, and
+    so does a folder of that name with Spark part files inside."""
+    return F.regexp_extract(path, r"(?:dataset_)?([^/]+?)(?:_part-\d+)?\.json(?:/part-[^/]+)?$", 1)
 
 
 def route_datasets(spark: SparkSession, path: str | Sequence[str],
@@ -38,12 +39,11 @@ def route_datasets(spark: SparkSession, path: str | Sequence[str],
                    tables: dict[str, str] = DATASET_TABLES) -> dict[str, DataFrame]:
     """One DataFrame per mapped dataset id; files with other ids are skipped.
 
-    ``schemas`` maps a table name to its declared schema. The file list is metadata only:
-    the ids come from the names, so no file outside the map is opened.
+    ``schemas`` maps a table name to its declared schema. Only file names are listed here: no
+    content is read, and no file outside the map is ever opened.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-               .option("recursiveFileLookup", True).load(path).select("path")
-               .withColumn("dataset", dataset_id(F.col("path")))
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+               .select("path").withColumn("dataset", dataset_id(F.col("path")))
                .filter(F.col("dataset").isin(list(tables))))
     files: dict[str, list[str]] = {}
     for row in listing.toLocalIterator():

@@ -53,7 +53,7 @@ def _describe_exports(lines: DataFrame, header_words: Sequence[str]) -> DataFram
         F.max("size").alias("size"),
         F.bool_and(F.is_valid_utf8(raw)).alias("utf8"),
         F.bool_or(raw.contains(REFUSAL_TEXT)).alias("refused"),
-        F.min(F.when(_header_hit(raw, header_words), F.struct("pos", raw.cast("binary"))))
+        F.min(F.when(_header_hit(raw, header_words), F.struct("pos", raw.cast("binary").alias("raw"))))
         .alias("header")), "heads")
     # the last label line in front of the header counts
     label_lines = lines.filter(raw.startswith(PERIOD_PREFIX)).select("file", "pos", "raw")
@@ -162,3 +162,8 @@ def read_report(spark: SparkSession, path: str | Sequence[str], header_row: int
     body = (lines.join(heads, "file").filter(F.col("pos") > F.col("header_pos"))
             .select("header", F.regexp_replace("raw", r"\r$", "").alias("line")))
     return _parse_layouts(body, "header", layouts, sep, names=_report_cells).dropna("all").fillna("")
+
+
+def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, line_no, line`` of text values, numbered from 0."""
+    return df.select(key, F.posexplode(F.split(F.col(text), "\r?\n")).alias("line_no", "line"))
