@@ -17,6 +17,7 @@ from tidemark.plans.fixed import (
     PUBLISHED_NAMES, STRATUM_HIGH, STRATUM_LOW, WHOLE_NUMBER_KPIS)
 from tidemark.session import settle
 from tidemark.sources.publication import publish
+from tidemark.sources.tables import literal_rows
 
 
 def named(df: DataFrame) -> DataFrame:
@@ -78,9 +79,9 @@ def publish_dashboard(spark: SparkSession, semester: DataFrame, out: str, run_id
         extra["riesgo_alto"] = risk.agg(F.coalesce(F.sum("n_high"), F.lit(0))).scalar()
     if metrics is not None:
         documents["metricas_modelo.json"] = model_card(metrics)
-        importances = spark.createDataFrame(
-            [(r["feature"], r["importance_mean"], r["importance_std"])
-             for r in metrics["permutation_importance"]],
+        importances = literal_rows(
+            spark, [(r["feature"], r["importance_mean"], r["importance_std"])
+                    for r in metrics["permutation_importance"]],
             "feature string, importance_mean double, importance_std double")
         tables["importancia_variables.csv"] = ranking(importances, "importance_mean", "feature")
         extra["f1_modelo"] = F.lit(round(metrics["test"]["f1"], 3))

@@ -11,6 +11,7 @@ from tidemark.operators.evaluation import (
     cv_summary, evaluate, goal_met, group_error_rates, pr_curve, pr_points, score_counts,
     tune_threshold)
 from tidemark.queries.registry import SQL_PANEL, orders_panel, query, table
+from tidemark.session import settle
 
 # Labelled panel rows with a score that leans on the history, 0.000-0.999.
 SQL_SCORED = SQL_PANEL + """,
@@ -156,7 +157,7 @@ fm as (
 
 
 def _fold_metrics(spark, sf):
-    rows = labelled_scores(spark, sf)
+    rows = settle(labelled_scores(spark, sf), "scored")
     return fold_metrics(rows.join(group_folds(rows, "o_custkey", "y"), "o_custkey"), "y")
 
 
@@ -191,7 +192,7 @@ ids as (select o_custkey, row_number() over (order by
     count(*) over () as n from (select distinct o_custkey from lab))
 select o_custkey, t, k <= ceil(0.2 * n) as in_holdout from lab join ids using (o_custkey)""")
 def exact_holdout_query(spark, sf):
-    rows = labelled_scores(spark, sf).select("o_custkey", "t")
+    rows = settle(labelled_scores(spark, sf).select("o_custkey", "t"), "scored")
     return exact_holdout(rows, "o_custkey")
 
 

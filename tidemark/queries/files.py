@@ -33,6 +33,7 @@ def csv_roundtrip(spark, sf):
 
 
 PAGE_KEYS = 2_000  # order keys per page, which bounds a page file
+FILE_KEYS = 50_000  # keys per report or export file
 ORDER_SCHEMA = "o_orderkey string, o_custkey string, o_totalprice double"
 
 
@@ -99,15 +100,16 @@ def dataset_routing(spark, sf):
 
 
 def _write_exports(spark, sf, path):
-    """One portal export per month: preamble, label, header, rows. Odd months are Latin-1."""
-    orders = table(spark, sf, "orders").withColumn(
-        "m", (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate"))
+    """Portal exports by month and block of keys (which bounds a file): preamble, label, header,
+    rows. Odd months are Latin-1."""
+    orders = table(spark, sf, "orders").withColumns({
+        "m": (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate"),
+        "part": F.floor(F.col("o_orderkey") / FILE_KEYS)})
     person = F.when(F.col("o_custkey") % 2 == 0, "Niña").otherwise("Año;uno")
-    rows = orders.select("m", F.lit(4).alias("seq"), F.col("o_orderkey").alias("k"), F.concat(
+    rows = orders.select("m", "part", F.lit(4).alias("seq"), F.col("o_orderkey").alias("k"), F.concat(
         F.col("o_orderkey").cast("string"), F.lit(";"), (F.col("o_custkey") % 60).cast("string"),
         F.lit(';"'), person, F.lit('";'), "o_orderstatus").alias("line"))
-    months = orders.select("m").distinct()
-    head = months.select("m", F.inline(F.array(*[
+    head = orders.select("m", "part").distinct().select("m", "part", F.inline(F.array(*[
         F.struct(F.lit(i).alias("seq"), F.lit(0).cast("bigint").alias("k"), text.alias("line"))
         for i, text in enumerate([
             F.rpad(F.lit("Informe de matrícula; generado por el portal"), 300, "."),
@@ -118,9 +120,8 @@ def _write_exports(spark, sf, path):
     lines = head.unionByName(rows)
     encoded = F.when(F.col("m") % 2 == 1, F.encode("line", "ISO-8859-1").cast("string")).otherwise(
         F.col("line"))
-    # a month is one file, as on the portal
-    (lines.repartition("m").sortWithinPartitions("m", "seq", "k")
-     .select("m", encoded.alias("value")).write.partitionBy("m").text(path))
+    (lines.repartition("m", "part").sortWithinPartitions("m", "part", "seq", "k")
+     .select("m", "part", encoded.alias("value")).write.partitionBy("m", "part").text(path))
 
 
 SQL_MONTH = "cast((year(o_orderdate) - 1995) * 12 + month(o_orderdate) as varchar)"
@@ -134,7 +135,7 @@ select 'MES Ñ ' || {SQL_MONTH} as periodo, cast(o_orderkey as varchar) as "ID",
 def export_clean(spark, sf):
     path = fresh_path(spark, "exports")
     _write_exports(spark, sf, path)
-    return clean_export(spark, f"{path}/*/*.txt")
+    return clean_export(spark, f"{path}/*/*/*.txt")
 
 
 @query("export_audit", f"""
@@ -143,7 +144,8 @@ select distinct 'MES Ñ ' || {SQL_MONTH} as label, 'ok' as status,
 def export_audit_query(spark, sf):
     path = fresh_path(spark, "exports")
     _write_exports(spark, sf, path)
-    return export_audit(spark, f"{path}/*/*.txt").select("label", "status", "utf8")
+    return (export_audit(spark, f"{path}/*/*/*.txt").select("label", "status", "utf8")
+            .distinct())
 
 
 @query("report_read", """
@@ -152,22 +154,25 @@ select cast(event_id as varchar) as event_id, event_type,
 def report_read(spark, sf):
     """Daily reports: five lines before the header, some rows without any value."""
     path = fresh_path(spark, "report")
-    events = table(spark, sf, "events").withColumn("day", F.dayofmonth("ts"))
+    events = table(spark, sf, "events").withColumns({
+        "day": F.dayofmonth("ts"), "part": F.floor(F.col("event_id") / FILE_KEYS)})
     value = F.when(F.col("event_id") % 10 == 0, "").otherwise(F.col("value").cast("string"))
-    rows = events.select("day", F.lit(6).alias("seq"), F.col("event_id").alias("k"), F.concat(
+    rows = events.select("day", "part", F.lit(6).alias("seq"), F.col("event_id").alias("k"), F.concat(
         F.col("event_id").cast("string"), F.lit(";"), "event_type", F.lit(";"), value)
         .alias("line"))
     blank = events.filter(F.col("event_id") % 17 == 0).select(
-        "day", F.lit(6).alias("seq"), F.col("event_id").alias("k"), F.lit(";;").alias("line"))
-    head = events.select("day").distinct().select("day", F.inline(F.array(*[
+        "day", "part", F.lit(6).alias("seq"), F.col("event_id").alias("k"),
+        F.lit(";;").alias("line"))
+    head = events.select("day", "part").distinct().select("day", "part", F.inline(F.array(*[
         F.struct(F.lit(i).alias("seq"), F.lit(0).cast("bigint").alias("k"),
                  F.lit(text).alias("line"))
         for i, text in enumerate(["Ministerio", "", "Graduados", "Corte", "",
                                   "Event ID;Event Type;Valor"])])))
-    (head.unionByName(rows).unionByName(blank).repartition("day")
-     .sortWithinPartitions("day", "seq", "k").select("day", F.col("line").alias("value"))
-     .write.partitionBy("day").text(path))
-    return read_report(spark, f"{path}/*/*.txt", 5)
+    (head.unionByName(rows).unionByName(blank).repartition("day", "part")
+     .sortWithinPartitions("day", "part", "seq", "k")
+     .select("day", "part", F.col("line").alias("value"))
+     .write.partitionBy("day", "part").text(path))
+    return read_report(spark, f"{path}/*/*/*.txt", 5)
 
 
 YEARS = [str(y) for y in range(1995, 2002)]

@@ -141,7 +141,8 @@ risk as (
 
 
 def _risk(spark, sf):
-    scored = _scored(spark, sf)
+    scored = settle(_scored(spark, sf).select("o_custkey", "t", "band", "score", "label", "r_name",
+                                              "c_mktsegment"), "scored")
     return current_risk(scored.select("o_custkey", "t", "band", "score", "label"),
                         scored.select("o_custkey", "t", "r_name", "c_mktsegment"),
                         "o_custkey", "t", ["r_name", "c_mktsegment"], "label")

@@ -60,7 +60,6 @@ def read_pages(spark: SparkSession, path: str | Sequence[str],
 
 def page_audit(pages: DataFrame) -> DataFrame:
     """Records per dataset and page file."""
-    path = F.col("file_path")
-    return (pages.groupBy(dataset_id(path).alias("dataset"),
-                          F.regexp_extract(path, "([^/]+)$", 1).alias("page_file"))
+    return (pages.groupBy(dataset_id(F.col("file_path")).alias("dataset"),
+                          F.col("file_path").alias("page_file"))
             .agg(F.count("*").alias("n_records")))

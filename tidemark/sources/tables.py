@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.functions.names import normalize_columns
 
@@ -92,8 +95,15 @@ def register_table(spark: SparkSession, name: str, path: str,
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """A small inline dimension."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small inline dimension.
+
+    Sent as an Arrow table it becomes a local relation of known size, which Catalyst broadcasts;
+    a list of Python rows would be an RDD of unknown size, and the facts would be shuffled.
+    """
+    fields = StructType.fromDDL(schema)
+    columns = [list(c) for c in zip(*rows)] or [[] for _ in fields]
+    arrow = pa.table(columns, schema=to_arrow_schema(fields))
+    return spark.createDataFrame(arrow, fields)
 
 
 def sql_sample(spark: SparkSession, table: str, n: int, columns: str = "*") -> DataFrame:
