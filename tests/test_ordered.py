@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.operators.ordered import exact_quantiles, ranked, running_totals, value_counts_table
+from tidemark.operators.ordered import (
+    exact_quantiles, in_ranges, ranked, running_totals, value_counts_table)
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +59,14 @@ def test_exact_quantiles_equal_numpy(spark, limit):
         want = np.quantile(values[group == g], [.25, .5, .9])
         assert [got[g]["q1"], got[g]["q2"], got[g]["q9"]] == pytest.approx(list(want))
         assert got[g]["n_rows"] == (group == g).sum()
+
+
+def test_a_hot_value_is_spread_over_ranges(spark):
+    """Two thirds of the rows share one value: the second order column cuts them."""
+    data = [(1.0 if i < 800 else float(i), i) for i in range(1200)]
+    df = spark.createDataFrame(data, "v double, k int")
+    placed = in_ranges(df, [F.col("v"), F.col("k")], 12)
+    sizes = [r["count"] for r in placed.groupBy("_range").count().collect()]
+    assert sum(sizes) == 1200 and max(sizes) <= 400
+    out = ranked(df, ["v", "k"], "r", rows_per_range=100)
+    assert rows(out.select("k", "r"), "k") == [(i, i + 1) for i in range(1200)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
@@ -34,6 +35,7 @@ class TrainSettings:
     goal_f1: float = 0.80
     repeats: int = 5
     seed: int = 42
+    parallelism: int = 5
 
 
 @dataclass(frozen=True)
@@ -70,11 +72,15 @@ def out_of_fold_scores(frames: Frames, spec: FeatureSpec, settings: TrainSetting
     rows = settle(frames.train.join(folds, spec.entity), "foldrows")
     pipeline = tree_pipeline(frames.numeric, frames.categories, spec.target, "boosted",
                              settings.trees, settings.depth)
-    parts = []
-    for k in range(settings.folds):
+
+    def score_fold(k: int) -> DataFrame:
         model = fit_balanced(pipeline, rows.filter(F.col("fold") != k), spec.target)
-        parts.append(with_score(model, rows.filter(F.col("fold") == k))
-                     .select("fold", spec.target, "score"))
+        return (with_score(model, rows.filter(F.col("fold") == k))
+                .select("fold", spec.target, "score"))
+
+    # the fits submit their jobs side by side, as CrossValidator does
+    with ThreadPoolExecutor(max(1, settings.parallelism)) as pool:
+        parts = list(pool.map(score_fold, range(settings.folds)))
     return settle(union_all(parts), "oof")
 
 

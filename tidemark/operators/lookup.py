@@ -13,15 +13,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import band_by_cuts, to_double
+from tidemark.functions.text import canonical_place
 from tidemark.session import settle
 
 
-def code_table(df: DataFrame, place: Column, region: Column, code: Column) -> DataFrame:
-    """One code (the largest) per canonical (place, region)."""
-    return (df.select(place.alias("place"), region.alias("region"), code.alias("code"))
+def code_table(df: DataFrame, place: str, region: str, code: Column) -> DataFrame:
+    """One code (the largest) per canonical (place, region).
+
+    Spellings are folded as they are first, so the canonical form is worked out once per
+    distinct spelling and not once per row.
+    """
+    spelled = df.groupBy(F.col(place).alias("_place"), F.col(region).alias("_region")).agg(
+        F.max(code).alias("code"))
+    return (spelled.select(canonical_place(F.col("_place")).alias("place"),
+                           canonical_place(F.col("_region")).alias("region"), "code")
             .groupBy("place", "region").agg(F.max("code").alias("code")))
 
 
+def place_codes(df: DataFrame, place: str, region: str, codes: DataFrame,
+                names: Sequence[str] = ("place_norm", "region_norm"), out: str = "code") -> DataFrame:
+    """Settled lookup from the raw spelling of a place to its canonical names and code.
+
+    One row per distinct spelling in ``df`` (only the two columns are read); join it with
+    :func:`enrich_by_place`.
+    """
+    pairs = df.select(F.col(place).alias("_raw_place"), F.col(region).alias("_raw_region")).distinct()
+    named = pairs.withColumns({names[0]: canonical_place(F.col("_raw_place")),
+                               names[1]: canonical_place(F.col("_raw_region"))})
+    return settle(resolve_code(named, codes, names[0], names[1], out), "places")
+
+
+def enrich_by_place(facts: DataFrame, places: DataFrame, place: str, region: str) -> DataFrame:
+    """Left join of :func:`place_codes` on the raw spelling, missing parts included."""
+    on = (F.col(place).eqNullSafe(F.col("_raw_place"))
+          & F.col(region).eqNullSafe(F.col("_raw_region")))
+    return facts.join(places, on, "left").drop("_raw_place", "_raw_region")
+
+
 def unique_places(codes: DataFrame) -> DataFrame:
     """Places whose name has exactly one code in the whole country."""
     return (codes.groupBy("place").agg(F.countDistinct("code").alias("n_codes"),

@@ -1,9 +1,9 @@
 """Running totals, ranks and exact quantiles that do not funnel all rows through one task.
 
-A global ordered window would sort everything in one partition. Here the rows are cut into
-value ranges first, every range runs its own window, and the totals of the ranges before it
-are added. The ranges come from the data (quantile sketch), so no range holds much more than
-its share of the rows.
+A global ordered window would sort everything in one partition. Here the rows are range
+partitioned first, every range runs its own window, and the totals of the ranges before it are
+added. The ranges are cut on the whole order (groups, then all order columns), so neither a group
+nor a value that holds a third of the rows makes a range larger than the others.
 """
 
 from __future__ import annotations
@@ -11,14 +11,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import QuantileDiscretizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import settle
 
-ROWS_PER_RANGE = 500_000
-MAX_RANGES = 2_000
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 10_000
+
+
+def in_ranges(table: DataFrame, sort: Sequence[Column], ranges: int) -> DataFrame:
+    """Add ``_range``, numbers of sampled ranges of about equal size that follow ``sort``.
+
+    Settled, so that every reader sees the same ranges.
+    """
+    return settle(table.repartitionByRange(min(MAX_RANGES, ranges), *sort)
+                  .withColumn("_range", F.spark_partition_id()), "ranges")
 
 
 def running_totals(table: DataFrame, order: Sequence[str], sums: Mapping[str, str],
@@ -26,43 +34,32 @@ def running_totals(table: DataFrame, order: Sequence[str], sums: Mapping[str, st
                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add inclusive running sums ``{out: column}`` along ``order`` within ``groups``.
 
-    ``order`` must be a total order within a group and its first column numeric and not null.
-    ``table`` is read several times: pass a settled one.
+    ``order`` must be a total order within a group, without nulls. ``table`` is read twice: pass
+    a settled one.
     """
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    part = [F.col(g) for g in groups] or [F.lit(0)]
     rows = table.count()
     if rows <= rows_per_range:  # bounded, so one window per group is fine
-        part = [F.col(g) for g in groups] or [F.lit(0)]
         window = Window.partitionBy(*part).orderBy(*sort).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         return table.withColumns({out: F.sum(c).over(window) for out, c in sums.items()})
 
-    ranges = min(MAX_RANGES, -(-rows // rows_per_range) + 1)
-    cutter = QuantileDiscretizer(numBuckets=ranges, inputCol="_order", outputCol="_range",
-                                 relativeError=0.25 / ranges)
-    keyed = table.withColumn("_order", F.col(order[0]).cast("double"))
-    keyed = cutter.fit(keyed).transform(keyed).drop("_order")
+    placed = in_ranges(table, [*map(F.col, groups), *sort], -(-rows // rows_per_range))
     keys = [*groups, "_range"]
-
-    totals = keyed.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()])
-    # at most `ranges` rows per group
-    before = Window.partitionBy(*([F.col(g) for g in groups] or [F.lit(0)])).orderBy(
-        F.col("_range").desc() if descending else F.col("_range").asc()).rowsBetween(
+    totals = placed.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()])
+    # a group has at most `ranges` rows here, and all groups have fewer than ranges + groups
+    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0))
-                                     .alias(f"_o_{out}") for out in sums])
-    if groups:
-        offsets = offsets.withColumnsRenamed({g: f"_g_{g}" for g in groups})
-    offsets = offsets.withColumnRenamed("_range", "_range_o")
-
+    offsets = totals.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
+                            *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0))
+                              .alias(f"_before_{out}") for out in sums])
     inside = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = keyed.withColumns({out: F.sum(c).over(inside) for out, c in sums.items()})
-    matches = [F.col("_range") == F.col("_range_o")]
-    matches += [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-    joined = local.join(offsets, reduce(lambda a, b: a & b, matches))
-    return joined.select(*table.columns, *[(F.col(out) + F.col(f"_o_{out}")).alias(out)
-                                           for out in sums])
+    local = placed.withColumns({out: F.sum(c).over(inside) for out, c in sums.items()})
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys])
+    return local.join(offsets, same).select(
+        *table.columns, *[(F.col(out) + F.col(f"_before_{out}")).alias(out) for out in sums])
 
 
 def ranked(table: DataFrame, order: Sequence[str], out: str, groups: Sequence[str] = (),

@@ -82,20 +82,22 @@ def with_panel_columns(facts: DataFrame, entity: str, t: str, last: Column | Non
     """The columns of :func:`churn_panel` on every row of a fact that is already unique per
     (entity, period): one exchange on the entity, no separate panel and no join back.
 
-    Rows of an entity are bounded by the calendar, which also bounds the frames.
+    The distinct periods of the entity come from an unordered window, so the rows are not sorted
+    by ``t``, and whole-history windows on the entity share the same pass. Rows of an entity are
+    bounded by the calendar.
     """
     last = last_period(facts, t) if last is None else last
-    by_t = Window.partitionBy(entity).orderBy(t)
-    following = F.min(t).over(by_t.rangeBetween(1, Window.unboundedFollowing))
-    previous = F.max(t).over(by_t.rangeBetween(Window.unboundedPreceding, -1))
-    periods = F.dense_rank().over(by_t)
-    return (facts.withColumns({"next_t": following, "_previous": previous,
-                               "periods_so_far": periods.cast("bigint")})
+    periods = F.array_sort(F.collect_set(t).over(Window.partitionBy(entity)))
+    placed = facts.withColumn("_ts", periods)
+    placed = placed.withColumn("_i", F.array_position("_ts", F.col(t)).cast("int"))
+    previous = F.get("_ts", F.col("_i") - 2)
+    return (placed.withColumn("next_t", F.get("_ts", F.col("_i")))
             .withColumns({
                 "churned_next": _target(F.col(t), F.col("next_t"), last),
-                "gap_since_previous": F.col(t) - F.col("_previous"),
-                "is_first_period": F.when(F.col("_previous").isNull(), 1).otherwise(0)})
-            .drop("_previous"))
+                "periods_so_far": F.col("_i").cast("bigint"),
+                "gap_since_previous": F.col(t) - previous,
+                "is_first_period": F.when(previous.isNull(), 1).otherwise(0)})
+            .drop("_ts", "_i"))
 
 
 def with_entity_history(facts: DataFrame, entity: str, t: str) -> DataFrame:

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import canonical_place, pad_code
+from tidemark.functions.text import pad_code
 from tidemark.operators.lookup import (
-    band_column, code_table, enrich_by_code, latest_totals, quantile_cuts, rates_by_code,
-    resolve_code)
+    band_column, code_table, enrich_by_code, enrich_by_place, latest_totals, place_codes,
+    quantile_cuts, rates_by_code)
 from tidemark.operators.panel import (
     attach_calendar, dedup_by_key, pick_per_period, rank_of, with_panel_columns)
 from tidemark.plans.fixed import (
     CALENDAR, CALENDAR_SCHEMA, COHORT_PRIORITY, RESIDENTIAL, SEMESTER_COLUMNS)
 from tidemark.sources.tables import literal_rows, read_partitioned, write_gold
-from pyspark.sql import Window
 
 
 def municipality_codes(internet: DataFrame) -> DataFrame:
-    return code_table(internet, canonical_place(F.col("municipio")),
-                      canonical_place(F.col("departamento")), pad_code(F.col("cod_municipio")))
+    return code_table(internet, "municipio", "departamento", pad_code(F.col("cod_municipio")))
 
 
 def poverty_by_code(poverty: DataFrame) -> DataFrame:
@@ -63,11 +61,10 @@ def period_fact(students: DataFrame, calendar: DataFrame, codes: DataFrame, pove
         "primer_periodo": F.min("periodo_orden").over(whole),
         "ultimo_periodo": F.max("periodo_orden").over(whole)})
     span = F.col("ultimo_periodo") - F.col("primer_periodo") + 1
-    fact = fact.withColumns({
-        "tasa_permanencia": F.col("total_periodos_matriculados") / span,
-        "mpio_norm": canonical_place(F.col("municipio_residencia")),
-        "depto_norm": canonical_place(F.col("departamento_residencia"))})
-    fact = resolve_code(fact, codes, "mpio_norm", "depto_norm", "codigo_divipola")
+    fact = fact.withColumn("tasa_permanencia", F.col("total_periodos_matriculados") / span)
+    home = ("municipio_residencia", "departamento_residencia")
+    places = place_codes(students, *home, codes, ("mpio_norm", "depto_norm"), "codigo_divipola")
+    fact = enrich_by_place(fact, places, *home)
     fact = enrich_by_code(fact, poverty, "codigo_divipola")
     fact = enrich_by_code(fact, connectivity, "codigo_divipola")
     return band_column(fact, "total_accesos_res",

@@ -66,10 +66,11 @@ def poverty(spark, sf):
 
 def gold_fact(spark, sf):
     calendar = literal_rows(spark, CALENDAR, CALENDAR_SCHEMA)
+    net = internet(spark, sf)
     return period_fact(
-        students(spark, sf), calendar, settle(municipality_codes(internet(spark, sf)), "codes"),
+        students(spark, sf), calendar, settle(municipality_codes(net), "codes"),
         settle(poverty_by_code(poverty(spark, sf)), "poverty"),
-        settle(connectivity_by_code(internet(spark, sf)), "connectivity"), cut_error=1e-6)
+        settle(connectivity_by_code(net), "connectivity"), cut_error=1e-6)
 
 
 _VALUES = ", ".join(f"('{p}', {a}, '{s}', {o}, '{k}', {n})" for p, a, s, o, k, n in CALENDAR)

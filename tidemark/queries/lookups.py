@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import canonical_place, pad_code
 from tidemark.operators.lookup import (
-    band_column, code_table, coverage, enrich_by_code, latest_rows, latest_totals, quantile_cuts,
-    rates_by_code, resolve_code, unique_places)
+    band_column, code_table, coverage, enrich_by_code, enrich_by_place, latest_rows,
+    latest_totals, place_codes, quantile_cuts, rates_by_code, resolve_code, unique_places)
 from tidemark.queries.cleaning import SQL_CANONICAL
 from tidemark.queries.registry import query, table
 from tidemark.session import settle
@@ -47,20 +47,13 @@ def _codes(spark, sf):
     named = nations.select("n_name", "r_name", F.col("n_nationkey").cast("string").alias("raw"))
     capitals = nations.select(F.lit("Capital").alias("n_name"), "r_name",
                               (F.col("n_nationkey") + 100).cast("string").alias("raw"))
-    return code_table(named.unionByName(capitals), canonical_place(F.col("n_name")),
-                      canonical_place(F.col("r_name")), pad_code(F.col("raw")))
+    return code_table(named.unionByName(capitals), "n_name", "r_name", pad_code(F.col("raw")))
 
 
 def _noisy_customers(spark, sf):
-    place = (F.when(F.col("c_custkey") % 7 == 0, "Capital")
-             .when(F.col("c_custkey") % 3 == 0,
-                   F.concat(F.lower("n_name"), F.lit(" (D.C.)")))
-             .when(F.col("c_custkey") % 11 == 0, "nowhere").otherwise(F.col("n_name")))
-    region = F.when(F.col("c_custkey") % 5 == 0, "wrong").otherwise(F.col("r_name"))
-    return (table(spark, sf, "customer")
-            .join(_nations(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("c_custkey", canonical_place(place).alias("place"),
-                    canonical_place(region).alias("region")))
+    return _spelled_customers(spark, sf).select(
+        "c_custkey", canonical_place(F.col("raw_place")).alias("place"),
+        canonical_place(F.col("raw_region")).alias("region"))
 
 
 @query("code_table", f"with {SQL_CODES} select place, region, code from codes")
@@ -86,6 +79,27 @@ def code_resolve(spark, sf):
                         "place", "region")
 
 
+def _spelled_customers(spark, sf):
+    """As :func:`_noisy_customers`, with the raw spellings."""
+    place = (F.when(F.col("c_custkey") % 7 == 0, "Capital")
+             .when(F.col("c_custkey") % 3 == 0, F.concat(F.lower("n_name"), F.lit(" (D.C.)")))
+             .when(F.col("c_custkey") % 11 == 0, "nowhere").otherwise(F.col("n_name")))
+    region = F.when(F.col("c_custkey") % 5 == 0, "wrong").otherwise(F.col("r_name"))
+    return (table(spark, sf, "customer")
+            .join(_nations(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", place.alias("raw_place"), region.alias("raw_region")))
+
+
+@query("place_codes", f"with {SQL_RESOLVED} select c_custkey, place, region, code from resolved")
+def place_codes_query(spark, sf):
+    """The same answer as code_resolve, worked out once per distinct spelling."""
+    people = _spelled_customers(spark, sf)
+    places = place_codes(people, "raw_place", "raw_region", settle(_codes(spark, sf), "codes"),
+                         ("place", "region"))
+    return enrich_by_place(people, places, "raw_place", "raw_region").select(
+        "c_custkey", "place", "region", "code")
+
+
 @query("code_coverage", f"""with {SQL_RESOLVED}
 select count(*) as n_rows, count(code) as matched,
   round(avg(case when code is not null then 1.0 else 0.0 end), 9) as coverage from resolved""")

@@ -87,8 +87,8 @@ SQL_DEMOGRAPHICS = SQL_TIDY + sql_suppressed("tcells", "category", "dimension",
                                              ).replace(" select * from merged", "")
 
 
-def _demographics(spark, sf):
-    rows = customer_panel(spark, sf).withColumn(
+def _demographics(panel):
+    rows = panel.withColumn(
         "c_mktsegment", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")))
     return demographic_table(rows, ["c_mktsegment", "stratum", "r_name"], *ARGS)
 
@@ -96,7 +96,7 @@ def _demographics(spark, sf):
 @query("demographics_tidy",
        f"with {SQL_CUSTOMER_PANEL}, {SQL_DEMOGRAPHICS} {sql_rate('merged')}")
 def demographics_tidy(spark, sf):
-    return _demographics(spark, sf)
+    return _demographics(customer_panel(spark, sf))
 
 
 @query("region_context", f"""with {SQL_CUSTOMER_PANEL},
@@ -124,9 +124,9 @@ scored as (
          else 'bajo' end as band from cpanel)"""
 
 
-def _scored(spark, sf):
+def _scored(panel):
     score = ((F.col("o_custkey") * 37 + F.col("t") * 11) % 1024) / F.lit(1024.0)
-    return customer_panel(spark, sf).withColumns({
+    return panel.withColumns({
         "score": score, "label": F.concat(F.lit("H"), F.col("t").cast("string"))}).withColumn(
         "band", risk_band(F.col("score"), 0.7))
 
@@ -140,8 +140,8 @@ risk as (
   having count(distinct o_custkey) >= 10)"""
 
 
-def _risk(spark, sf):
-    scored = settle(_scored(spark, sf).select("o_custkey", "t", "band", "score", "label", "r_name",
+def _risk(panel):
+    scored = settle(_scored(panel).select("o_custkey", "t", "band", "score", "label", "r_name",
                                               "c_mktsegment"), "scored")
     return current_risk(scored.select("o_custkey", "t", "band", "score", "label"),
                         scored.select("o_custkey", "t", "r_name", "c_mktsegment"),
@@ -153,13 +153,13 @@ select *, case when n_high = 0 or n_high = n_entities then null
     else round_even(cast(n_high as double) / n_entities * 100.0 * 100.0, 0) / 100.0 end
     as high_pct, (n_high = 0 or n_high = n_entities) as low_confidence from risk""")
 def risk_by_group(spark, sf):
-    return _risk(spark, sf)
+    return _risk(customer_panel(spark, sf))
 
 
 @query("band_counts", f"""with {SQL_CUSTOMER_PANEL}, {SQL_SCORED}
 select band, count(*) as n from scored group by band""")
 def band_counts(spark, sf):
-    return _scored(spark, sf).groupBy("band").agg(F.count("*").alias("n"))
+    return _scored(customer_panel(spark, sf)).groupBy("band").agg(F.count("*").alias("n"))
 
 
 SQL_GAP = """
@@ -173,7 +173,7 @@ gap as (select round_even((
 
 @query("rate_gap", f"with {SQL_CUSTOMER_PANEL}, {SQL_DEMOGRAPHICS}, {SQL_GAP} select gap from gap")
 def rate_gap_query(spark, sf):
-    tidy = settle(_demographics(spark, sf), "tidy")
+    tidy = settle(_demographics(customer_panel(spark, sf)), "tidy")
     gap = rate_gap(tidy, "stratum", ["0.0", "1.0"], ["3.0", "4.0"])
     return tidy.agg(F.max(gap).alias("gap"))
 
@@ -188,8 +188,9 @@ union all select 'matricula_ultimo_semestre', cast(count(distinct o_custkey) as
 union all select 'brecha_estrato', gap from gap
 union all select 'riesgo_alto', cast(sum(n_high) as double) from risk""")
 def kpi_list(spark, sf):
-    trend = settle(period_trend(orders_panel(spark, sf), ["t"], *ARGS), "trend")
-    tidy = settle(_demographics(spark, sf), "tidy")
+    panel = settle(customer_panel(spark, sf), "panel")  # stored once, as the gold table is
+    trend = settle(period_trend(panel, ["t"], *ARGS), "trend")
+    tidy = settle(_demographics(panel), "tidy")
     gap = rate_gap(tidy, "stratum", ["0.0", "1.0"], ["3.0", "4.0"])
-    high = _risk(spark, sf).agg(F.sum("n_high")).scalar()
+    high = _risk(panel).agg(F.sum("n_high")).scalar()
     return kpi_rows(trend, "t", {"brecha_estrato": gap}, {"riesgo_alto": high})

@@ -43,8 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses.
+
+    All paths of an application share one sub-folder, which may be dropped when it has ended.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/tidemark-{app}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
