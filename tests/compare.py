@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -19,6 +20,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def connect(sf: str):
     con = duckdb.connect()
     for name in TABLES:
+        if not os.path.exists(f"{sf}/{name}.parquet"):
+            continue
         con.execute(f"create view {name} as select * from '{sf}/{name}.parquet'")
     return con
 

@@ -176,14 +176,20 @@ def train(df: DataFrame, spec: FeatureSpec, run_id: str,
                         "goal_met": holdout["f1"] >= settings.goal_f1
                         and holdout["precision"] >= settings.min_precision},
     }
-    schema = {
-        "run_id": run_id, "entity": spec.entity, "period": spec.period, "target": target,
+    schema = feature_schema(spec, frames.categories, run_id, spark.version)
+    return model, metrics, schema
+
+
+def feature_schema(spec: FeatureSpec, categories: dict[str, list[str]], run_id: str,
+                   spark_version: str) -> dict[str, Any]:
+    """The feature contract as a document, frozen at training and read back at scoring."""
+    return {
+        "run_id": run_id, "entity": spec.entity, "period": spec.period, "target": spec.target,
         "numeric_features": list(spec.numeric), "logs": dict(spec.logs),
-        "categorical_features": list(spec.categorical), "categories": frames.categories,
+        "categorical_features": list(spec.categorical), "categories": categories,
         "excluded_leakage": list(spec.barred), "unknown_category": UNKNOWN,
-        "other_category": OTHER, "spark_version": spark.version,
+        "other_category": OTHER, "spark_version": spark_version,
     }
-    return model, metrics, schema
 
 
 def spec_of(schema: dict[str, Any]) -> FeatureSpec:
@@ -199,7 +205,6 @@ def score_batch(df: DataFrame, model: PipelineModel, metrics: dict[str, Any],
     spec = spec_of(schema)
     frame = apply_categories(build_features(df, spec), schema["categories"])
     limit = float(metrics["threshold"]["threshold"])
-    # the raw attributes come back by position of the select, not by a join
     scored = with_score(model, frame, "score_riesgo")
     return scored.select(
         F.col(spec.entity).cast("string").alias("id"), *keep, "score_riesgo",

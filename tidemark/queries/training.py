@@ -1,4 +1,8 @@
-"""Model queries on the customer panel. Fitted models have no SQL form: rows only."""
+"""Model queries on the customer panel.
+
+Fitted models have no SQL form, so most of these are checked by their rows only; what surrounds
+the model (which rows are scored, by which fold, how bands follow from scores) does have one.
+"""
 
 from pyspark.sql import functions as F
 
@@ -6,11 +10,11 @@ from tidemark.learning.features import FeatureSpec
 from tidemark.learning.importance import permutation_importance
 from tidemark.learning.models import baseline_pipeline, fit_balanced, tree_pipeline, with_score
 from tidemark.learning.training import (
-    TrainSettings, fold_metrics, out_of_fold_scores, prepare, score_batch, train)
+    TrainSettings, feature_schema, fold_metrics, out_of_fold_scores, prepare, score_batch, train)
 from tidemark.operators.evaluation import evaluate, score_counts
-from tidemark.queries.registry import customer_panel, orders_t, query
+from tidemark.functions import half_even, risk_band
+from tidemark.queries.registry import SQL_PANEL, customer_panel, orders_t, query
 from tidemark.session import settle
-from tidemark.functions import half_even
 
 SPEC = FeatureSpec(
     entity="o_custkey", period="t", target="churned_next",
@@ -95,3 +99,44 @@ def train_and_score(spark, sf):
     scores = score_batch(rows, model, metrics, schema, "run-2", ["t"])
     return scores.select("id", "t", half_even(F.col("score_riesgo"), 9).alias("score_riesgo"),
                          "banda_riesgo", "threshold", "model_version")
+
+
+SQL_TRAIN_FOLDS = SQL_PANEL + """,
+lab as (
+  select o_custkey, t, churned_next as y from panel where churned_next is not null
+    and cast('0x' || substr(md5('42|' || cast(o_custkey as varchar)), 1, 8) as bigint)
+        >= cast(floor(0.2 * 4294967296) as bigint)),
+strata as (
+  select o_custkey, max(y) as stratum,
+    cast('0x' || substr(md5('42|' || cast(o_custkey as varchar)), 1, 13) as bigint) as h
+  from lab group by o_custkey),
+folds as (
+  select o_custkey, cast((row_number() over (partition by stratum
+    order by h, cast(o_custkey as varchar)) - 1) % 3 as integer) as fold from strata)"""
+
+
+@query("oof_coverage", f"""with {SQL_TRAIN_FOLDS}
+select fold, count(*) as n_val, round(avg(y), 9) as prevalence_val, true as valid
+from lab join folds using (o_custkey) group by fold""")
+def oof_coverage(spark, sf):
+    """Every training row has one out-of-fold score, from the model of its own fold."""
+    oof = out_of_fold_scores(_frames(spark, sf), SPEC, SETTINGS)
+    return oof.groupBy("fold").agg(
+        F.count("score").alias("n_val"), F.round(F.avg(SPEC.target), 9).alias("prevalence_val"),
+        F.bool_and(F.col("score").between(0, 1)).alias("valid"))
+
+
+@query("batch_scores", f"""with {SQL_PANEL}
+select cast(o_custkey as varchar) as id, t, 'run-1' as model_version, 0.5::double as threshold,
+  true as valid_score, true as band_follows from panel""")
+def batch_scores(spark, sf):
+    """Every period of every entity is scored once, the censored one included."""
+    rows = modelling_table(spark, sf)
+    frames = prepare(rows, SPEC, SETTINGS)
+    model = fit_balanced(_trees(frames), frames.train, SPEC.target)
+    schema = feature_schema(SPEC, frames.categories, "run-1", spark.version)
+    scores = score_batch(rows, model, {"threshold": {"threshold": 0.5}}, schema, "run-2", ["t"])
+    return scores.select(
+        "id", "t", "model_version", "threshold",
+        F.col("score_riesgo").between(0, 1).alias("valid_score"),
+        (F.col("banda_riesgo") == risk_band(F.col("score_riesgo"), 0.5)).alias("band_follows"))
