@@ -1,4 +1,4 @@
-"""The whole flow on a small lake, twice: first without a model, then with training."""
+"""The whole flow on a small lake, with training; then publication without a model."""
 
 import json
 import random
@@ -10,6 +10,7 @@ from tests.conftest import rows
 from tidemark.learning.training import TrainSettings
 from tidemark.plans.fixed import SEMESTER_COLUMNS
 from tidemark.plans.medallion import run_flow
+from tidemark.plans.publish import publish_dashboard
 from tidemark.sources import read_published
 
 PERIODS = {"1701": 1, "1702": 1, "1704": 2, "2031": 3, "2032": 3, "2034": 4}
@@ -37,6 +38,11 @@ def lake(tmp_path_factory):
         (raw / d).mkdir(parents=True)
     rnd = random.Random(8)
     lines = {p: [] for p in PERIODS}
+    (raw / "exports").mkdir()
+    (raw / "exports" / "estudiantes_periodo_2035.csv").write_bytes(
+        ("Informe de matrícula " + "." * 250 + "\nEstudiantes del periodo 2025 (x)\n\n"
+         + HEADER.removeprefix("periodo;") + "\n"
+         + person(900006, "").removeprefix("x ;") + "\n").encode("cp1252"))
     # 900001 in every semester, twice in the first; 900002 skips one; 900003 leaves; 900004 last
     for p in PERIODS:
         lines[p].append(person(900001, p))
@@ -83,20 +89,16 @@ def lake(tmp_path_factory):
     return root
 
 
-def run(spark, lake, **kw):
+@pytest.fixture(scope="module")
+def first(spark, lake):
     tag = uuid.uuid4().hex
-    return run_flow(spark, str(lake), SCHEMAS, f"silver_{tag}", f"gold_{tag}", **kw)
+    return run_flow(spark, str(lake), SCHEMAS, f"silver_{tag}", f"gold_{tag}", retrain=True,
+                    settings=TrainSettings(trees=3, depth=3, folds=2, repeats=1))
 
 
-def test_flow(spark, lake):
-    first = run(spark, lake)
+def test_gold(spark, first):
     assert first["mirrored"] == ["dim_gold_snies_graduados", "dim_gold_spadies_creditos",
                                  "dim_gold_gobierno_sisben", "dim_gold_gobierno_internet"]
-    assert first["manifest"]["files"] == sorted(f"data/{n}" for n in (
-        "desercion_por_semestre.csv", "desercion_por_escuela.csv", "desercion_por_programa.csv",
-        "desercion_demografia.csv", "mapa_departamento.csv", "kpis.json", "manifest.json"))
-    assert first["manifest"]["model_version"] is None
-
     fact = spark.read.parquet(first["gold"]["fact_estudiante_periodo"])
     odd = fact.filter("id >= '900000' and length(id) = 6")
     one = rows(odd.filter("id = 900001").select(
@@ -112,6 +114,12 @@ def test_flow(spark, lake):
     two = rows(odd.filter("id = 900002").select("semestre_orden", "desertion_t1",
                                                 "gap_desde_semestre_anterior", "codigo_divipola"))
     assert two == [(1, 1, None, "76520"), (3, 1, 2, "76001")]
+    exported = odd.filter("id = 900006").first()
+    assert (exported["periodo"], exported["semestre_orden"], exported["codigo_divipola"]) == (
+        "2025", 4, "76001")
+    checks = first["checks"]
+    assert checks["rows_of_unknown_periods"] == 1 and 0.5 < checks["coverage"] < 1
+    assert checks["prevalence"][4][1] is None and checks["prevalence"][1][0] == 404
     # a wrong region is saved by the unique name; an unknown place stays without
     rest = {r["id"]: (r["codigo_divipola"], r["nivel_conectividad"]) for r in odd.collect()}
     assert rest["900003"] == ("05001", 3) and rest["900004"] == (None, 0)
@@ -123,10 +131,10 @@ def test_flow(spark, lake):
     picked = semester.filter("id = 900001 and semestre_orden = 1").first()
     assert (picked["cohorte_tipo"], picked["n_periodos_en_semestre"]) == ("principal", 2)
 
-    second = run(spark, lake, retrain=True,
-                 settings=TrainSettings(trees=3, depth=3, folds=2, repeats=1))
+
+def test_published(spark, lake, first):
     manifest, tables, documents = read_published(spark, f"{lake}/web")
-    assert manifest["model_version"] == second["run_id"] == manifest["publish_run_id"]
+    assert manifest["model_version"] == first["run_id"] == manifest["publish_run_id"]
     assert {"riesgo_por_programa.csv", "importancia_variables.csv"} <= set(tables)
     assert "metricas_modelo.json" in documents
     assert not [n for n, df in tables.items() if "id" in df.columns]
@@ -144,3 +152,12 @@ def test_flow(spark, lake):
     assert small == []
     ranks = rows(tables["importancia_variables.csv"].select("ranking"), "ranking")
     assert ranks == [(i + 1,) for i in range(len(ranks))]
+
+
+def test_published_without_a_model(spark, first, tmp_path):
+    semester = spark.read.parquet(first["gold"]["fact_estudiante_semestre"])
+    manifest = publish_dashboard(spark, semester, str(tmp_path), "r")
+    assert manifest["files"] == sorted(f"data/{n}" for n in (
+        "desercion_por_semestre.csv", "desercion_por_escuela.csv", "desercion_por_programa.csv",
+        "desercion_demografia.csv", "mapa_departamento.csv", "kpis.json", "manifest.json"))
+    assert manifest["model_version"] is None

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.plans.silver import credit_table, land_exports, students_table
+from tidemark.plans.silver import credit_table, students_from_exports, students_table
 from tidemark.session import settle, shared_dir
 from tidemark.sources import (
-    clean_export, export_audit, page_audit, publish, read_pages, read_published, read_report,
+    clean_export, export_audit, files_by_stem, page_audit, publish, read_pages, read_published, read_report,
     require_same_version, route_datasets, write_gold, write_silver)
 
 HEAD = "Universidad; informe\nEstudiantes del periodo 2024 Ñ PERIODO 16-01 (pregrado)\n\n"
@@ -46,7 +46,13 @@ def test_unusable_exports_are_reported_and_stop_the_landing(spark, tmp_path):
                    "headless.csv": "no_header"}
     assert clean_export(spark, str(tmp_path / "in")).count() == 2
     with pytest.raises(ValueError, match="unusable export"):
-        land_exports(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+        students_from_exports(spark, str(tmp_path / "in"))
+
+
+def test_students_from_exports(spark, tmp_path):
+    put(tmp_path / "estudiantes_periodo_1704.csv", FILL + HEAD + BODY)
+    got = students_from_exports(spark, str(tmp_path)).select("ID", "periodo", "periodo_codigo")
+    assert rows(got) == [(i, "2024 Ñ PERIODO 16-01", "periodo_1704") for i in "12"]
 
 
 def test_export_layouts_may_differ(spark, tmp_path):
@@ -73,6 +79,12 @@ def test_students_take_the_period_from_the_file_name(spark, tmp_path):
                          ("2", "x", "periodo_1702")]
 
 
+def test_files_by_stem(spark, tmp_path):
+    for name in ("b.csv", "a x.csv", "c.txt"):
+        put(tmp_path / name, "x\n1\n")
+    assert list(files_by_stem(spark, str(tmp_path))) == ["a x", "b"]
+
+
 def test_wide_credit_report(spark, tmp_path):
     path = tmp_path / "credito.csv"
     path.write_bytes("Tipo Crédito;2020-1;2020-2\nNo recibió;5;\nLargo plazo x;7;8\nMalo ".encode()

@@ -74,7 +74,7 @@ MIRRORS = {
     "gobierno_internet_fijo": "dim_gold_gobierno_internet",
 }
 
-PERIOD_FROM_FILE = r"estudiantes_(.+)\.csv"
+PERIOD_FROM_FILE = r"estudiantes_([^/]+)\.csv"
 RESIDENTIAL = "RESIDENCIAL"
 
 # Columns of the modelling table.

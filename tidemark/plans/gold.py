@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import pad_code
 from tidemark.operators.lookup import (
-    band_column, code_table, enrich_by_code, enrich_by_place, latest_totals, place_codes,
+    band_column, code_table, coverage, enrich_by_code, enrich_by_place, latest_totals, place_codes,
     quantile_cuts, rates_by_code)
 from tidemark.operators.panel import (
-    attach_calendar, dedup_by_key, pick_per_period, rank_of, with_panel_columns)
+    attach_calendar, dedup_by_key, pick_per_period, rank_of, unknown_periods,
+    with_panel_columns)
+from tidemark.operators.profiles import period_prevalence
 from tidemark.plans.fixed import (
     CALENDAR, CALENDAR_SCHEMA, COHORT_PRIORITY, RESIDENTIAL, SEMESTER_COLUMNS)
 from tidemark.sources.tables import literal_rows, read_partitioned, write_gold
@@ -112,3 +116,20 @@ def silver_to_gold(spark: SparkSession, silver: str, gold: str, run_id: str) ->
     written = read_partitioned(spark, paths["fact_estudiante_periodo"])
     write_gold(semester_fact(written), paths["fact_estudiante_semestre"], run_id, ["anio"])
     return paths
+
+
+def gold_checks(spark: SparkSession, silver: str, paths: dict[str, str]) -> dict[str, Any]:
+    """Figures to look at after a run: coverage of the code lookup, prevalence by semester (null
+    where censored) and rows of periods the calendar does not know. All are a few rows."""
+    fact = read_partitioned(spark, paths["fact_estudiante_periodo"])
+    semester = read_partitioned(spark, paths["fact_estudiante_semestre"])
+    calendar = literal_rows(spark, CALENDAR, CALENDAR_SCHEMA)
+    unknown = unknown_periods(spark.read.parquet(f"{silver}/estudiantes"), calendar,
+                              "periodo_codigo").agg(F.coalesce(F.sum("n_rows"), F.lit(0)))
+    by_semester = period_prevalence(semester, "semestre_orden", "desertion_t1")
+    return {
+        "coverage": fact.agg(coverage(fact, "codigo_divipola")).first()[0],
+        "rows_of_unknown_periods": unknown.first()[0],
+        "prevalence": {r["semestre_orden"]: (r["n"], r["prevalence"])
+                       for r in by_semester.orderBy("semestre_orden").collect()},
+    }

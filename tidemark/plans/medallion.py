@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from tidemark.learning.training import TrainSettings
 from tidemark.plans.fixed import MIRRORS
-from tidemark.plans.gold import silver_to_gold
+from tidemark.plans.gold import gold_checks, silver_to_gold
 from tidemark.plans.model import score_and_save, train_and_save
 from tidemark.plans.publish import publish_dashboard
 from tidemark.plans.silver import raw_to_silver
@@ -46,4 +46,5 @@ def run_flow(spark: SparkSession, lake: str, schemas: Mapping[str, str], silver_
     latest = load_latest(spark, models)
     manifest = publish_dashboard(spark, semester, f"{lake}/web", run_id, scores,
                                  latest[1] if latest else None)
-    return {"run_id": run_id, "mirrored": mirrored, "gold": paths, "manifest": manifest}
+    return {"run_id": run_id, "mirrored": mirrored, "gold": paths, "manifest": manifest,
+            "checks": gold_checks(spark, silver, paths)}

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.names import normalize_name, rename_map
+from tidemark.functions.names import normalize_columns, normalize_name, rename_map
 from tidemark.functions.text import homologate
 from tidemark.operators.reshape import melt
 from tidemark.plans.fixed import CREDIT_RULES, PERIOD_FROM_FILE, POVERTY_NAMES
-from tidemark.sources.delimited import read_delimited, read_wide_csv, with_file_key
+from tidemark.sources.artifacts import artifacts_exist
+from tidemark.sources.delimited import (
+    files_by_stem, read_delimited, read_wide_csv, with_file_key)
 from tidemark.sources.json_arrays import DATASET_TABLES, route_datasets
 from tidemark.sources.reports import clean_export, export_audit, read_report
 from tidemark.sources.tables import with_silver_audit, write_silver
@@ -24,14 +26,15 @@ def students_table(spark: SparkSession, path: str) -> DataFrame:
                          "source_file")
 
 
-def land_exports(spark: SparkSession, export_path: str, out_path: str) -> None:
-    """Clean raw portal exports into one delimited table; unusable files are an error."""
-    bad = export_audit(spark, export_path).filter(F.col("status") != "ok")
+def students_from_exports(spark: SparkSession, path: str) -> DataFrame:
+    """The same table straight from portal exports; an unusable export is an error."""
+    bad = export_audit(spark, path).filter(F.col("status") != "ok")
     first = bad.select("file", "status").first()
     if first:
         raise ValueError(f"unusable export {first['file']}: {first['status']}")
-    (clean_export(spark, export_path).write.mode("overwrite").option("header", True)
-     .option("sep", ";").csv(out_path))
+    rows = clean_export(spark, path, file_column="source_file")
+    return rows.withColumn("periodo_codigo",
+                           F.regexp_extract("source_file", PERIOD_FROM_FILE, 1))
 
 
 def credit_table(spark: SparkSession, path: str) -> DataFrame:
@@ -54,12 +57,16 @@ def government_tables(spark: SparkSession, path: str,
 def raw_to_silver(spark: SparkSession, raw: str, silver: str, run_id: str,
                   schemas: Mapping[str, str | T.StructType]) -> list[str]:
     """Write every silver table below ``silver``; returns their names."""
-    tables: dict[str, tuple[DataFrame, str]] = {
-        "estudiantes": (students_table(spark, f"{raw}/estudiantes/*.csv"), "estudiantes")}
+    students = normalize_columns(students_table(spark, f"{raw}/estudiantes/*.csv"))
+    if artifacts_exist(spark, f"{raw}/exports"):
+        exported = normalize_columns(students_from_exports(spark, f"{raw}/exports"))
+        students = students.unionByName(exported, allowMissingColumns=True)
+    tables: dict[str, tuple[DataFrame, str]] = {"estudiantes": (students, "estudiantes")}
     for name, df in government_tables(spark, f"{raw}/gobierno", schemas).items():
         tables[name] = (df, "gobierno")
-    tables["spadies_creditoicetex"] = (
-        credit_table(spark, f"{raw}/spadies/creditoicetex.csv"), "spadies_creditoicetex")
+    for stem, path in files_by_stem(spark, f"{raw}/spadies").items():
+        name = f"spadies_{normalize_name(stem)}"
+        tables[name] = (credit_table(spark, path), name)
     tables["snies_graduados"] = (read_report(spark, f"{raw}/snies/*.csv"), "snies")
     for name, (df, source) in tables.items():
         write_silver(with_silver_audit(df, source, run_id), f"{silver}/{name}")

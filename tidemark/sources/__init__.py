@@ -1,6 +1,7 @@
 from tidemark.sources.artifacts import (
     artifacts_exist, load_latest, require_same_version, run_stamp, save_artifacts)
-from tidemark.sources.delimited import read_delimited, read_wide_csv, with_file_key
+from tidemark.sources.delimited import (
+    files_by_stem, read_delimited, read_wide_csv, with_file_key)
 from tidemark.sources.json_arrays import (
     dataset_id, page_audit, read_json_array, read_pages, route_datasets)
 from tidemark.sources.publication import publish, read_published
@@ -12,7 +13,7 @@ from tidemark.sources.tables import (
 
 __all__ = [
     "artifacts_exist", "clean_export", "dataset_id", "ensure_database", "existing_table",
-    "export_audit", "literal_rows", "load_latest", "mirror", "number_lines", "page_audit",
+    "export_audit", "files_by_stem", "literal_rows", "load_latest", "mirror", "number_lines", "page_audit",
     "publish", "read_delimited", "read_json_array", "read_pages", "read_partitioned",
     "read_published", "read_report", "read_wide_csv", "register_table", "require_same_version",
     "route_datasets", "run_stamp", "save_artifacts", "split_lines", "sql_sample", "with_file_key",

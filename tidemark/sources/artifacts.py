@@ -40,12 +40,13 @@ def artifacts_exist(spark: SparkSession, path: str) -> bool:
 
 def save_artifacts(spark: SparkSession, root: str, run_id: str, model: PipelineModel,
                    metrics: dict[str, Any], schema: dict[str, Any]) -> None:
-    """Write model, metrics and feature schema under ``<run_id>/`` and ``latest/``.
+    """Write model, metrics and feature schema under ``<run_id>/``, then point ``latest/`` to it.
 
-    The schema is written last: it marks the version complete.
+    ``latest/`` holds the two documents; the schema names the run whose model belongs to them. It
+    is written last, so readers see a complete version or the one before.
     """
+    model.write().overwrite().save(f"{root}/{run_id}/model")
     for version in (run_id, "latest"):
-        model.write().overwrite().save(f"{root}/{version}/model")
         _write_json(spark, f"{root}/{version}/metrics.json", metrics)
         _write_json(spark, f"{root}/{version}/feature_schema.json", schema)
 
@@ -59,7 +60,7 @@ def load_latest(spark: SparkSession, root: str) \
     schema = read_json_document(spark, f"{base}/feature_schema.json")
     metrics = read_json_document(spark, f"{base}/metrics.json")
     require_same_version(schema["spark_version"], spark.version)
-    return PipelineModel.load(f"{base}/model"), metrics, schema
+    return PipelineModel.load(f"{root}/{schema['run_id']}/model"), metrics, schema
 
 
 def require_same_version(trained_with: str, running: str) -> None:

@@ -26,6 +26,14 @@ def read_wide_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ";"
     return read_delimited(spark, path, sep)
 
 
+def files_by_stem(spark: SparkSession, path: str, suffix: str = ".csv") -> dict[str, str]:
+    """``{name without suffix: path}`` of the files under ``path``; only names are listed."""
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+               .load(path).select("path"))
+    return {p.rsplit("/", 1)[1].removesuffix(suffix): p
+            for p in sorted(r["path"] for r in listing.toLocalIterator())}
+
+
 def with_file_key(df: DataFrame, pattern: str, out: str, source_out: str | None = None) -> DataFrame:
     """Add the part of the file path that ``pattern`` captures, and optionally the path."""
     path = F.col("_metadata.file_path")

@@ -90,8 +90,10 @@ def export_audit(spark: SparkSession, path: str | Sequence[str],
 
 
 def clean_export(spark: SparkSession, path: str | Sequence[str], label_column: str = "periodo",
-                 sep: str = ";", header_words: Sequence[str] = HEADER_WORDS) -> DataFrame:
-    """Rows of all usable exports under ``path``, all columns as strings, label first.
+                 sep: str = ";", header_words: Sequence[str] = HEADER_WORDS,
+                 file_column: str | None = None) -> DataFrame:
+    """Rows of all usable exports under ``path``, all columns as strings, label first, then the
+    file path if ``file_column`` names a column for it.
 
     UTF-8 files stay as they are, others are decoded as Windows-1252. Preamble and blank lines
     go; the header cells lose blanks and quotes. A file without a period label takes its own
@@ -108,12 +110,15 @@ def clean_export(spark: SparkSession, path: str | Sequence[str], label_column: s
 
     # the table of files is settled: Catalyst broadcasts it only when it is small
     body = lines.join(usable, "file").filter(F.col("pos") > F.col("header_pos"))
-    body = body.select("label", "header_text",
+    body = body.select("file", "label", "header_text",
                        F.regexp_replace(_decoded(F.col("raw")), r"\r$", "").alias("line"))
     body = body.filter(F.length("line") > 0)
 
-    return _parse_layouts(body, "header_text", layouts, sep, keep=[label_column],
-                          body_columns=[F.col("label").alias(label_column)])
+    kept = {label_column: F.col("label")}
+    if file_column:
+        kept[file_column] = F.col("file")
+    return _parse_layouts(body, "header_text", layouts, sep, keep=list(kept),
+                          body_columns=[c.alias(name) for name, c in kept.items()])
 
 
 def _header_cells(header: str, sep: str) -> list[str]:
