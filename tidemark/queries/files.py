@@ -79,16 +79,16 @@ def pages_audit(spark, sf):
 
 @query("dataset_routing", """
 select 'gobierno_internet_fijo' as routed, cast(o_orderkey as varchar) as o_orderkey from orders
-where o_orderkey % 3 = 0
+where o_orderstatus = 'F'
 union all select 'gobierno_sisben_iv', cast(o_orderkey as varchar) from orders
-where o_orderkey % 3 = 1""")
+where o_orderstatus = 'O'""")
 def dataset_routing(spark, sf):
-    """Three dataset folders, of which one has an id outside the map and is skipped."""
+    """A dataset folder per order status, of which one has an id outside the map and is skipped."""
     root = fresh_path(spark, "routing")
     orders = table(spark, sf, "orders")
     record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("o_orderkey")))
-    for rest, key in enumerate(("n48w-gutb", "hq2v-5umk", "zzzz-0000")):
-        (orders.filter(F.col("o_orderkey") % 3 == rest)
+    for status, key in (("F", "n48w-gutb"), ("O", "hq2v-5umk"), ("P", "zzzz-0000")):
+        (orders.filter(F.col("o_orderstatus") == status)
          .groupBy(F.floor(F.col("o_orderkey") / PAGE_KEYS).alias("page"))
          .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(record)), F.lit("]"))
               .alias("value")).select("value")
