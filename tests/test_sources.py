@@ -1,4 +1,6 @@
 import json
+import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +149,17 @@ def test_version_guard():
         require_same_version("4.0.0", "4.1.2")
 
 
+def test_shared_folder_where_none_is_named():
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                               sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
+
+    folder = shared_dir(session("local[2]"))
+    assert os.path.isdir(folder) and folder == shared_dir(session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+
+
 def test_settled_tables_go_to_the_named_folder(spark):
     df = settle(spark.range(3))
     files = df.inputFiles()

@@ -135,7 +135,7 @@ select 'MES Ñ ' || {SQL_MONTH} as periodo, cast(o_orderkey as varchar) as "ID",
 def export_clean(spark, sf):
     path = fresh_path(spark, "exports")
     _write_exports(spark, sf, path)
-    return clean_export(spark, f"{path}/*/*/*.txt")
+    return clean_export(spark, path)
 
 
 @query("export_audit", f"""
@@ -144,7 +144,7 @@ select distinct 'MES Ñ ' || {SQL_MONTH} as label, 'ok' as status,
 def export_audit_query(spark, sf):
     path = fresh_path(spark, "exports")
     _write_exports(spark, sf, path)
-    return (export_audit(spark, f"{path}/*/*/*.txt").select("label", "status", "utf8")
+    return (export_audit(spark, path).select("label", "status", "utf8")
             .distinct())
 
 
@@ -172,7 +172,7 @@ def report_read(spark, sf):
      .sortWithinPartitions("day", "part", "seq", "k")
      .select("day", "part", F.col("line").alias("value"))
      .write.partitionBy("day", "part").text(path))
-    return read_report(spark, f"{path}/*/*/*.txt", 5)
+    return read_report(spark, path, 5)
 
 
 YEARS = [str(y) for y in range(1995, 2002)]

@@ -31,11 +31,14 @@ def local_session(app: str = "tidemark", cores: int | str = "*",
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local trial) a fresh folder is made.
+    Only a local trial that names none gets a fresh folder; on a cluster a folder of the driver
+    would be out of reach for the executors, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _fallback_dirs:
         _fallback_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")

@@ -24,12 +24,12 @@ PERIOD_PATTERN = r"Estudiantes del periodo\s+(.*?)\s*\("
 
 
 def number_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Lines as ``file, size, pos, raw`` with ``pos`` increasing along each file.
+    """Lines of all files below ``path`` as ``file, size, pos, raw``, ``pos`` increasing along each.
 
     The result is settled: the counter depends on how files are packed into tasks, so it
     must be drawn once, not again in every branch that compares positions.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("size"),
         F.struct(F.col("_metadata.file_block_start").alias("block"),
