@@ -187,15 +187,18 @@ def _search_pairs(queries: DataFrame, rows: DataFrame, keys: list[str], k: int)
         nothing = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         if left.empty or right.empty:
             return nothing
-        q, x = matrix(left["vector"]), matrix(right["vector"])
+        q, x = matrix(left["vector"]), matrix(right["x_vector"])
         width = max(q.shape[1], x.shape[1])
         if width == 0:
             q, x = np.zeros((len(q), 1)), np.zeros((len(x), 1))
         q = np.pad(q, ((0, 0), (0, max(width, 1) - q.shape[1])))
         x = np.pad(x, ((0, 0), (0, max(width, 1) - x.shape[1])))
-        return DualSearch(q, left["vec_id"].to_numpy(), x, right["vec_id"].to_numpy(), k,
+        return DualSearch(q, left["vec_id"].to_numpy(), x, right["x_vec_id"].to_numpy(), k,
                           left["floor"].to_numpy(np.int64)).run().hits()
-    return queries.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(run, HITS)
+    # both sides come from one table, so the second gets columns of its own
+    rows = rows.select(*[F.col(c).alias(f"x_{c}") for c in rows.columns])
+    return queries.groupBy(*keys).cogroup(
+        rows.groupBy(*[f"x_{c}" for c in keys])).applyInPandas(run, HITS)
 
 
 def top_products(table: DataFrame, is_query: Column, k: int, factor: int = 64,
