@@ -25,7 +25,7 @@ from tidemark.llm.common import crc_fold, labelled, map_batches, utf8_values
 from tidemark.session import settle
 
 WORDS_PER_PASSAGE = 128
-BYTES_AT_ONCE = 1 << 21
+BYTES_AT_ONCE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -125,6 +125,19 @@ def _encode_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x.astype(np.float32), np.repeat(np.arange(len(texts)), last)
 
 
+def _groups(texts: list[bytes]):
+    """Neighbouring texts of together at most ``BYTES_AT_ONCE`` bytes, or single longer ones."""
+    group, held = [], 0
+    for text in texts:
+        if group and held + len(text) > BYTES_AT_ONCE:
+            yield group
+            group, held = [], 0
+        group.append(text)
+        held += len(text)
+    if group:
+        yield group
+
+
 def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """As :func:`_encode_block` for any number of texts of any length; every text has a passage."""
     xs, owners, block, whose, held = [], [], [], [], 0
@@ -199,10 +212,12 @@ class AttentionNetwork:
                 "d": dy.sum(keepdims=True)}
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
-        x, owner = encode(texts)
-        return self.forward(x, np.searchsorted(owner, np.arange(len(texts))))["y"]
+        """One score per text; passages are held for a few hundred KB of text at a time."""
+        out = [np.zeros(0)]
+        for group in _groups(texts):
+            x, owner = encode(group)
+            out.append(self.forward(x, np.searchsorted(owner, np.arange(len(group))))["y"])
+        return np.concatenate(out)
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
@@ -266,13 +281,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
                    .orderBy(F.xxhash64(key, F.lit(1)), key).limit(settings.sample), "sample")
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, owner = encode(list(utf8_values(batch.column(1))))
-        counts = np.bincount(owner, minlength=batch.num_rows)
-        ends = np.cumsum(counts)
-        keep = np.flatnonzero(counts <= settings.passages)
-        data = [x[ends[i] - counts[i]:ends[i]].astype(np.float16).tobytes() for i in keep]
+        found = [encode([text])[0].astype(np.float16) for text in utf8_values(batch.column(1))]
+        keep = [i for i, x in enumerate(found) if len(x) <= settings.passages]
+        data = [found[i].tobytes() for i in keep]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(keep)), batch.column(2).take(pa.array(keep)),
+            [batch.column(0).take(pa.array(keep, pa.int64())),
+             batch.column(2).take(pa.array(keep, pa.int64())),
              pa.array(data, pa.binary())], names=["id", "label", "x"])
 
     bags = map_batches(
