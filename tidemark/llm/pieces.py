@@ -30,9 +30,9 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Characters with a column of their own in the dense automaton; segments with others take the
 #: scalar path, with the same results.
 DENSE_CHARACTERS = 192
-MEMO_SEGMENTS = 400_000
+MEMO_SEGMENTS = 150_000
 PAIR_SLOTS = 1 << 21
-CHARACTERS_AT_ONCE = 1 << 23
+CHARACTERS_AT_ONCE = 1 << 22
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -331,6 +331,10 @@ class PrefixTableEncoder:
         self._learn(memo.fresh)
         return found
 
+    def forget(self) -> None:
+        """Let go of the segments seen; the process may go on to other work."""
+        self._memo.clear()
+
     def _blocks(self, texts: list[str]) -> Iterator[list[str]]:
         block, held = [], 0
         for t in texts:
@@ -415,7 +419,10 @@ def encode_decode(docs: DataFrame, model: bytes, key: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(values: pd.Series) -> pd.DataFrame:
-        found = list(encoder(shared.value).digests([v or "" for v in values]))
-        return pd.DataFrame(found, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        ready = encoder(shared.value)
+        for values in batches:
+            found = list(ready.digests([v or "" for v in values]))
+            yield pd.DataFrame(found, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        ready.forget()
     return docs.select(key, run(F.col(text)).alias("_d")).select(key, "_d.*")
