@@ -9,8 +9,9 @@ from tests.conftest import rows
 from tidemark.plans.silver import credit_table, students_from_exports, students_table
 from tidemark.session import settle, shared_dir
 from tidemark.sources import (
-    clean_export, export_audit, files_by_stem, page_audit, publish, read_pages, read_published, read_report,
-    require_same_version, route_datasets, write_gold, write_silver)
+    clean_export, export_audit, files_by_stem, page_audit, publish, read_delimited, read_pages,
+    read_published, read_report, require_same_version, route_datasets, write_gold, write_silver)
+from tidemark.sources.reports import usable_exports
 
 HEAD = "Universidad; informe\nEstudiantes del periodo 2024 Ñ PERIODO 16-01 (pregrado)\n\n"
 BODY = '"ID"; "Edad";Sexo;programa\n1;20;F;"Ing; civil"\n\n2;31;M;Física\n'
@@ -46,7 +47,10 @@ def test_unusable_exports_are_reported_and_stop_the_landing(spark, tmp_path):
     got = {r["file"].rsplit("/", 1)[1]: r["status"] for r in audit.collect()}
     assert got == {"ok.csv": "ok", "short.csv": "too_short", "refused.csv": "refused",
                    "headless.csv": "no_header"}
-    assert clean_export(spark, str(tmp_path / "in")).count() == 2
+    usable, rejects = usable_exports(spark, str(tmp_path / "in"))
+    assert usable.count() == 2 and rejects.count() == 3
+    with pytest.raises(ValueError, match="unusable export.*headless.*no_header"):
+        clean_export(spark, str(tmp_path / "in"))
     with pytest.raises(ValueError, match="unusable export"):
         students_from_exports(spark, str(tmp_path / "in"))
 
@@ -64,6 +68,37 @@ def test_export_layouts_may_differ(spark, tmp_path):
     assert rows(out) == [("1", "2", "F", None), ("3", "4", "M", "z")]
 
 
+def test_rows_longer_than_the_header_stop_the_read(spark, tmp_path):
+    put(tmp_path / "e" / "a.csv", FILL + HEAD + "id;edad;sexo\n1;2;F;9\n")
+    put(tmp_path / "e" / "b.csv", FILL + HEAD + "id;edad;sexo;extra\n1;2;F;9\n")
+    with pytest.raises(Exception, match="more cells than its header in .*a.csv"):
+        clean_export(spark, str(tmp_path / "e")).collect()
+    put(tmp_path / "d" / "a.csv", "id;edad\n1;2;3\n")
+    with pytest.raises(Exception, match="more cells than its header in .*a.csv"):
+        read_delimited(spark, str(tmp_path / "d")).collect()
+
+
+def test_files_of_different_columns_unite_by_name(spark, tmp_path):
+    put(tmp_path / "a.csv", "id;edad;sexo\n1;20;F\n")
+    put(tmp_path / "b.csv", "id;sexo;edad\n2;M;30\n")
+    put(tmp_path / "c.csv", 'sexo;id;"programa"\nF;3;"Ing; civil"\n')
+    put(tmp_path / "d.csv", "id\n4\n")
+    out = read_delimited(spark, f"{tmp_path}/*.csv")
+    assert out.columns == ["id", "sexo", "edad", "programa"]
+    assert rows(out) == [("1", "F", "20", None), ("2", "M", "30", None),
+                         ("3", "F", None, "Ing; civil"), ("4", None, None, None)]
+    put(tmp_path / "e.csv", "id;id\n1;2\n")
+    with pytest.raises(ValueError, match="twice in .*e.csv"):
+        read_delimited(spark, f"{tmp_path}/*.csv")
+
+
+def test_a_report_without_its_header_line_is_named(spark, tmp_path):
+    put(tmp_path / "a.csv", "1\n2\n3\n4\n5\nCodigo\n7\n")
+    put(tmp_path / "b.csv", "1\n2\n")
+    with pytest.raises(ValueError, match="no header on line 5 in .*b.csv"):
+        read_report(spark, str(tmp_path))
+
+
 def test_report(spark, tmp_path):
     top = "Informe\n\nGraduados\nCorte 2023\n\n"
     put(tmp_path / "a.csv", top + "Código;Año Grado;Total\n1;2023;\n;;\n2;;9\n")

@@ -3,28 +3,27 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections import Counter
 
 from pyspark.sql import DataFrame
 
-# The letters folded to ASCII are the vowels with these four accents, and n-tilde.
-FOLDED_ACCENTS = {"́": "aeiou", "̈": "aeiou", "̂": "aeiou", "̀": "aeiou",
-                  "̃": "n"}
-
-
-def _fold(letter: str) -> str:
-    parts = unicodedata.normalize("NFD", letter)
-    if len(parts) == 2 and parts[0] in FOLDED_ACCENTS.get(parts[1], ""):
-        return parts[0]
-    return letter
+# Accented letters and the plain letters they become; all else that a name may not
+# hold.
+PLAIN_LETTERS = str.maketrans({
+    "á": "a", "ä": "a", "â": "a", "à": "a",
+    "é": "e", "ë": "e", "ê": "e", "è": "e",
+    "í": "i", "ï": "i", "î": "i", "ì": "i",
+    "ó": "o", "ö": "o", "ô": "o", "ò": "o",
+    "ú": "u", "ü": "u", "û": "u", "ù": "u",
+    "ñ": "n",
+})
+NOT_IN_NAMES = "[^a-z0-9_]+"
 
 
 def normalize_name(name: str) -> str:
     """``'  Año Académico (1) '`` -> ``'ano_academico_1'``; other runs become one underscore."""
-    lowered = unicodedata.normalize("NFC", str(name).strip().lower())
-    folded = "".join(_fold(letter) for letter in lowered)
-    return re.sub("[^0-9a-z_]+", "_", folded).strip("_")
+    plain = str(name).strip().lower().translate(PLAIN_LETTERS)
+    return re.sub(NOT_IN_NAMES, "_", plain).strip("_")
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

@@ -12,7 +12,9 @@ from tidemark.learning.models import with_score
 from tidemark.operators.evaluation import evaluate, score_counts
 from tidemark.session import settle
 
-ROWS_PER_BUCKET = 100_000
+#: Buckets inside which features are permuted. A fixed number, so that the permutation of a row does
+#: not depend on how many others there are; a billion rows are 250,000 per bucket.
+BUCKETS = 4096
 
 
 def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], repeats: int,
@@ -35,13 +37,12 @@ def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], re
 
 def permutation_importance(model: PipelineModel, df: DataFrame, key: Sequence[str],
                            features: Sequence[str], target: str, repeats: int = 5,
-                           seed: int = 42) -> DataFrame:
+                           seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
     """``feature, importance_mean, importance_std``: loss of PR-AUC when a feature is permuted.
 
     Each row is scored once as it is and once per feature and repeat, all in one job.
     """
     needed = df.select(*key, target, *[f for f in features if f not in key])
-    buckets = max(1, needed.count() // ROWS_PER_BUCKET)
     rows = permuted_rows(needed, key, features, repeats, seed, buckets)
     variants = F.array(
         F.struct(F.lit("").alias("f"), F.lit(0).alias("r")),

@@ -34,7 +34,8 @@ def exact_holdout(df: DataFrame, entity: str, fraction: float = 0.2, seed: int =
     cut = (ranked(ids, ["h", "key"], "position").filter(F.col("position") == wanted)
            .agg(F.max(F.struct("h", "key"))).scalar())
     here = F.struct(entity_hash(F.col(entity), seed).alias("h"), key.alias("key"))
-    return df.withColumn("in_holdout", here <= cut)
+    # no entity is wanted (fraction 0, no rows): there is no cut, and nobody is in
+    return df.withColumn("in_holdout", F.coalesce(here <= cut, F.lit(False)))
 
 
 def group_folds(df: DataFrame, entity: str, target: str, k: int = 5, seed: int = 42) -> DataFrame:

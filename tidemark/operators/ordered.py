@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tidemark.session import settle
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 10_000
 
 
 def in_ranges(table: DataFrame, sort: Sequence[Column], ranges: int) -> DataFrame:
@@ -25,7 +24,7 @@ def in_ranges(table: DataFrame, sort: Sequence[Column], ranges: int) -> DataFram
 
     Settled, so that every reader sees the same ranges.
     """
-    return settle(table.repartitionByRange(min(MAX_RANGES, ranges), *sort)
+    return settle(table.repartitionByRange(ranges, *sort)
                   .withColumn("_range", F.spark_partition_id()), "ranges")
 
 
@@ -35,25 +34,28 @@ def running_totals(table: DataFrame, order: Sequence[str], sums: Mapping[str, st
     """Add inclusive running sums ``{out: column}`` along ``order`` within ``groups``.
 
     ``order`` must be a total order within a group, without nulls. ``table`` is read twice: pass
-    a settled one.
+    a settled one. The number of ranges follows from the number of rows alone; the totals of the
+    ranges are added up by this same function while they are more than one range holds.
     """
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     part = [F.col(g) for g in groups] or [F.lit(0)]
-    rows = table.count()
-    if rows <= rows_per_range:  # bounded, so one window per group is fine
-        window = Window.partitionBy(*part).orderBy(*sort).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        return table.withColumns({out: F.sum(c).over(window) for out, c in sums.items()})
-
-    placed = in_ranges(table, [*map(F.col, groups), *sort], -(-rows // rows_per_range))
+    ranges = max(1, -(-table.count() // rows_per_range))
+    placed = in_ranges(table, [*map(F.col, groups), *sort], ranges)
     keys = [*groups, "_range"]
     totals = placed.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()])
-    # a group has at most `ranges` rows here, and all groups have fewer than ranges + groups
-    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
-                            *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0))
-                              .alias(f"_before_{out}") for out in sums])
+    if ranges > max(2, rows_per_range):
+        added = running_totals(settle(totals, "totals"), ["_range"],
+                               {f"_u_{out}": f"_t_{out}" for out in sums}, groups,
+                               rows_per_range=rows_per_range)
+        earlier = {out: F.coalesce(F.col(f"_u_{out}") - F.col(f"_t_{out}"), F.lit(0))
+                   for out in sums}
+    else:  # a group has at most `ranges` rows here
+        before = Window.partitionBy(*part).orderBy("_range").rowsBetween(
+            Window.unboundedPreceding, -1)
+        added = totals
+        earlier = {out: F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)) for out in sums}
+    offsets = added.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
+                           *[value.alias(f"_before_{out}") for out, value in earlier.items()])
     inside = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = placed.withColumns({out: F.sum(c).over(inside) for out, c in sums.items()})

@@ -55,13 +55,14 @@ def suppress(cells: DataFrame, child: str, parents: Sequence[str] = (),
     where it lacks either, the smallest of the other cells (ties by name) joins it. One is always
     enough: every such cell has ``min_cell`` entities by itself. So three plain aggregates per
     parent decide, and neither an ordered window nor a loop is needed. Null parents drop out,
-    null children stay. When all cells of a parent merge, the result may still be small;
+    null children stay; the child comes back as text. When all cells of a parent merge, the result may still be small;
     ``strict`` withholds it.
     """
     parents = list(parents)
     for parent in parents:
         cells = cells.filter(F.col(parent).isNotNull())
-    cells = settle(cells, "cells")
+    # the merged label is text, so the child becomes text whatever it was
+    cells = settle(cells.withColumn(child, F.col(child).cast("string")), "cells")
     small = F.col("enrolled") < min_cell
     rule = cells.groupBy(*parents).agg(F.struct(
         F.count_if(small).alias("n_small"),

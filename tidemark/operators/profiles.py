@@ -15,12 +15,16 @@ from tidemark.session import settle
 
 def null_profile(df: DataFrame) -> DataFrame:
     """``column, type, nulls, null_pct`` from one pass over the table."""
-    kinds = dict(df.dtypes)
-    wide = df.agg(F.count("*").alias("_rows"),
-                  *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
-    long = wide.unpivot(["_rows"], df.columns, "column", "nulls")
-    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
-    return long.select("column", F.element_at(kind, F.col("column")).alias("type"), "nulls",
+    places = [f"c{i}" for i in range(len(df.columns))]  # names may hold dots and quotes
+    wide = df.toDF(*places).agg(F.count("*").alias("_rows"),
+                                *[F.count_if(F.col(c).isNull()).alias(c) for c in places])
+    long = wide.unpivot(["_rows"], places, "_place", "nulls")
+
+    def by_place(values):
+        return F.element_at(F.create_map(*[F.lit(x) for pair in zip(places, values, strict=True)
+                                           for x in pair]), F.col("_place"))
+    return long.select(by_place(df.columns).alias("column"),
+                       by_place([kind for _, kind in df.dtypes]).alias("type"), "nulls",
                        (F.try_divide(F.col("nulls").cast("double"),
                                      F.col("_rows").cast("double")) * 100.0).alias("null_pct"))
 

@@ -16,25 +16,20 @@ from tidemark.sources.artifacts import artifacts_exist
 from tidemark.sources.delimited import (
     files_by_stem, read_delimited, read_wide_csv, with_file_key)
 from tidemark.sources.json_arrays import DATASET_TABLES, route_datasets
-from tidemark.sources.reports import clean_export, export_audit, read_report
+from tidemark.sources.reports import clean_export, read_report
 from tidemark.sources.tables import with_silver_audit, write_silver
 
 
 def students_table(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned period files, with the period code from the file name."""
-    return with_file_key(read_delimited(spark, path), PERIOD_FROM_FILE, "periodo_codigo",
-                         "source_file")
+    return with_file_key(read_delimited(spark, path, file_column="source_file"),
+                         PERIOD_FROM_FILE, "periodo_codigo", "source_file")
 
 
 def students_from_exports(spark: SparkSession, path: str) -> DataFrame:
     """The same table straight from portal exports; an unusable export is an error."""
-    bad = export_audit(spark, path).filter(F.col("status") != "ok")
-    first = bad.select("file", "status").first()
-    if first:
-        raise ValueError(f"unusable export {first['file']}: {first['status']}")
-    rows = clean_export(spark, path, file_column="source_file")
-    return rows.withColumn("periodo_codigo",
-                           F.regexp_extract("source_file", PERIOD_FROM_FILE, 1))
+    return with_file_key(clean_export(spark, path, file_column="source_file"),
+                         PERIOD_FROM_FILE, "periodo_codigo", "source_file")
 
 
 def credit_table(spark: SparkSession, path: str) -> DataFrame:

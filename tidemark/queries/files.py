@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.privacy import period_trend
@@ -9,7 +10,7 @@ from tidemark.operators.reshape import melt
 from tidemark.functions import homologate
 from tidemark.queries.registry import (
     SQL_COUNTS, SQL_PANEL, orders_panel, query, sql_rate, table)
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, settle
 from tidemark.sources import (
     clean_export, ensure_database, existing_table, export_audit, mirror, page_audit, publish,
     read_delimited, read_json_array, read_pages, read_partitioned, read_published, read_report,
@@ -26,7 +27,8 @@ def csv_roundtrip(spark, sf):
         "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
         F.year("o_orderdate").alias("y"))
     (rows.write.option("header", True).option("sep", ";").partitionBy("y").csv(path))
-    back = with_file_key(read_delimited(spark, f"{path}/*/*.csv"), r"/y=(\d+)/", "file_year")
+    back = with_file_key(read_delimited(spark, f"{path}/*/*.csv", file_column="file"),
+                         r"/y=(\d+)/", "file_year", "file")
     return back.select("o_orderkey", "o_orderstatus", "o_orderpriority",
                        F.col("o_totalprice").try_cast("double").alias("o_totalprice"),
                        "file_year")
@@ -42,11 +44,14 @@ def _write_pages(spark, sf, path):
     record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("o_orderkey"),
                                 F.col("o_custkey").cast("string").alias("o_custkey"),
                                 "o_totalprice"))
-    pages = (table(spark, sf, "orders")
-             .groupBy(F.floor(F.col("o_orderkey") / PAGE_KEYS).alias("page"))
+    orders = table(spark, sf, "orders").withColumn(
+        "block", F.floor(F.col("o_orderkey") / PAGE_KEYS))
+    cut = F.floor((F.row_number().over(Window.partitionBy("block").orderBy("o_orderkey")) - 1)
+                  / PAGE_KEYS)  # keys may repeat: a page ends after so many rows
+    pages = (orders.withColumn("page", F.concat_ws("-", "block", cut)).groupBy("page")
              .agg(F.concat(F.lit("["), F.concat_ws(",\n", F.collect_list(record)), F.lit("]"))
                   .alias("value")))
-    empty = spark.range(1).select(F.lit(-1).cast("bigint").alias("page"),
+    empty = spark.range(1).select(F.lit("last").alias("page"),
                                   F.lit("[]").alias("value"))
     pages.unionByName(empty).write.partitionBy("page").text(path)
 
@@ -175,11 +180,8 @@ def report_read(spark, sf):
     return read_report(spark, path, 5)
 
 
-YEARS = [str(y) for y in range(1995, 2002)]
-
-
 @query("wide_pivot_melt", """
-with years as (select unnest(range(1995, 2002)) as y),
+with years as (select distinct year(o_orderdate) as y from orders),
 wide as (select distinct o_orderpriority as p from orders)
 select case when p like '%URG%' then 'Largo plazo' else p end as categoria,
   cast(y as varchar) as periodo_academico,
@@ -191,7 +193,7 @@ def wide_pivot_melt(spark, sf):
     wide = (table(spark, sf, "orders")
             .select(F.col("o_orderpriority").alias("Categoría"),
                     F.year("o_orderdate").cast("string").alias("y"))
-            .groupBy("Categoría").pivot("y", YEARS).count())
+            .groupBy("Categoría").pivot("y").count())
     wide.write.option("header", True).option("sep", ";").csv(path)
     back = read_wide_csv(spark, path).withColumnRenamed("Categoría", "categoria")
     long = melt(back, ["categoria"], "periodo_academico", "valor_str")
@@ -255,8 +257,10 @@ def registered_partitions(spark, sf):
     write_gold(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), root, "run-1",
                ["o_orderstatus"])
     register_table(spark, name, root, ["o_orderstatus"])
-    return spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {name} "
-                     "WHERE o_orderstatus <> 'P' GROUP BY o_orderstatus")
+    counts = settle(spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {name} "
+                              "WHERE o_orderstatus <> 'P' GROUP BY o_orderstatus"), "counts")
+    spark.sql(f"DROP TABLE {name}")  # external: its files stay
+    return counts
 
 
 @query("publication_roundtrip", f"""with {SQL_PANEL},

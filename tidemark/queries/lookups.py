@@ -140,11 +140,14 @@ def code_rates(spark, sf):
 @query("code_metrics", f"""with {SQL_RATES}
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(mean_quantity, 9) as mean_quantity,
   n_lines
-from lineitem left join (select * from rates where mean_discount >= 5) r
-  on r.code = lpad(cast(l_suppkey as varchar), 5, '0')""")
+from lineitem left join rates r
+  on case when r.mean_discount >= 5 then r.code else 'x' || r.code end
+    = lpad(cast(l_suppkey as varchar), 5, '0')""")
 def code_metrics(spark, sf):
-    """Rates joined back on every line; suppliers of low discounts stay without."""
-    rates = settle(_supplier_rates(spark, sf).filter("mean_discount >= 5"), "rates")
+    """Rates joined back on every line; suppliers of low discounts are known by another code."""
+    other = F.when(F.col("mean_discount") >= 5, F.col("code")).otherwise(
+        F.concat(F.lit("x"), "code"))
+    rates = settle(_supplier_rates(spark, sf).withColumn("code", other), "rates")
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         pad_code(F.col("l_suppkey").cast("string")).alias("supp_code"))
@@ -188,16 +191,18 @@ def latest_totals_query(spark, sf):
 
 SQL_TOTALS = """
 totals as (
-  select o_custkey, cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents
-  from orders where o_orderstatus = 'F' group by o_custkey),
+  select case when o_custkey % 10 = 0 then -o_custkey else o_custkey end as o_custkey,
+    cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents
+  from orders group by 1),
 cuts as (select quantile_disc(cents, 0.33) as c1, quantile_disc(cents, 0.66) as c2
          from totals where cents > 0)"""
 
 
 def _totals(spark, sf):
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    return (table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
-            .groupBy("o_custkey").agg(F.sum(cents).alias("cents")))
+    key = F.when(F.col("o_custkey") % 10 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    return (table(spark, sf, "orders").groupBy(key.alias("o_custkey"))
+            .agg(F.sum(cents).alias("cents")))
 
 
 @query("tercile_bands", f"""with {SQL_TOTALS}

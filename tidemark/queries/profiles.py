@@ -200,8 +200,8 @@ def seeded_sample(spark, sf):
 
 @query("display_sort", """
 select p_partkey, nullif(p_size, 5) as size from part
-order by size desc nulls last, p_partkey limit 50""")
+order by size desc nulls last, p_partkey""")
 def display_sort(spark, sf):
     return (table(spark, sf, "part")
             .select("p_partkey", F.nullif(F.col("p_size"), F.lit(5)).alias("size"))
-            .orderBy(F.desc_nulls_last("size"), "p_partkey").limit(50))
+            .orderBy(F.desc_nulls_last("size"), "p_partkey"))

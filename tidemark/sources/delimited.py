@@ -4,21 +4,81 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import settle
+
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
-                   schema: str | None = None) -> DataFrame:
+                   schema: str | None = None, file_column: str | None = None) -> DataFrame:
     """Header CSV, no inference. ``path`` may be a glob or a list of paths.
 
-    With a declared ``schema`` no file is opened to plan the query; the header still names
-    the columns, and ``enforceSchema=false`` makes Spark check the names against it.
+    Files may differ in the order and in the set of their columns: they are united by name, and a
+    column that a file lacks is null there. A row with more cells than its header is an error.
+    ``file_column`` names a column for the file's path.
+
+    With a declared ``schema`` all files have that layout: no file is opened to plan the query, and
+    ``enforceSchema=false`` makes Spark check the header's names against it.
     """
-    reader = spark.read.option("sep", sep).option("header", True)
     if schema:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+        rows = (spark.read.option("sep", sep).option("header", True).schema(schema)
+                .option("enforceSchema", False).csv(path))
+        return rows if file_column is None else rows.select(
+            F.col("_metadata.file_path").alias(file_column), "*")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    # the first block of a file is read in order by one task, so the smallest number is its top line
+    tops = settle(
+        lines.filter((F.col("block") == 0) & (F.length(F.trim("line")) > 0))
+        .withColumn("n", F.monotonically_increasing_id()).groupBy("file")
+        .agg(F.min_by("line", "n").alias("top"))
+        .withColumn("header", header_cells(F.col("top"), sep)), "headers")
+    body = lines.join(tops, "file").filter(F.length("line") > 0).filter(
+        ~((F.col("block") == 0) & (F.col("line") == F.col("top"))))
+    keep = {file_column: F.col("file")} if file_column else {}
+    return by_header(body, tops, sep, keep)
+
+
+def header_cells(line: Column, sep: str) -> Column:
+    """The names in a header line, without blanks and quotes around them."""
+    bare = F.regexp_replace(line, "[\\r\\n\\ufeff]", "")
+    return F.transform(F.split(bare, f"\\Q{sep}\\E"),
+                       lambda cell: F.regexp_replace(F.trim(cell), '^"+|"+$', ""))
+
+
+def by_header(body: DataFrame, headers: DataFrame, sep: str, keep: dict[str, Column]) -> DataFrame:
+    """Columns by name out of ``line``, each row by the array ``header`` of its ``file``.
+
+    One scan for all layouts: a line is split once to the widest layout and every column is picked
+    by its place in the row's own header. ``headers`` has one row per file; only the distinct column
+    names reach the driver. A name that occurs twice in a header, and a cell beyond the header, are
+    errors that name the file.
+    """
+    twice = headers.filter(F.size(F.array_distinct("header")) < F.size("header")).select(
+        "file", "header").first()
+    if twice:
+        raise ValueError(f"a column name occurs twice in {twice['file']}: {twice['header']}")
+    names = [r["name"] for r in
+             headers.select(F.posexplode("header").alias("at", "name"))
+             .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").toLocalIterator()]
+    if not names:
+        raise ValueError("no file has a header")
+    width = headers.agg(F.max(F.size("header"))).first()[0]
+    fields = ", ".join(f"c{i} string" for i in range(width + 1))
+    line = F.regexp_replace("line", r"\r$", "")
+    split = body.withColumn("_p", F.from_csv(line, F.lit(fields), {"sep": sep})).withColumn(
+        "_cells", F.array(*[F.col(f"_p.c{i}") for i in range(width + 1)]))
+    beyond = F.exists(F.slice("_cells", F.size("header") + 1, width + 1), lambda c: c.isNotNull())
+    checked = F.when(beyond, F.raise_error(F.concat(
+        F.lit("a row has more cells than its header in "), F.col("file")))).otherwise(
+        F.col("_cells"))
+    cells = split.withColumn("_cells", checked)
+    return cells.select(
+        *[c.alias(name) for name, c in keep.items()],
+        *[F.get("_cells", F.array_position("header", F.lit(n)).cast("int") - 1).alias(n)
+          for n in names])
 
 
 def read_wide_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ";") -> DataFrame:
@@ -34,10 +94,6 @@ def files_by_stem(spark: SparkSession, path: str, suffix: str = ".csv") -> dict[
             for p in sorted(r["path"] for r in listing.toLocalIterator())}
 
 
-def with_file_key(df: DataFrame, pattern: str, out: str, source_out: str | None = None) -> DataFrame:
-    """Add the part of the file path that ``pattern`` captures, and optionally the path."""
-    path = F.col("_metadata.file_path")
-    added = {out: F.regexp_extract(path, pattern, 1)}
-    if source_out:
-        added[source_out] = path
-    return df.select("*", *[c.alias(name) for name, c in added.items()])
+def with_file_key(df: DataFrame, pattern: str, out: str, path: str) -> DataFrame:
+    """Add the part of the file path in column ``path`` that ``pattern`` captures."""
+    return df.withColumn(out, F.regexp_extract(F.col(path), pattern, 1))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import normalize_name
 from tidemark.functions.text import cp1252_text
 from tidemark.session import settle
+from tidemark.sources.delimited import by_header, header_cells
 
 # What a usable export looks like.
 HEADER_WORDS = ("id", "edad", "sexo", ";")
@@ -92,81 +93,75 @@ def export_audit(spark: SparkSession, path: str | Sequence[str],
 def clean_export(spark: SparkSession, path: str | Sequence[str], label_column: str = "periodo",
                  sep: str = ";", header_words: Sequence[str] = HEADER_WORDS,
                  file_column: str | None = None) -> DataFrame:
-    """Rows of all usable exports under ``path``, all columns as strings, label first, then the
-    file path if ``file_column`` names a column for it.
+    """Rows of all exports under ``path``, all columns as strings, label first, then the file path
+    if ``file_column`` names a column for it.
 
     UTF-8 files stay as they are, others are decoded as Windows-1252. Preamble and blank lines
     go; the header cells lose blanks and quotes. A file without a period label takes its own
-    name. Files that are refused, too short or without a header are left out and show up in
-    :func:`export_audit`. Quoted fields that contain a line break are not supported.
+    name. A file that is refused, too short or without a header is an error that names it
+    (:func:`usable_exports` gives the rest, with the rejects beside it), and so is a row with more
+    cells than its header. Quoted fields that contain a line break are not supported.
     """
-    lines = number_lines(spark, path)
-    files = settle(_describe_exports(lines, header_words), "exports")
-    usable = files.filter(F.col("status") == "ok")
-    # one entry per distinct header layout, not per file
-    layouts = [r["header_text"] for r in usable.select("header_text").distinct().toLocalIterator()]
-    if not layouts:
+    rows, rejects = usable_exports(spark, path, label_column, sep, header_words, file_column)
+    bad = [f"{r['file']} ({r['status']})" for r in rejects.orderBy("file").limit(5).collect()]
+    if bad:
+        raise ValueError(f"unusable export: {', '.join(bad)}")
+    if rows is None:
         raise ValueError(f"no usable export under {path}")
+    return rows
+
 
+def usable_exports(spark: SparkSession, path: str | Sequence[str], label_column: str = "periodo",
+                   sep: str = ";", header_words: Sequence[str] = HEADER_WORDS,
+                   file_column: str | None = None) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of the usable exports (None without any) and the rejected files with ``status``."""
+    lines = number_lines(spark, path)
+    files = settle(_describe_exports(lines, header_words)
+                   .withColumn("header", header_cells(F.col("header_text"), sep)), "exports")
+    rejects = files.filter(F.col("status") != "ok").select("file", "size", "status")
+    usable = files.filter(F.col("status") == "ok")
+    if usable.isEmpty():
+        return None, rejects
     # the table of files is settled: Catalyst broadcasts it only when it is small
     body = lines.join(usable, "file").filter(F.col("pos") > F.col("header_pos"))
-    body = body.select("file", "label", "header_text",
-                       F.regexp_replace(_decoded(F.col("raw")), r"\r$", "").alias("line"))
-    body = body.filter(F.length("line") > 0)
-
-    kept = {label_column: F.col("label")}
+    body = body.withColumn("line", _decoded(F.col("raw"))).filter(
+        F.length(F.regexp_replace("line", r"\r$", "")) > 0)
+    keep = {label_column: F.col("label")}
     if file_column:
-        kept[file_column] = F.col("file")
-    return _parse_layouts(body, "header_text", layouts, sep, keep=list(kept),
-                          body_columns=[c.alias(name) for name, c in kept.items()])
-
-
-def _header_cells(header: str, sep: str) -> list[str]:
-    return [cell.strip().strip('"') for cell in header.strip("\r\n").split(sep)]
-
-
-def _parse_layouts(body: DataFrame, header_column: str, layouts: Sequence[str], sep: str,
-                   names=_header_cells, keep: Sequence[str] = (),
-                   body_columns: Sequence[Column] = ()) -> DataFrame:
-    """Split column ``line`` by the header layout of its file; layouts are united by name."""
-    out = None
-    for layout in sorted(layouts):
-        columns = names(layout, sep)
-        fields = ", ".join(f"c{i} string" for i in range(len(columns)))
-        cells = F.from_csv(F.col("line"), F.lit(fields), {"sep": sep})
-        part = (body.filter(F.col(header_column) == layout)
-                .select(*body_columns, cells.alias("cells"))
-                .select(*keep, *[F.col(f"cells.c{i}").alias(n) for i, n in enumerate(columns)]))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
-def _report_cells(header: str, sep: str) -> list[str]:
-    return [normalize_name(cell) or f"c{i}" for i, cell in enumerate(_header_cells(header, sep))]
+        keep[file_column] = F.col("file")
+    return by_header(body, usable, sep, keep), rejects
 
 
 def read_report(spark: SparkSession, path: str | Sequence[str], header_row: int = 5,
                 sep: str = ";") -> DataFrame:
     """A text report with the header on line ``header_row`` (0-based) of every file.
 
-    Rows without any value are dropped and nulls become ``''``. All files form one table.
+    Rows without any value are dropped and nulls become ``''``. All files form one table, united by
+    normalised column names. A file with too few lines for a header, and a row with more cells than
+    its header, are errors that name the file.
     Lines of a block are numbered without gaps, so the header is the first number of the file
     plus ``header_row``.
     """
     lines = number_lines(spark, path)
-    starts = (lines.filter(F.col("pos.block") == 0).groupBy("file")
-              .agg(F.min("pos").alias("start")))
+    starts = settle(lines.groupBy("file").agg(
+        F.min(F.when(F.col("pos.block") == 0, F.col("pos"))).alias("start")), "starts")
     at_header = ((F.col("pos.block") == 0)
                  & (F.col("pos.n") == F.col("start.n") + header_row))
-    heads = settle(lines.join(starts, "file").filter(at_header)
+    found = settle(lines.join(starts, "file").filter(at_header)
                    .select("file", F.col("pos").alias("header_pos"),
-                           F.col("raw").alias("header")), "heads")
-    layouts = [r["header"] for r in heads.select("header").distinct().toLocalIterator()]
-    if not layouts:
-        raise ValueError(f"no report with a header on line {header_row} under {path}")
+                           header_cells(F.col("raw"), sep).alias("cells")), "found")
+    short = [r["file"] for r in starts.join(found, "file", "left_anti").orderBy("file").limit(5)
+             .collect()]
+    if short or found.isEmpty():
+        raise ValueError(f"no header on line {header_row} in {', '.join(short) or path}")
+    # distinct names only; an empty one is named by its place
+    raw = [r[0] for r in found.select(F.explode("cells")).distinct().toLocalIterator()]
+    plain = F.create_map(*[F.lit(x) for cell in raw for x in (cell, normalize_name(cell))])
+    heads = found.withColumn("header", F.transform("cells", lambda c, i: F.when(
+        plain[c] == "", F.concat(F.lit("c"), i.cast("string"))).otherwise(plain[c])))
     body = (lines.join(heads, "file").filter(F.col("pos") > F.col("header_pos"))
-            .select("header", F.regexp_replace("raw", r"\r$", "").alias("line")))
-    return _parse_layouts(body, "header", layouts, sep, names=_report_cells).dropna("all").fillna("")
+            .withColumn("line", F.col("raw")))
+    return by_header(body, heads, sep, {}).dropna("all").fillna("")
 
 
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
