@@ -180,11 +180,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     marks = settle(fingerprints(docs, key, text, shingle, seed), "fingerprints")
     firsts = settle(marks.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
     nodes = settle(connected_components(near_links(firsts, radius, bucket_limit)), "nodes")
-    joined = firsts.join(nodes, F.col("fp") == F.col("node"), "left")
     ids = nodes.join(firsts, F.col("node") == F.col("fp")).groupBy("root").agg(
         F.min("first").alias("smallest"))
+    # most fingerprints have no link: they must not meet under one null root
+    linked = nodes.join(ids, "root").select(F.col("node").alias("fp"), "smallest")
     classes = settle(
-        joined.join(ids, "root", "left").select(
+        firsts.join(linked, "fp", "left").select(
             "fp", F.coalesce("smallest", "first").alias("component_id")), "classes")
     return marks.join(classes, "fp").select(key, "fp", "component_id")
 
