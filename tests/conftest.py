@@ -5,9 +5,7 @@ from tidemark.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", cores=8)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    session = local_session("tests", cores=8, shared=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -2,6 +2,7 @@
 
 import json
 import random
+import shutil
 import uuid
 
 import pytest
@@ -161,3 +162,21 @@ def test_published_without_a_model(spark, first, tmp_path):
         "desercion_por_semestre.csv", "desercion_por_escuela.csv", "desercion_por_programa.csv",
         "desercion_demografia.csv", "mapa_departamento.csv", "kpis.json", "manifest.json"))
     assert manifest["model_version"] is None
+
+
+def test_a_lake_with_exports_only_ends_after_silver(spark, lake, first, tmp_path):
+    shutil.copytree(lake / "raw" / "exports", tmp_path / "raw" / "exports")
+    tag = uuid.uuid4().hex
+    out = run_flow(spark, str(tmp_path), SCHEMAS, f"silver_{tag}", f"gold_{tag}")
+    assert out["missing"] == ["gobierno_sisben_iv", "gobierno_internet_fijo"]
+    assert spark.read.parquet(f"{tmp_path}/silver/estudiantes").count() == 1
+
+
+def test_a_lake_without_reports_runs_through(spark, lake, first, tmp_path):
+    for name in ("estudiantes", "gobierno"):
+        shutil.copytree(lake / "raw" / name, tmp_path / "raw" / name)
+    (tmp_path / "raw" / "exports").mkdir()
+    tag = uuid.uuid4().hex
+    out = run_flow(spark, str(tmp_path), SCHEMAS, f"silver_{tag}", f"gold_{tag}")
+    assert out["mirrored"] == ["dim_gold_gobierno_sisben", "dim_gold_gobierno_internet"]
+    assert out["manifest"]["model_version"] is None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.plans.silver import credit_table, students_from_exports, students_table
-from tidemark.session import settle, shared_dir
+from tidemark.session import scratch, settle, shared_dir
 from tidemark.sources import (
     clean_export, export_audit, files_by_stem, page_audit, publish, read_delimited, read_pages,
     read_published, read_report, require_same_version, route_datasets, write_gold, write_silver)
@@ -190,11 +190,19 @@ def test_shared_folder_where_none_is_named():
                                sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
 
     folder = shared_dir(session("local[2]"))
-    assert os.path.isdir(folder) and folder == shared_dir(session("local[2]"))
+    assert folder == "/tmp/tidemark-shared" == shared_dir(session("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session("yarn"))
 
 
+def test_scratch_tables_are_deleted(spark):
+    with scratch(spark):
+        inside = settle(spark.range(3)).inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(inside)
+    assert not os.path.exists(inside)
+    assert settle(spark.range(3)).count() == 3
+
+
 def test_settled_tables_go_to_the_named_folder(spark):
     df = settle(spark.range(3))
     files = df.inputFiles()

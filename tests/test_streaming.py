@@ -16,3 +16,9 @@ def test_only_new_files_are_picked_up(spark, tmp_path):
     assert rows(second.select("id", "batch")) == [("1", 0), ("2", 0), ("3", 1)]
     third = pick_up_new_files(*args, options=options, transform=normalize_columns)
     assert third.count() == 3
+
+
+def test_nothing_to_pick_up_gives_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    out = pick_up_new_files(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/c", "a int")
+    assert out.columns == ["a", "batch"] and out.count() == 0

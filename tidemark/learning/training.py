@@ -55,11 +55,9 @@ def prepare(df: DataFrame, spec: FeatureSpec, settings: TrainSettings) -> Frames
     wanted = list(dict.fromkeys([spec.entity, spec.period, spec.target, *spec.features]))
     labelled = build_features(df, spec).filter(F.col(spec.target).isNotNull()).select(
         *wanted, in_holdout(F.col(spec.entity), settings.holdout, settings.seed).alias("_test"))
-    # every fit reads these rows many times: spread them over all cores, however small the input;
-    # large files are split again when they are read
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    # every fit reads these rows many times: AQE sizes the files by their bytes
     labelled = settle(labelled.withColumn(spec.target, F.col(spec.target).cast("int"))
-                      .repartition(cores, spec.entity, spec.period), "labelled")
+                      .hint("rebalance", spec.entity, spec.period), "labelled")
     categories = freeze_categories(labelled.filter(~F.col("_test")), spec)
     mapped = apply_categories(labelled, categories)
     train = mapped.filter(~F.col("_test")).drop("_test")
@@ -71,12 +69,10 @@ def prepare(df: DataFrame, spec: FeatureSpec, settings: TrainSettings) -> Frames
 def out_of_fold_scores(frames: Frames, spec: FeatureSpec, settings: TrainSettings) -> DataFrame:
     """``fold, target, score`` of the training rows, each scored by a model that never saw its
     entity. One fit per fold; the rows are united, not collected."""
-    spark = frames.train.sparkSession
     folds = settle(group_folds(frames.train, spec.entity, spec.target, settings.folds,
                                settings.seed), "folds")
     rows = settle(frames.train.join(folds, spec.entity)
-                  .repartition(spark.sparkContext.defaultParallelism, spec.entity, spec.period),
-                  "foldrows")
+                  .hint("rebalance", spec.entity, spec.period), "foldrows")
     pipeline = tree_pipeline(frames.numeric, frames.categories, spec.target, "boosted",
                              settings.trees, settings.depth)
 

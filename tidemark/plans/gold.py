@@ -17,6 +17,7 @@ from tidemark.operators.panel import (
 from tidemark.operators.profiles import period_prevalence
 from tidemark.plans.fixed import (
     CALENDAR, CALENDAR_SCHEMA, COHORT_PRIORITY, RESIDENTIAL, SEMESTER_COLUMNS)
+from tidemark.sources.artifacts import artifacts_exist
 from tidemark.sources.tables import literal_rows, read_partitioned, write_gold
 
 
@@ -89,6 +90,14 @@ def semester_fact(fact: DataFrame) -> DataFrame:
     return picked.select(*SEMESTER_COLUMNS)
 
 
+#: Silver tables without which no fact can be built.
+NEEDED = ("estudiantes", "gobierno_sisben_iv", "gobierno_internet_fijo")
+
+
+def missing_silver(spark: SparkSession, silver: str) -> list[str]:
+    return [name for name in NEEDED if not artifacts_exist(spark, f"{silver}/{name}")]
+
+
 def silver_to_gold(spark: SparkSession, silver: str, gold: str, run_id: str) -> dict[str, str]:
     """Write the gold dimensions and both facts; returns table name -> path.
 

@@ -9,10 +9,11 @@ from pyspark.sql import SparkSession
 
 from tidemark.learning.training import TrainSettings
 from tidemark.plans.fixed import MIRRORS
-from tidemark.plans.gold import gold_checks, silver_to_gold
+from tidemark.plans.gold import gold_checks, missing_silver, silver_to_gold
 from tidemark.plans.model import score_and_save, train_and_save
 from tidemark.plans.publish import publish_dashboard
 from tidemark.plans.silver import raw_to_silver
+from tidemark.session import scratch
 from tidemark.sources.artifacts import load_latest, run_stamp
 from tidemark.sources.tables import (
     ensure_database, mirror, read_partitioned, register_table)
@@ -24,8 +25,16 @@ def run_flow(spark: SparkSession, lake: str, schemas: Mapping[str, str], silver_
     """Raw files under ``<lake>/raw`` to published aggregates under ``<lake>/web``.
 
     Full overwrite, so a run can be repeated. Training happens on request; without a model the
-    scores are skipped and the descriptive aggregates are published alone.
+    scores are skipped and the descriptive aggregates are published alone. A source that is absent
+    is left out; when the facts cannot be built without it, the flow ends after the silver tables
+    and names it under ``missing``. Intermediate tables are deleted at the end.
     """
+    with scratch(spark):
+        return _run(spark, lake, schemas, silver_db, gold_db, retrain, settings)
+
+
+def _run(spark: SparkSession, lake: str, schemas: Mapping[str, str], silver_db: str, gold_db: str,
+         retrain: bool, settings: TrainSettings) -> dict[str, Any]:
     run_id = run_stamp()
     silver, gold, models = f"{lake}/silver", f"{lake}/gold", f"{lake}/models/churn"
     ensure_database(spark, silver_db)
@@ -33,6 +42,9 @@ def run_flow(spark: SparkSession, lake: str, schemas: Mapping[str, str], silver_
         register_table(spark, f"{silver_db}.{name}", f"{silver}/{name}")
     ensure_database(spark, gold_db)
     mirrored = mirror(spark, MIRRORS, silver_db, gold, run_id)
+    missing = missing_silver(spark, silver)
+    if missing:
+        return {"run_id": run_id, "mirrored": mirrored, "gold": {}, "missing": missing}
     paths = silver_to_gold(spark, silver, gold, run_id)
     for name, path in paths.items():
         register_table(spark, f"{gold_db}.{name}", path,

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.names import normalize_columns, normalize_name, rename_map
 from tidemark.functions.text import homologate
+from tidemark.operators.profiles import union_all
 from tidemark.operators.reshape import melt
 from tidemark.plans.fixed import CREDIT_RULES, PERIOD_FROM_FILE, POVERTY_NAMES
 from tidemark.sources.artifacts import artifacts_exist
@@ -49,20 +50,33 @@ def government_tables(spark: SparkSession, path: str,
             for name, df in tables.items()}
 
 
+def has_files(spark: SparkSession, folder: str, pattern: str = "*") -> bool:
+    """Whether the folder is there with a file of that name in it; no content is read."""
+    return artifacts_exist(spark, folder) and not (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True).load(folder).select("path").isEmpty())
+
+
 def raw_to_silver(spark: SparkSession, raw: str, silver: str, run_id: str,
                   schemas: Mapping[str, str | T.StructType]) -> list[str]:
-    """Write every silver table below ``silver``; returns their names."""
-    students = normalize_columns(students_table(spark, f"{raw}/estudiantes/*.csv"))
-    if artifacts_exist(spark, f"{raw}/exports"):
-        exported = normalize_columns(students_from_exports(spark, f"{raw}/exports"))
-        students = students.unionByName(exported, allowMissingColumns=True)
-    tables: dict[str, tuple[DataFrame, str]] = {"estudiantes": (students, "estudiantes")}
-    for name, df in government_tables(spark, f"{raw}/gobierno", schemas).items():
-        tables[name] = (df, "gobierno")
-    for stem, path in files_by_stem(spark, f"{raw}/spadies").items():
-        name = f"spadies_{normalize_name(stem)}"
-        tables[name] = (credit_table(spark, path), name)
-    tables["snies_graduados"] = (read_report(spark, f"{raw}/snies/*.csv"), "snies")
+    """Write the silver tables of the sources that are there; returns their names."""
+    students = []
+    if has_files(spark, f"{raw}/estudiantes", "*.csv"):
+        students.append(normalize_columns(students_table(spark, f"{raw}/estudiantes/*.csv")))
+    if has_files(spark, f"{raw}/exports"):
+        students.append(normalize_columns(students_from_exports(spark, f"{raw}/exports")))
+    tables: dict[str, tuple[DataFrame, str]] = {}
+    if students:
+        tables["estudiantes"] = (union_all(students), "estudiantes")
+    if has_files(spark, f"{raw}/gobierno"):
+        for name, df in government_tables(spark, f"{raw}/gobierno", schemas).items():
+            tables[name] = (df, "gobierno")
+    if has_files(spark, f"{raw}/spadies", "*.csv"):
+        for stem, path in files_by_stem(spark, f"{raw}/spadies").items():
+            name = f"spadies_{normalize_name(stem)}"
+            tables[name] = (credit_table(spark, path), name)
+    if has_files(spark, f"{raw}/snies", "*.csv"):
+        tables["snies_graduados"] = (read_report(spark, f"{raw}/snies/*.csv"), "snies")
     for name, (df, source) in tables.items():
         write_silver(with_silver_audit(df, source, run_id), f"{silver}/{name}")
     return list(tables)

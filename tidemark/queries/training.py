@@ -1,7 +1,7 @@
 """Model queries on the customer panel.
 
-Fitted models have no SQL form, so most of these are checked by their rows only; what surrounds
-the model (which rows are scored, by which fold, how bands follow from scores) does have one.
+Fitted models have no SQL form, but what surrounds them has: which rows are scored, by which fold,
+how many are positive, how figures and bands follow from each other. The settings are the defaults.
 """
 
 from pyspark.sql import functions as F
@@ -12,7 +12,6 @@ from tidemark.learning.models import baseline_pipeline, fit_balanced, tree_pipel
 from tidemark.learning.training import (
     TrainSettings, feature_schema, fold_metrics, out_of_fold_scores, prepare, score_batch, train)
 from tidemark.operators.evaluation import evaluate, score_counts
-from tidemark.functions import half_even, risk_band
 from tidemark.queries.registry import SQL_PANEL, customer_panel, orders_t, query
 from tidemark.session import settle
 
@@ -22,7 +21,7 @@ SPEC = FeatureSpec(
              "log_spent"),
     categorical=("c_mktsegment", "n_name", "r_name"), logs={"log_spent": "spent"},
     barred=("t", "next_t"))
-SETTINGS = TrainSettings(trees=5, depth=4, folds=3, repeats=2)
+SETTINGS = TrainSettings()
 
 
 def modelling_table(spark, sf):
@@ -41,37 +40,67 @@ def _trees(frames, kind="boosted"):
                          SETTINGS.depth)
 
 
+SQL_LABELLED = SQL_PANEL + """,
+labelled as (
+  select o_custkey, t, churned_next as y,
+    cast('0x' || substr(md5('42|' || cast(o_custkey as varchar)), 1, 8) as bigint)
+      < cast(floor(0.2 * 4294967296) as bigint) as held_out
+  from panel where churned_next is not null)"""
+
+
+def _sql_checked(rows):
+    """What SQL knows of an evaluation: the rows, how many are positive, and that the rest holds."""
+    return f"""with {SQL_LABELLED}
+select cast(count(*) as bigint) as n, cast(sum(y) as bigint) as positives,
+  round(avg(y), 9) as prevalence, true as adds_up, true as within_bounds, true as f1_follows
+from {rows}"""
+
+
+SQL_HOLDOUT = _sql_checked("labelled where held_out")
+
+
+def _checked(metrics):
+    """The counts, and the identities between the figures of an evaluation."""
+    rates = [F.coalesce(F.col(c), F.lit(0.0)).between(0, 1)
+             for c in ("precision", "recall", "f1", "roc_auc", "pr_auc")]
+    within = rates[0]
+    for rate in rates[1:]:
+        within = within & rate
+    f1 = F.coalesce(F.try_divide(2.0 * F.col("precision") * F.col("recall"),
+                                 F.col("precision") + F.col("recall")), F.lit(0.0))
+    return metrics.select(
+        "n", (F.col("tp") + F.col("fn")).alias("positives"),
+        F.round("prevalence", 9).alias("prevalence"),
+        (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp") == F.col("n")).alias("adds_up"),
+        within.alias("within_bounds"), (F.abs(F.col("f1") - f1) < 1e-9).alias("f1_follows"))
+
+
 def _holdout_metrics(frames, pipeline):
     scored = with_score(fit_balanced(pipeline, frames.train, SPEC.target), frames.test)
     return evaluate(score_counts(scored, "score", SPEC.target), 0.5)
 
 
-@query("oof_fold_metrics")
-def oof_fold_metrics(spark, sf):
-    return fold_metrics(out_of_fold_scores(_frames(spark, sf), SPEC, SETTINGS), SPEC.target)
-
-
-@query("boosted_holdout")
+@query("boosted_holdout", SQL_HOLDOUT)
 def boosted_holdout(spark, sf):
     frames = _frames(spark, sf)
-    return _holdout_metrics(frames, _trees(frames))
+    return _checked(_holdout_metrics(frames, _trees(frames)))
 
 
-@query("baseline_holdout")
+@query("baseline_holdout", SQL_HOLDOUT)
 def baseline_holdout(spark, sf):
     frames = _frames(spark, sf)
     weight = float(frames.train.count())
-    return _holdout_metrics(frames, baseline_pipeline(frames.numeric, frames.categories,
-                                                      SPEC.target, weight))
+    return _checked(_holdout_metrics(frames, baseline_pipeline(
+        frames.numeric, frames.categories, SPEC.target, weight)))
 
 
-@query("challenger_holdout")
+@query("challenger_holdout", SQL_HOLDOUT)
 def challenger_holdout(spark, sf):
     frames = _frames(spark, sf)
-    return _holdout_metrics(frames, _trees(frames, "forest"))
+    return _checked(_holdout_metrics(frames, _trees(frames, "forest")))
 
 
-@query("temporal_holdout")
+@query("temporal_holdout", _sql_checked("labelled where t = (select max(t) from labelled)"))
 def temporal_holdout(spark, sf):
     """Train before the last labelled period, test on it."""
     frames = _frames(spark, sf)
@@ -79,26 +108,46 @@ def temporal_holdout(spark, sf):
     early = settle(frames.labelled.filter(F.col("t") < last), "early")
     late = frames.labelled.filter(F.col("t") == last)
     scored = with_score(fit_balanced(_trees(frames), early, SPEC.target), late)
-    return evaluate(score_counts(scored, "score", SPEC.target), 0.5)
+    return _checked(evaluate(score_counts(scored, "score", SPEC.target), 0.5))
+
+
+_NO_FEATURE = "constant"
 
 
-@query("permutation_importance")
+@query("permutation_importance", "select * from (values " + ", ".join(
+    f"('{f}', true)" for f in (*SPEC.numeric, *SPEC.categorical, _NO_FEATURE))
+    + ") as v(feature, sound)")
 def importance(spark, sf):
+    """A feature that the model does not see loses exactly nothing; the others a finite amount."""
     frames = _frames(spark, sf)
     model = fit_balanced(_trees(frames), frames.train, SPEC.target)
-    return permutation_importance(model, frames.test, ["o_custkey", "t"],
-                                  [*frames.numeric, *frames.categories], SPEC.target,
-                                  SETTINGS.repeats)
+    rows = frames.test.withColumn(_NO_FEATURE, F.lit(1))
+    found = permutation_importance(
+        model, rows, ["o_custkey", "t"], [*frames.numeric, *frames.categories, _NO_FEATURE],
+        SPEC.target, SETTINGS.repeats)
+    lost, spread = F.col("importance_mean"), F.col("importance_std")
+    return found.select("feature", F.when(
+        F.col("feature") == _NO_FEATURE, (lost == 0) & (spread == 0)).otherwise(
+        lost.between(-1, 1) & (spread >= 0)).alias("sound"))
+
+
+def _band_by_rule(score, limit):
+    """The published rule: high from the threshold on, medium from its half on, else low."""
+    return (F.when(score < limit / 2, "bajo").when(score < limit, "medio").otherwise("alto"))
 
 
-@query("train_and_score")
+@query("train_and_score", f"""with {SQL_PANEL}
+select cast(o_custkey as varchar) as id, t, 'run-1' as model_version, true as valid_score,
+  true as band_follows from panel""")
 def train_and_score(spark, sf):
     """The whole protocol, then scores of every period."""
     rows = modelling_table(spark, sf)
     model, metrics, schema = train(rows, SPEC, "run-1", SETTINGS)
     scores = score_batch(rows, model, metrics, schema, "run-2", ["t"])
-    return scores.select("id", "t", half_even(F.col("score_riesgo"), 9).alias("score_riesgo"),
-                         "banda_riesgo", "threshold", "model_version")
+    return scores.select(
+        "id", "t", "model_version", F.col("score_riesgo").between(0, 1).alias("valid_score"),
+        (F.col("banda_riesgo") == _band_by_rule(F.col("score_riesgo"), F.col("threshold")))
+        .alias("band_follows"))
 
 
 SQL_TRAIN_FOLDS = SQL_PANEL + """,
@@ -112,7 +161,18 @@ strata as (
   from lab group by o_custkey),
 folds as (
   select o_custkey, cast((row_number() over (partition by stratum
-    order by h, cast(o_custkey as varchar)) - 1) % 3 as integer) as fold from strata)"""
+    order by h, cast(o_custkey as varchar)) - 1) % 5 as integer) as fold from strata)"""
+
+
+@query("oof_fold_metrics", f"""with {SQL_TRAIN_FOLDS}
+select fold, count(*) as n_val, round(avg(y), 9) as prevalence_val, true as within_bounds
+from lab join folds using (o_custkey) group by fold""")
+def oof_fold_metrics(spark, sf):
+    found = fold_metrics(out_of_fold_scores(_frames(spark, sf), SPEC, SETTINGS), SPEC.target)
+    return found.select("fold", "n_val", F.round("prevalence_val", 9).alias("prevalence_val"),
+                        (F.col("f1_default").between(0, 1)
+                         & F.coalesce(F.col("pr_auc"), F.lit(0.0)).between(0, 1))
+                        .alias("within_bounds"))
 
 
 @query("oof_coverage", f"""with {SQL_TRAIN_FOLDS}
@@ -139,4 +199,5 @@ def batch_scores(spark, sf):
     return scores.select(
         "id", "t", "model_version", "threshold",
         F.col("score_riesgo").between(0, 1).alias("valid_score"),
-        (F.col("banda_riesgo") == risk_band(F.col("score_riesgo"), 0.5)).alias("band_follows"))
+        (F.col("banda_riesgo") == _band_by_rule(F.col("score_riesgo"), F.lit(0.5)))
+        .alias("band_follows"))

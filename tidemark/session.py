@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback_dirs: dict[str, str] = {}
+#: Folders of the scratch scopes that are open, innermost last.
+_open_scopes: list[str] = []
 
 
-def local_session(app: str = "tidemark", cores: int | str = "*",
-                  shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and trials; a cluster brings its own."""
+def local_session(app: str = "tidemark", cores: int | str = "*", shuffle_partitions: int = 8,
+                  memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A local session for tests and trials; a cluster brings its own.
+
+    ``shared`` becomes ``spark.checkpoint.dir``, the folder of intermediate tables.
+    """
+    builder = SparkSession.builder
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]").appName(app)
+        builder.master(f"local[{cores}]").appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -31,27 +39,41 @@ def local_session(app: str = "tidemark", cores: int | str = "*",
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local trial that names none gets a fresh folder; on a cluster a folder of the driver
-    would be out of reach for the executors, so there it is an error.
+    Only a local trial that names none gets a folder under ``spark.local.dir``; on a cluster a
+    folder of the driver would be out of reach for the executors, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback_dirs:
-        _fallback_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _fallback_dirs[app]
+    return f"{spark.conf.get('spark.local.dir', '/tmp').rstrip('/')}/tidemark-shared"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses.
 
-    All paths of an application share one sub-folder, which may be dropped when it has ended.
+    All paths of an application share one sub-folder, which may be dropped when it has ended;
+    those of an open :func:`scratch` are dropped with it.
     """
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/tidemark-{app}/{label}-{uuid.uuid4().hex}"
+    scope = f"/{_open_scopes[-1]}" if _open_scopes else ""
+    return f"{shared_dir(spark)}/tidemark-{app}{scope}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables of the block are deleted when it ends; what it returns must not read
+    them any more."""
+    name = f"scope-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{name}"
+    _open_scopes.append(name)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.artifacts import artifacts_exist
+
 
 def pick_up_new_files(spark: SparkSession, source: str, target: str, checkpoint: str,
                       schema: str | T.StructType, file_format: str = "csv",
@@ -17,7 +19,8 @@ def pick_up_new_files(spark: SparkSession, source: str, target: str, checkpoint:
     """Process the files that arrived since the last call, then stop; returns the target table.
 
     Files seen before are remembered by the checkpoint. A batch overwrites its own ``batch``
-    partition, so a batch that is repeated after a failure leaves no duplicates.
+    partition, so a batch that is repeated after a failure leaves no duplicates. As long as no file
+    has arrived the table is empty.
     """
     reader = spark.readStream.schema(schema).format(file_format).options(**(options or {}))
     if max_files:
@@ -33,4 +36,6 @@ def pick_up_new_files(spark: SparkSession, source: str, target: str, checkpoint:
     query = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    if not artifacts_exist(spark, target):
+        return spark.createDataFrame([], stream.schema).withColumn("batch", F.lit(0))
     return spark.read.parquet(target)
