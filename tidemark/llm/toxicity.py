@@ -5,13 +5,13 @@ symbol after the three before it. Both back off to the same lower orders, built
 counts (in how many contexts a symbol was seen) that the classes share: an expression that is rare
 or unseen in a class costs both models the same, so it does not speak for either.
 
-Symbols are 32 classes of bytes: letters without case, white space, digits, punctuation, and three
-for the bytes of other scripts. Four of them make 2 ** 20 codes; that bounds every table, whatever
-the corpus holds, while the counts in them come from all labelled texts.
+Symbols are 64 classes of characters: letters without case, white space, digit, punctuation, and 35
+for other letters. Four of them make 2 ** 24 codes; that bounds every table, whatever the corpus
+holds (the ratio table is 32 MB), while the counts in it come from all labelled texts.
 
-A document gets the length-normalised log-likelihood ratio of its whole text and of its most toxic
-expression (a window of 32 symbols). A logistic curve over the two makes a probability of it. The
-curve is fitted out of fold: a labelled text is scored with the counts of the other folds.
+Length-normalised log-likelihood ratios of the two models are taken of the whole text, of its words
+and of windows of 16 symbols (:data:`FEATURES`), and a logistic curve makes a probability of them.
+The curve is fitted out of fold: a labelled text is scored with the counts of the other folds.
 """
 
 from __future__ import annotations
@@ -24,133 +24,192 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_fold, labelled, map_batches, utf8_values
+from tidemark.llm.common import crc_fold, labelled, map_batches
 from tidemark.session import settle
 
 ORDER = 4
-SYMBOLS = 32
+BITS = 6
+SYMBOLS = 1 << BITS
 CODES = SYMBOLS ** ORDER
-WINDOW = 32
+WINDOW = 16
 DISCOUNT = 0.75
 FOLDS = 3
+#: What a word's ratio must exceed (in nats) to count as an expression of the class.
+STRONG = (2.0, 3.0)
 #: Labelled texts that the logistic curve is fitted on, chosen by hash; the counts use all of them.
 CURVE_ROWS = 8192
-BYTES_AT_ONCE = 1 << 20
+CHARACTERS_AT_ONCE = 1 << 20
+MERGE_AT = 1 << 21
+
+FEATURES = ("per symbol, whole text", "per symbol, most toxic window",
+            "strong words per word", "strong words by root of length",
+            "very strong words per word", "very strong words by root of length",
+            "most toxic word", "three most toxic words")
 
 
 def _symbol_table() -> np.ndarray:
-    table = np.full(256, 28, np.uint8)  # punctuation and control characters
+    points = np.arange(0x110000)
+    table = (29 + points % 35).astype(np.uint8)
+    table[:128] = 28  # punctuation and control characters
     for i in range(26):
         table[ord("a") + i] = table[ord("A") + i] = 1 + i
-    table[list(b" \t\n\r\x0b\x0c")] = 0
-    table[list(b"0123456789")] = 27
-    table[128:] = 29 + np.arange(128) % 3
+    table[[ord(c) for c in " \t\n\r\x0b\x0c"]] = 0
+    table[ord("0"):ord("9") + 1] = 27
+    table[0xC0:0xDF] = table[0xE0:0xFF]  # accented capitals
     return table
 
 
 SYMBOL = _symbol_table()
 
 
-def symbol_codes(text: bytes) -> np.ndarray:
+def symbol_codes(text: str) -> np.ndarray:
     """The code of every four symbols in a row; the text stands between white space."""
-    symbols = SYMBOL[np.frombuffer(b"   " + text + b" ", np.uint8)].astype(np.int32)
+    padded = " " * (ORDER - 1) + text + " "
+    symbols = SYMBOL[np.frombuffer(padded.encode("utf-32-le"), np.uint32)].astype(np.int32)
     n = len(symbols) - ORDER + 1
     codes = symbols[:n].copy()
     for i in range(1, ORDER):
-        codes <<= 5
+        codes <<= BITS
         codes |= symbols[i:n + i]
     return codes
 
 
-def _pieces(text: bytes, overlap: int):
-    """Cut a very long text; neighbours share ``overlap`` bytes."""
-    if len(text) <= BYTES_AT_ONCE:
-        yield text
-        return
-    for start in range(0, len(text), BYTES_AT_ONCE):
-        yield text[max(0, start - overlap):start + BYTES_AT_ONCE]
+def _parts(text: str) -> list[str]:
+    """A very long text in parts that end at a blank where there is one."""
+    parts = []
+    while len(text) > CHARACTERS_AT_ONCE:
+        cut = text.rfind(" ", 0, CHARACTERS_AT_ONCE) + 1 or CHARACTERS_AT_ONCE
+        parts.append(text[:cut])
+        text = text[cut:]
+    return [*parts, text]
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    counts = np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
+    return codes, counts
 
 
 def class_counts(texts: DataFrame) -> DataFrame:
-    """``code, fold, label, n`` over the rows ``text, fold, label``: at most one per code, fold
-    and label in a task, so the shuffle is bounded by tasks, not by texts."""
+    """``code`` with a count per fold and label (``n_<fold>_<label>``) over ``text, fold, label``.
+
+    A task sends one row per code, fold and label at most, so the shuffle is bounded by tasks.
+    """
     def run(batches):
-        counts: dict[tuple[int, int], np.ndarray] = {}
+        held: dict[tuple[int, int], list] = {}
+        size: dict[tuple[int, int], int] = {}
         for batch in batches:
-            folds, marks = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for text, fold, label in zip(utf8_values(batch.column(0)), folds, marks, strict=True):
-                table = counts.setdefault((fold, label), np.zeros(CODES, np.int64))
-                for piece in _pieces(text, 0):
-                    code, n = np.unique(symbol_codes(piece), return_counts=True)
-                    table[code] += n
-        for (fold, label), table in counts.items():
-            code = np.flatnonzero(table)
+            for text, fold, label in zip(*[batch.column(i).to_pylist() for i in range(3)],
+                                         strict=True):
+                key = (fold, label)
+                for part in _parts(text or ""):
+                    codes = symbol_codes(part)
+                    held.setdefault(key, []).append((codes, np.ones(len(codes))))
+                    size[key] = size.get(key, 0) + len(codes)
+                if size[key] > MERGE_AT:
+                    held[key] = [_merged(held[key])]
+                    size[key] = 0
+        for (fold, label), parts in held.items():
+            code, n = _merged(parts)
             for at in range(0, len(code), 50_000):
-                part = code[at:at + 50_000]
+                part = slice(at, at + 50_000)
+                rows = len(code[part])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part.astype(np.int32)),
-                     pa.array(np.full(len(part), fold, np.int32)),
-                     pa.array(np.full(len(part), label, np.int32)),
-                     pa.array(table[part])], names=["code", "fold", "label", "n"])
+                    [pa.array(code[part].astype(np.int32)),
+                     pa.array(np.full(rows, fold, np.int32)),
+                     pa.array(np.full(rows, label, np.int32)), pa.array(n[part])],
+                    names=["code", "fold", "label", "n"])
     found = texts.select("text", "fold", "label").mapInArrow(
         run, "code int, fold int, label int, n long")
-    return found.groupBy("code", "fold", "label").agg(F.sum("n").alias("n"))
-
-
-def _discounted(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Interpolated Kneser-Ney: counts and lower order by context (rows) and symbol (columns)."""
-    total = counts.sum(axis=1, keepdims=True)
-    kinds = (counts > 0).sum(axis=1, keepdims=True)
-    seen = (np.maximum(counts - DISCOUNT, 0) + DISCOUNT * kinds * lower) / np.maximum(total, 1)
-    return np.where(total > 0, seen, lower)
-
-
-def _extend(lower: np.ndarray) -> np.ndarray:
-    """A table of an order, repeated for all symbols that may stand one place further left."""
-    return np.tile(lower.reshape(-1, SYMBOLS), (SYMBOLS, 1))
-
-
-def log_ratio(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """log p(symbol | context, toxic) - log p(symbol | context, ordinary) of every code."""
-    shared = ((toxic + ordinary) > 0).reshape((SYMBOLS,) * ORDER)
-    continuations = [shared.astype(np.int64)]
-    for _ in range(1, ORDER):
-        continuations.append((continuations[-1] > 0).sum(axis=0, dtype=np.int64))
-    lower = np.full((1, SYMBOLS), 1 / SYMBOLS)
-    for counts in reversed(continuations[1:]):
-        lower = _extend(_discounted(counts.reshape(-1, SYMBOLS), lower))
-    ratio = (np.log(_discounted(toxic.reshape(-1, SYMBOLS), lower))
-             - np.log(_discounted(ordinary.reshape(-1, SYMBOLS), lower)))
-    return ratio.reshape(-1).astype(np.float32)
-
-
-def text_ratios(text: bytes, ratio: np.ndarray) -> tuple[float, float]:
-    """Ratio per symbol of the whole text, and of its most toxic window."""
-    total, symbols, worst = 0.0, 0, -np.inf
-    for i, piece in enumerate(_pieces(text, WINDOW + ORDER)):
-        values = ratio[symbol_codes(piece)]
-        sums = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-        fresh = min(len(values), WINDOW + ORDER) if i else 0
-        total += sums[-1] - sums[fresh]
-        symbols += len(values) - fresh
+    return found.groupBy("code").agg(*[
+        F.coalesce(F.sum(F.when((F.col("fold") == f) & (F.col("label") == c), F.col("n"))),
+                   F.lit(0)).alias(f"n_{f}_{c}") for f in range(FOLDS) for c in (0, 1)])
+
+
+def _discounted(counts: np.ndarray, context: np.ndarray, lower: np.ndarray) \
+        -> tuple[np.ndarray, np.ndarray]:
+    """Interpolated Kneser-Ney for events with counts, grouped by context number; and the weight
+    that each event's context gives to the lower order."""
+    total = np.bincount(context, counts)[context]
+    kinds = np.bincount(context, counts > 0)[context]
+    weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+    own = np.where(total > 0, np.maximum(counts - DISCOUNT, 0) / np.maximum(total, 1), 0.0)
+    return own + weight * lower, weight
+
+
+def _shared_backoff(codes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of an order and their probabilities from continuation counts: how many distinct codes
+    of the next higher order end in them. ``codes`` holds those endings, repeated."""
+    seen, counts = np.unique(codes, return_counts=True)
+    if order == 1:
+        lower = np.full(len(seen), 1 / SYMBOLS)
+    else:
+        short = seen & (SYMBOLS ** (order - 1) - 1)
+        below, p = _shared_backoff(short, order - 1)
+        lower = p[np.searchsorted(below, short)]
+    context = np.unique(seen >> BITS, return_inverse=True)[1]
+    return seen, _discounted(counts, context, lower)[0]
+
+
+def log_ratio(codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    """log p(symbol | context, toxic) - log p(symbol | context, ordinary) by code, for all codes.
+
+    In a known context an unseen symbol gets the ratio of the two backoff weights: the shared
+    backoff itself cancels. An unknown context says nothing.
+    """
+    table = np.zeros(CODES, np.float16)
+    used = (toxic + ordinary) > 0
+    codes, toxic, ordinary = codes[used].astype(np.int64), toxic[used], ordinary[used]
+    if not len(codes):
+        return table
+    endings = codes & (SYMBOLS ** (ORDER - 1) - 1)
+    below, p = _shared_backoff(endings, ORDER - 1)
+    lower = p[np.searchsorted(below, endings)]
+    contexts, of = np.unique(codes >> BITS, return_inverse=True)
+    p_toxic, w_toxic = _discounted(toxic, of, lower)
+    p_ordinary, w_ordinary = _discounted(ordinary, of, lower)
+    backoff = np.zeros(len(contexts))
+    backoff[of] = np.log(w_toxic) - np.log(w_ordinary)
+    table.reshape(-1, SYMBOLS)[contexts] = backoff[:, None]
+    table[codes] = np.log(p_toxic) - np.log(p_ordinary)
+    return table
+
+
+def text_ratios(text: str, ratio: np.ndarray) -> np.ndarray:
+    """:data:`FEATURES` of a text; windows and words end with the parts of a very long one."""
+    total = symbols = words = 0.0
+    window, strong, top = -np.inf, np.zeros(len(STRONG)), np.zeros(0)
+    for part in _parts(text):
+        codes = symbol_codes(part)
+        values = ratio[codes].astype(np.float64)
+        sums = np.concatenate([[0.0], np.cumsum(values)])
+        total += sums[-1]
+        symbols += len(values)
         if len(values) > WINDOW:
-            worst = max(worst, float((sums[WINDOW:] - sums[:-WINDOW]).max()))
+            window = max(window, (sums[WINDOW:] - sums[:-WINDOW]).max())
         else:
-            worst = max(worst, float(sums[-1]))
-    return total / max(symbols, 1), worst / WINDOW
+            window = max(window, sums[-1])
+        ends = (codes & (SYMBOLS - 1)) == 0
+        by_word = np.add.reduceat(values, np.flatnonzero(np.append(True, ends[:-1])))
+        words += len(by_word)
+        strong += [np.maximum(by_word - s, 0).sum() for s in STRONG]
+        top = np.sort(np.append(top, by_word))[-3:]
+    out = [total / symbols, window / WINDOW]
+    for value in strong:
+        out += [10 * value / words, value / np.sqrt(words)]
+    return np.array([*out, top[-1], top.mean()])
 
 
 @dataclass
 class ToxicityModel:
-    """``ratio`` by code and the curve ``1 / (1 + exp(-(bias + weights * (whole, window))))``."""
+    """``ratio`` by code and the curve ``1 / (1 + exp(-(bias + weights . features)))``."""
 
     ratio: np.ndarray
     weights: np.ndarray
     bias: float
 
-    def score(self, text: bytes) -> float:
-        whole, window = text_ratios(text, self.ratio)
-        z = self.bias + float(self.weights @ (whole, window))
+    def score(self, text: str) -> float:
+        z = self.bias + float(self.weights @ text_ratios(text, self.ratio))
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
@@ -184,34 +243,36 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     marks = settle(labelled(docs, labels, label, key).withColumn(
         "fold", F.pmod(F.xxhash64(key), F.lit(FOLDS)).cast("int")), "labels")
     # a hash table of the narrow side: the texts are moved once and not sorted
-    texts = docs.select(key, text).withColumnRenamed(text, "text").join(
-        marks.hint("shuffle_hash"), key)
-    counts = np.zeros((FOLDS, 2, CODES), np.int64)
-    # at most FOLDS x 2 x 2 ** 20 rows for any corpus, and about 10 ** 5 for natural text
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(
+        marks.hint("shuffle_hash"), F.col("_key") == F.col(key))
+    # a row per code that occurs: at most 2 ** 24 for any corpus, some 10 ** 5 for natural text
     found = class_counts(texts).toPandas()
-    counts[found["fold"], found["label"], found["code"]] = found["n"]
-    whole = counts.sum(axis=0)
-    ratios = docs.sparkSession.sparkContext.broadcast(
-        [log_ratio(*(whole - counts[f])[::-1]) for f in range(FOLDS)])
+    codes = found["code"].to_numpy()
+    by = {(f, c): found[f"n_{f}_{c}"].to_numpy() for f in range(FOLDS) for c in (0, 1)}
+    whole = [sum(by[f, c] for f in range(FOLDS)) for c in (0, 1)]
+    others = docs.sparkSession.sparkContext.broadcast(
+        [log_ratio(codes, whole[1] - by[f, 1], whole[0] - by[f, 0]) for f in range(FOLDS)])
 
     def out_of_fold(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = [text_ratios(t, ratios.value[f]) for t, f in zip(
-            utf8_values(batch.column(0)), batch.column(1).to_pylist(), strict=True)]
-        both = np.array(values, np.float64).reshape(-1, 2)
+        texts, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        x = [text_ratios(t or "", others.value[f]).tolist()
+             for t, f in zip(texts, folds, strict=True)]
         return pa.RecordBatch.from_arrays(
-            [batch.column(2), batch.column(3), pa.array(both[:, 0]), pa.array(both[:, 1])],
-            names=["id", "label", "whole", "window"])
+            [batch.column(2), batch.column(3), pa.array(x, pa.list_(pa.float64()))],
+            names=["id", "label", "x"])
 
     sample = settle(marks.orderBy(F.xxhash64(key, F.lit(5)), key).limit(CURVE_ROWS), "curve")
     # CURVE_ROWS narrow rows bound this broadcast
     fitted = map_batches(
-        docs.select(key, text).join(F.broadcast(sample), key).select(
-            F.col(text).alias("text"), "fold", F.col(key).cast("string").alias("id"), "label"),
-        out_of_fold, "id string, label int, whole double, window double").toPandas()
-    fitted = fitted.sort_values(["id", "whole", "window"])
-    weights, bias = fit_curve(fitted[["whole", "window"]].to_numpy(),
-                              fitted["label"].to_numpy(np.float64))
-    return ToxicityModel(log_ratio(whole[1], whole[0]), weights, bias)
+        docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
+        .join(F.broadcast(sample), F.col("_key") == F.col(key))
+        .select("text", "fold", F.col(key).cast("string").alias("id"), "label"),
+        out_of_fold, "id string, label int, x array<double>").toPandas()
+    others.unpersist()
+    rows = sorted(zip(fitted["id"], fitted["label"], map(tuple, fitted["x"]), strict=True))
+    weights, bias = fit_curve(np.array([r[2] for r in rows]).reshape(-1, len(FEATURES)),
+                              np.array([r[1] for r in rows], np.float64))
+    return ToxicityModel(log_ratio(codes, whole[1], whole[0]), weights, bias)
 
 
 def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text",
@@ -222,7 +283,7 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
     @F.pandas_udf("double")
     def toxicity(values: pd.Series) -> pd.Series:
         model = shared.value
-        return pd.Series([model.score((v or "").encode()) for v in values], dtype="float64")
+        return pd.Series([model.score(v or "") for v in values], dtype="float64")
 
     kept = [c for c in docs.columns if c != "score"] if carry else [key]
     return docs.withColumn("score", toxicity(F.col(text))).select(*kept, "score")
