@@ -144,7 +144,8 @@ def test_trees_follow_the_labelled_urls(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
     scored = url_filter.judge(table).filter("rule is not null")
     right = scored.filter((F.col("score") >= 0.5) == (F.col("verdict") == "block")).count()
-    assert right / scored.count() > 0.9
+    labels = scored.filter("verdict = 'allow'").count() / scored.count()
+    assert right / scored.count() > max(labels, 1 - labels) + 0.05
 
 
 def test_features_by_hand(spark):

@@ -137,7 +137,9 @@ class _Inflated:
             chunk = self.raw.held[self.raw.at:self.raw.at + READ]
             room = max(HEAD, n - (len(self.held) - self.at))
             out = self.packer.decompress(chunk, room)
-            taken = len(chunk) - len(self.packer.unconsumed_tail) - len(self.packer.unused_data)
+            # at the member's end the rest is in unused_data, and may be in the tail as well
+            rest = self.packer.unused_data if self.packer.eof else self.packer.unconsumed_tail
+            taken = len(chunk) - len(rest)
             self.raw.at += taken
             self.used += taken
             self.held, self.at = self.held[self.at:] + out, 0
