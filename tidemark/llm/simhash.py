@@ -8,8 +8,8 @@ out, and the pair collides there. No pair within the radius is lost, for any dat
 
 Hot buckets. Tables hold distinct fingerprints, so exact copies count once. The members of a bucket
 agree on its mask; a bucket above ``bucket_limit`` is therefore masked again by the same rule on the
-positions that are still free, which halves them each time: 64, about 30, about 14, at most 7. The
-last level has at most 2 ** 7 distinct members, so no bucket needs all of its pairs elsewhere and
+positions that are still free, which about halves them each time: 64, 32, 16, at most 8. The last
+level has at most 2 ** 8 distinct members, so no bucket needs all of its pairs elsewhere and
 none is cut.
 """
 
