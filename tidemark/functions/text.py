@@ -13,6 +13,8 @@ PLACE_ACCENTED = "ÁÉÍÓÚÜÑÀÈÌÒÙÂÊÎÔÛ"
 PLACE_PLAIN = "AEIOUUNAEIOUAEIOU"
 # Words that only mark a capital district.
 PLACE_DISTRICT_WORDS = r"\b(D C|DC|DISTRITO)\b"
+# What becomes a blank, in this order.
+PLACE_BLANKS = (r"\([^)]*\)", r"[^A-Z0-9 ]", PLACE_DISTRICT_WORDS, r"\s+")
 
 # Labels of missing and of rare categories.
 UNKNOWN = "DESCONOCIDO"
@@ -24,7 +26,7 @@ def canonical_place(col: Column, accented: str = PLACE_ACCENTED,
                     plain: str = PLACE_PLAIN) -> Column:
     """Canonical spelling of a place name; apply it to both sides of a join."""
     out = F.translate(F.upper(F.trim(col)), accented, plain)
-    for pattern in (r"\([^)]*\)", r"[^A-Z0-9 ]", PLACE_DISTRICT_WORDS, r"\s+"):
+    for pattern in PLACE_BLANKS:
         out = F.regexp_replace(out, pattern, " ")
     return F.trim(out)
 

@@ -57,6 +57,11 @@ def _candidates(points: DataFrame) -> DataFrame:
     return points.filter((F.col("tp") < F.col("pos")) | (F.col("p") > 0))
 
 
+# How the metrics document words the criterion.
+SAFE_CRITERION = "max recall s.t. precision>={limit}"
+FALLBACK_CRITERION = "max F1 (NINGUN threshold alcanzo precision>={limit} en OOF)"
+
+
 def tune_threshold(counts: DataFrame, min_precision: float = 0.80) -> DataFrame:
     """One row: the threshold of highest recall with ``precision >= min_precision`` (the lowest
     of equals), else that of highest F1, with the criterion as text."""
@@ -72,8 +77,8 @@ def tune_threshold(counts: DataFrame, min_precision: float = 0.80) -> DataFrame:
         F.max(F.struct(f1.alias("f1"), -F.col("score"), point.alias("point"))).alias("any"))
     return best.select(
         F.coalesce("safe.point", "any.point").alias("point"),
-        F.when(F.col("safe").isNotNull(), f"max recall s.t. precision>={min_precision}")
-        .otherwise(f"max F1 (NINGUN threshold alcanzo precision>={min_precision} en OOF)")
+        F.when(F.col("safe").isNotNull(), SAFE_CRITERION.format(limit=min_precision))
+        .otherwise(FALLBACK_CRITERION.format(limit=min_precision))
         .alias("criterion")).select("point.*", "criterion")
 
 

@@ -20,6 +20,7 @@ CALENDAR = [
     ("periodo_2034", 2025, "2025-2", 4, "principal", 9),
     ("periodo_2035", 2025, "2025-2", 4, "secundaria", 10),
 ]
+# Which cohort of a semester wins.
 COHORT_PRIORITY = ("principal", "secundaria", "complementaria")
 
 # Technical codes of the poverty register and their business names.
@@ -74,6 +75,7 @@ MIRRORS = {
     "gobierno_internet_fijo": "dim_gold_gobierno_internet",
 }
 
+# Period files by name, and how residential segments begin.
 PERIOD_FROM_FILE = r"estudiantes_([^/]+)\.csv"
 RESIDENTIAL = "RESIDENCIAL"
 
@@ -104,6 +106,7 @@ CHURN_SPEC = FeatureSpec(
             "municipio_residencia"),
 )
 
+# Dimensions of the demographic table.
 DEMOGRAPHIC_DIMS = ("sexo", "zona_de_residencia", "estrato_social", "nivel_conectividad")
 
 # Categories pooled for the gap indicators.
@@ -135,6 +138,7 @@ KPI_TEXTS = {
         "F1 del modelo (holdout)", "",
         "F1 de la clase deserción en el 20% de estudiantes nunca vistos"),
 }
+# Indicators without decimals, and the note in the manifest.
 WHOLE_NUMBER_KPIS = ("matricula_ultimo_semestre", "riesgo_alto")
 PRIVACY_NOTE = ("Todos los datos publicados son agregados disociados: celdas con menos de "
                 "{min_cell} estudiantes suprimidas o colapsadas; tasas 0%/100% no publicadas.")

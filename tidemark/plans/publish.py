@@ -43,7 +43,7 @@ def descriptive_tables(semester: DataFrame, min_cell: int = MIN_CELL) -> dict[st
 
 
 def model_card(metrics: dict[str, Any]) -> dict[str, Any]:
-    """The publishable part of the metrics document."""
+    """The publishable part of the metrics document; its keys are fixed values of the consumer."""
     folds = metrics["validation"]["kfold"]
     return {
         "modelo": metrics["model"], "version": metrics["run_id"],
@@ -105,4 +105,6 @@ def publish_dashboard(spark: SparkSession, semester: DataFrame, out: str, run_id
                 "min_rate_n": MIN_RATE_N,
                 "model_version": metrics["run_id"] if metrics else None,
                 "nota_ley_1581": PRIVACY_NOTE.format(min_cell=min_cell)}
-    return publish(spark, out, {k: named(df) for k, df in tables.items()}, documents, manifest)
+    return publish(spark, out, {k: named(df) for k, df in tables.items()}, documents, manifest,
+                   order={"desercion_por_semestre.csv": ["semestre_orden"],
+                          "importancia_variables.csv": ["ranking"]})

@@ -34,6 +34,23 @@ def csv_roundtrip(spark, sf):
                        "file_year")
 
 
+@query("csv_layouts", """select cast(o_orderkey as varchar) as o_orderkey,
+  o_orderstatus, case when o_orderstatus <> 'O' then cast(o_custkey as varchar) end as o_custkey,
+  case when o_orderstatus = 'P' then 'extra' end as note from orders""")
+def csv_layouts(spark, sf):
+    """Files whose columns differ in order and number are united by name."""
+    path, orders = fresh_path(spark, "layouts"), table(spark, sf, "orders")
+    layouts = {"F": ["o_orderkey", "o_orderstatus", "o_custkey"],
+               "O": ["o_orderstatus", "o_orderkey"],
+               "P": ["note", "o_custkey", "o_orderkey", "o_orderstatus"]}
+    for status, columns in layouts.items():
+        (orders.filter(F.col("o_orderstatus") == status).withColumn("note", F.lit("extra"))
+         .select(*columns).write.option("sep", ";").option("header", True)
+         .csv(f"{path}/{status}"))
+    return read_delimited(spark, f"{path}/*/*.csv").select(
+        "o_orderkey", "o_orderstatus", "o_custkey", "note")
+
+
 PAGE_KEYS = 2_000  # order keys per page, which bounds a page file
 FILE_KEYS = 50_000  # keys per report or export file
 ORDER_SCHEMA = "o_orderkey string, o_custkey string, o_totalprice double"

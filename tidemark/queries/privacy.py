@@ -75,6 +75,16 @@ def suppress_null_child(spark, sf):
     return suppress(cells, "segment", ["region"], min_cell=60)
 
 
+@query("suppress_numeric_child", f"""with {SQL_CUSTOMER_PANEL},
+cells as (select n_name, cast(balance_band as varchar) as band, {SQL_COUNTS} from cpanel
+          group by 1, 2),
+{sql_suppressed("cells", "band", "n_name")}""")
+def suppress_numeric_child(spark, sf):
+    """A child of numbers: it is published as text, beside the merged label."""
+    rows = customer_panel(spark, sf).select(*ARGS, "n_name", F.col("balance_band").alias("band"))
+    return suppressed_rates(rows, ["n_name", "band"], *ARGS)
+
+
 SQL_TIDY = """
 tidy as (
   select 'c_mktsegment' as dimension, coalesce(nullif(c_mktsegment, 'BUILDING'), 'SIN DATO')

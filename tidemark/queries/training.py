@@ -4,6 +4,8 @@ Fitted models have no SQL form, but what surrounds them has: which rows are scor
 how many are positive, how figures and bands follow from each other. The settings are the defaults.
 """
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemark.learning.features import FeatureSpec
@@ -12,8 +14,11 @@ from tidemark.learning.models import baseline_pipeline, fit_balanced, tree_pipel
 from tidemark.learning.training import (
     TrainSettings, feature_schema, fold_metrics, out_of_fold_scores, prepare, score_batch, train)
 from tidemark.operators.evaluation import evaluate, score_counts
+from tidemark.plans.model import score_and_save
 from tidemark.queries.registry import SQL_PANEL, customer_panel, orders_t, query
-from tidemark.session import settle
+from tidemark.session import fresh_path, settle
+from tidemark.sources.artifacts import (
+    artifacts_exist, load_latest, require_same_version, save_artifacts)
 
 SPEC = FeatureSpec(
     entity="o_custkey", period="t", target="churned_next",
@@ -201,3 +206,62 @@ def batch_scores(spark, sf):
         F.col("score_riesgo").between(0, 1).alias("valid_score"),
         (F.col("banda_riesgo") == _band_by_rule(F.col("score_riesgo"), F.lit(0.5)))
         .alias("band_follows"))
+
+
+@query("artifact_roundtrip", f"""with {SQL_PANEL}
+select t, count(*) as n, count(distinct o_custkey) as customers, true as same_scores,
+  'run-a' as model_version from panel group by t""")
+def artifact_roundtrip(spark, sf):
+    """A model saved and loaded gives the scores of the one in memory, with its frozen encoding."""
+    rows = modelling_table(spark, sf)
+    frames = prepare(rows, SPEC, SETTINGS)
+    model = fit_balanced(baseline_pipeline(frames.numeric, frames.categories, SPEC.target,
+                                           float(frames.train.count())), frames.train, SPEC.target)
+    schema = feature_schema(SPEC, frames.categories, "run-a", spark.version)
+    metrics = {"threshold": {"threshold": 0.5}}
+    root = fresh_path(spark, "models")
+    save_artifacts(spark, root, "run-a", model, metrics, schema)
+    own = score_batch(rows, model, metrics, schema, "r", ["t"]).select(
+        "id", "t", F.col("score_riesgo").alias("own"))
+    loaded = score_batch(rows, *load_latest(spark, root), "r", ["t"])
+    return loaded.join(own, ["id", "t"]).groupBy("t").agg(
+        F.count("*").alias("n"), F.countDistinct("id").alias("customers"),
+        F.bool_and(F.col("score_riesgo") == F.col("own")).alias("same_scores"),
+        F.max("model_version").alias("model_version"))
+
+
+@query("no_model_no_scores", f"""with {SQL_PANEL}
+select t, count(*) as n, false as scored from panel group by t""")
+def no_model_no_scores(spark, sf):
+    """Scoring before the first training writes nothing."""
+    rows, root = modelling_table(spark, sf), fresh_path(spark, "untrained")
+    rows.write.parquet(f"{root}/table")
+    made = score_and_save(spark, f"{root}/table", f"{root}/models", f"{root}/scores", "r")
+    scored = made is not None or artifacts_exist(spark, f"{root}/scores")
+    return spark.read.parquet(f"{root}/table").groupBy("t").agg(
+        F.count("*").alias("n"), F.lit(scored).alias("scored"))
+
+
+def _refusal(check):
+    try:
+        check()
+    except (ValueError, RuntimeError) as error:
+        return str(error).split(":")[0]
+    return "accepted"
+
+
+@query("feature_contract", f"""with {SQL_PANEL}
+select refusal, n from (select count(*) as n from panel), (values ('accepted'),
+  ('columns missing from the modelling table'), ('columns barred as leakage among the features'),
+  ('model was trained with Spark 0.0, this is ' || '4'))
+  as v(refusal)""")
+def feature_contract(spark, sf):
+    """The contract accepts the table; it refuses a lacking column, a leak and another version."""
+    rows = modelling_table(spark, sf)
+    leaking = replace(SPEC, numeric=(*SPEC.numeric, "next_t"))
+    found = [_refusal(lambda: SPEC.check(rows.columns)),
+             _refusal(lambda: SPEC.check(rows.drop("n_orders").columns)),
+             _refusal(lambda: leaking.check(rows.columns)),
+             _refusal(lambda: require_same_version("0.0", "4"))]
+    return rows.agg(F.count("*").alias("n")).select(
+        F.explode(F.array(*map(F.lit, found))).alias("refusal"), "n")

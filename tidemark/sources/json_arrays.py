@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.artifacts import artifacts_exist
+
 # Dataset ids of the open-data portal and the tables they become.
 DATASET_TABLES = {
     "hq2v-5umk": "gobierno_sisben_iv",
@@ -39,17 +41,19 @@ def route_datasets(spark: SparkSession, path: str | Sequence[str],
                    tables: dict[str, str] = DATASET_TABLES) -> dict[str, DataFrame]:
     """One DataFrame per mapped dataset id; files with other ids are skipped.
 
-    ``schemas`` maps a table name to its declared schema. Only file names are listed here: no
-    content is read, and no file outside the map is ever opened.
+    ``schemas`` maps a table name to its declared schema. Every id is read by the patterns its files
+    can have directly below ``path``, so no file name reaches Python and no file outside the map is
+    ever opened.
     """
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-               .select("path").withColumn("dataset", dataset_id(F.col("path")))
-               .filter(F.col("dataset").isin(list(tables))))
-    files: dict[str, list[str]] = {}
-    for row in listing.toLocalIterator():
-        files.setdefault(row["dataset"], []).append(row["path"])
-    return {tables[key]: read_json_array(spark, sorted(paths), schemas.get(tables[key]))
-            for key, paths in sorted(files.items())}
+    roots = [path] if isinstance(path, str) else list(path)
+    routed = {}
+    for key, table in sorted(tables.items()):
+        globs = [f"{root.rstrip('/')}/{before}{key}{after}.json" for root in roots
+                 for before in ("", "dataset_") for after in ("", "_part-*")]
+        there = [g for g in globs if artifacts_exist(spark, g)]
+        if there:
+            routed[table] = read_json_array(spark, there, schemas.get(table))
+    return routed
 
 
 def read_pages(spark: SparkSession, path: str | Sequence[str],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from typing import Any
 
@@ -12,17 +13,22 @@ from tidemark.sources.artifacts import _write_json, artifacts_exist, read_json_d
 
 def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
             documents: dict[str, Any], manifest: dict[str, Any],
-            forbidden: tuple[str, ...] = ("id",)) -> dict[str, Any]:
+            forbidden: tuple[str, ...] = ("id",),
+            order: Mapping[str, Sequence[str]] | None = None) -> dict[str, Any]:
     """Write ``data/<name>`` for every table (CSV) and document (JSON), then the manifest.
 
-    Only aggregates may be published: a table with a forbidden column is refused.
+    A table is one file, ordered by the columns that ``order`` names or else by its text columns:
+    it is an aggregate of a few rows by now. Only aggregates may be published: a table with a forbidden column is refused.
     """
     for name, df in tables.items():
         leaked = sorted(set(df.columns) & set(forbidden))
         if leaked:
             raise ValueError(f"{name} would publish entity columns {leaked}")
     for name, df in tables.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{root}/data/{name}")
+        by = (order or {}).get(name) or [c for c, kind in df.dtypes if kind == "string"]
+        one = df.repartition(1)
+        (one.sortWithinPartitions(*by) if by else one).write.mode("overwrite").option(
+            "header", True).csv(f"{root}/data/{name}")
     for name, document in documents.items():
         _write_json(spark, f"{root}/data/{name}", document)
     written = [*tables, *documents, "manifest.json"]
