@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     cover_tree, hnsw, licenses, mixing, pieces, quality, simhash, toxicity, url_filter, warc)
 from tidemark.llm.common import word_count
+from tidemark.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,8 +35,9 @@ def tokenizer_bytes(name: str = TOKENIZER) -> bytes:
 
 @_query
 def op1_source_mix(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _table(spark, sf, "documents").select("doc_id", "source",
-                                                 word_count(F.col("text")).alias("size"))
+    # the mix reads its rows several times: the texts are counted once
+    docs = settle(_table(spark, sf, "documents").select(
+        "doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     mixed = mixing.mix(docs, "size")
     return mixed.select("doc_id", "size", "source_size", "target",
                         (F.col("copies") * F.col("size")).cast("long").alias("taken"))
