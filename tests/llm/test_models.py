@@ -78,10 +78,10 @@ def test_kneser_ney_sums_to_one_and_shares_backoff():
     assert np.allclose(np.bincount(context, p), 1)
     codes = np.unique(rng.integers(0, toxicity.CODES, 3000))
     toxic, ordinary = rng.integers(0, 5, len(codes)), rng.integers(0, 5, len(codes))
-    ratio = toxicity.log_ratio(codes, toxic, ordinary).reshape(-1, n)
+    ratio = toxicity.log_ratio(codes, toxic, ordinary).table.reshape(-1, n)
     known = np.unique(codes[(toxic + ordinary) > 0] // n)
     assert np.all(np.delete(ratio, known, axis=0) == 0)  # an unknown context says nothing
-    assert np.all(toxicity.log_ratio(codes, toxic, toxic) == 0)
+    assert np.all(toxicity.log_ratio(codes, toxic, toxic).table == 0)
 
 
 def test_shared_backoff_counts_contexts_by_hand():

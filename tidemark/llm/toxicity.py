@@ -7,7 +7,7 @@ or unseen in a class costs both models the same, so it does not speak for either
 
 Symbols are 64 classes of characters: letters without case, white space, digit, punctuation, and 35
 for other letters. Four of them make 2 ** 24 codes; that bounds every table, whatever the corpus
-holds (the ratio table is 32 MB), while the counts in it come from all labelled texts.
+holds (spread out the ratio table is 32 MB), while the counts in it come from all labelled texts.
 
 Length-normalised log-likelihood ratios of the two models are taken of the whole text, of its words
 and of windows of 16 symbols (:data:`FEATURES`), and a logistic curve makes a probability of them.
@@ -17,6 +17,7 @@ The curve is fitted out of fold: a labelled text is scored with the counts of th
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -151,17 +152,38 @@ def _shared_backoff(codes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarr
     return seen, _discounted(counts, context, lower)[0]
 
 
-def log_ratio(codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """log p(symbol | context, toxic) - log p(symbol | context, ordinary) by code, for all codes.
+@dataclass
+class Ratio:
+    """log p(symbol | context, toxic) - log p(symbol | context, ordinary).
 
-    In a known context an unseen symbol gets the ratio of the two backoff weights: the shared
-    backoff itself cancels. An unknown context says nothing.
+    ``values`` of the ``codes`` seen, and of the ``contexts`` seen the ratio of their backoff
+    weights, which a symbol unseen there gets: the shared backoff itself cancels. An unknown context
+    says nothing. Only this goes over the network; a process spreads it out once, over all codes.
     """
-    table = np.zeros(CODES, np.float16)
+
+    codes: np.ndarray
+    values: np.ndarray
+    contexts: np.ndarray
+    backoff: np.ndarray
+
+    @cached_property
+    def table(self) -> np.ndarray:
+        table = np.zeros(CODES, np.float16)
+        table.reshape(-1, SYMBOLS)[self.contexts] = self.backoff[:, None]
+        table[self.codes] = self.values
+        return table
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
+
+
+def log_ratio(codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> Ratio:
+    """The two models' ratio from the counts of each code in either class."""
     used = (toxic + ordinary) > 0
     codes, toxic, ordinary = codes[used].astype(np.int64), toxic[used], ordinary[used]
     if not len(codes):
-        return table
+        none = np.zeros(0)
+        return Ratio(codes, none, codes, none)
     endings = codes & (SYMBOLS ** (ORDER - 1) - 1)
     below, p = _shared_backoff(endings, ORDER - 1)
     lower = p[np.searchsorted(below, endings)]
@@ -170,13 +192,13 @@ def log_ratio(codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> np.
     p_ordinary, w_ordinary = _discounted(ordinary, of, lower)
     backoff = np.zeros(len(contexts))
     backoff[of] = np.log(w_toxic) - np.log(w_ordinary)
-    table.reshape(-1, SYMBOLS)[contexts] = backoff[:, None]
-    table[codes] = np.log(p_toxic) - np.log(p_ordinary)
-    return table
+    values = np.log(p_toxic) - np.log(p_ordinary)
+    return Ratio(codes.astype(np.int32), values.astype(np.float16), contexts.astype(np.int32),
+                 backoff.astype(np.float16))
 
 
 def text_ratios(text: str, ratio: np.ndarray) -> np.ndarray:
-    """:data:`FEATURES` of a text; windows and words end with the parts of a very long one."""
+    """:data:`FEATURES` of a text by the table ``ratio``; windows and words end with the parts of a very long one."""
     total = symbols = words = 0.0
     window, strong, top = -np.inf, np.zeros(len(STRONG)), np.zeros(0)
     for part in _parts(text):
@@ -202,14 +224,14 @@ def text_ratios(text: str, ratio: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ToxicityModel:
-    """``ratio`` by code and the curve ``1 / (1 + exp(-(bias + weights . features)))``."""
+    """``ratio`` and the curve ``1 / (1 + exp(-(bias + weights . features)))``."""
 
-    ratio: np.ndarray
+    ratio: Ratio
     weights: np.ndarray
     bias: float
 
     def score(self, text: str) -> float:
-        z = self.bias + float(self.weights @ text_ratios(text, self.ratio))
+        z = self.bias + float(self.weights @ text_ratios(text, self.ratio.table))
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
@@ -255,7 +277,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 
     def out_of_fold(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        x = [text_ratios(t or "", others.value[f]).tolist()
+        x = [text_ratios(t or "", others.value[f].table).tolist()
              for t, f in zip(texts, folds, strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column(2), batch.column(3), pa.array(x, pa.list_(pa.float64()))],
