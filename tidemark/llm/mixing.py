@@ -81,8 +81,9 @@ def mix(docs: DataFrame, size: str, source: str = "source", key: str = "doc_id",
     """Every row of ``docs`` with ``source_size``, ``target`` and ``copies``.
 
     ``size`` is a long column without nulls. Null is a source of its own, the last one. Documents of
-    a source without any word have one copy each (there is nothing to share). Rows with equal source,
-    size and key are ordered by ``ties``; rows equal in those too are interchangeable. Reruns agree.
+    a source without any word have one copy each (there is nothing to share). Rows with equal
+    source, size and key are ordered by ``ties``; rows equal in those too are interchangeable. Reruns
+    agree.
     The added columns replace columns of the same name; an empty table gives an empty result.
     """
     docs = docs.drop("source_size", "target", "copies")

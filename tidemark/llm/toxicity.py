@@ -198,7 +198,10 @@ def log_ratio(codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> Rat
 
 
 def text_ratios(text: str, ratio: np.ndarray) -> np.ndarray:
-    """:data:`FEATURES` of a text by the table ``ratio``; windows and words end with the parts of a very long one."""
+    """:data:`FEATURES` of a text by the table ``ratio``.
+
+    Windows and words end with the parts of a very long text.
+    """
     total = symbols = words = 0.0
     window, strong, top = -np.inf, np.zeros(len(STRONG)), np.zeros(0)
     for part in _parts(text):

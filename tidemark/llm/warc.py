@@ -68,7 +68,8 @@ def member(record: bytes) -> bytes:
 
 def record_bytes(row) -> bytes:
     """A record of a row of :data:`WRITE_SCHEMA`. A revisit keeps the HTTP head, not the payload."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: {row['http_length']}\r\n\r\n"
+    http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n"
+            f"Content-Length: {row['http_length']}\r\n\r\n")
     block = http.encode() + (bytes(row["payload"] or b"") if row["record_type"] == "response"
                              else b"")
     heads = {"WARC-Type": row["record_type"], "WARC-Record-ID": row["record_id"],
