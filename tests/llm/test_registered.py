@@ -89,4 +89,12 @@ def test_stages_take_odd_rows(spark):
         out = stage(spark, docs, SF).collect()
         if name == "near_duplicates":
             assert sorted((r["doc_id"] or 0, (r["text"] or "")[:4]) for r in out) == [
-                (1, "some"), (3, ""), (3, ""), (4, "tail")]
+                (1, "some"), (3, ""), (4, "tail")]
+
+    other = "an entirely different text that has nothing in common with it " * 4
+    rows = [(7, text, "en", "a", 1), (7, other, "en", "a", 1), (2, other, "en", "b", 1),
+            (None, "one two three", "en", "a", 1), (None, "one two three", "en", "b", 1)]
+    twice = spark.createDataFrame(rows, docs.schema)
+    out = pipeline.drop_near_duplicates(spark, twice, SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"][:3]) for r in out) == [
+        (0, "one"), (2, "an "), (7, "som")]

@@ -145,7 +145,7 @@ def test_near_duplicates_equal_brute_force(spark):
             rows.append((len(rows) * 7 % 1009, " ".join(copy)))
     rows += [(None, rows[0][1]), (None, "alone here"), (5000, None), (5001, ""), rows[3], rows[3]]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
-        {"fp": F.lit("clash"), "component_id": F.lit(1), "node": F.lit(2)})
+        {"fp": F.lit("clash"), "component_id": F.lit(1), "root": F.lit(2)})
     got = simhash.near_duplicates(table).select(
         "doc_id", simhash.hex_digits().alias("f"), "component_id").collect()
     want = slow_components([(k, slow_fingerprint(t)) for k, t in rows])

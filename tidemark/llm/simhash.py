@@ -170,7 +170,8 @@ def near_links(distinct: DataFrame, radius: int = 3, bucket_limit: int = BUCKET_
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 3,
                     shingle: int = 3, seed: int = 42,
                     bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """``key, fp, component_id`` per row: the smallest key reachable over links.
+    """``key, fp, component_id, root`` per row: the smallest key reachable over links, and a
+    fingerprint that names the component.
 
     Two rows link when their fingerprints differ in at most ``radius`` bits. Texts without a word
     (null, empty, white space) have fingerprint 0 and link like any other. Rows that repeat or
@@ -183,11 +184,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     ids = nodes.join(firsts, F.col("node") == F.col("fp")).groupBy("root").agg(
         F.min("first").alias("smallest"))
     # most fingerprints have no link: they must not meet under one null root
-    linked = nodes.join(ids, "root").select(F.col("node").alias("fp"), "smallest")
+    linked = nodes.join(ids, "root").select(F.col("node").alias("fp"), "smallest", "root")
     classes = settle(
         firsts.join(linked, "fp", "left").select(
-            "fp", F.coalesce("smallest", "first").alias("component_id")), "classes")
-    return marks.join(classes, "fp").select(key, "fp", "component_id")
+            "fp", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("smallest"))
+            .alias("component_id"), F.coalesce("root", "fp").alias("root")), "classes")
+    return marks.join(classes, "fp").select(key, "fp", "component_id", "root")
 
 
 def hex_digits(fp: str = "fp"):
