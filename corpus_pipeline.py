@@ -6,7 +6,7 @@ read again as the next one's ``docs``. All but the last return the columns of ``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, pieces, quality, simhash, toxicity
@@ -33,23 +33,30 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every near-duplicate component.
+    """One document of every near-duplicate component: that with the smallest doc_id.
 
-    Rows that share that doc_id all stay; rows without a doc_id stay where their component has no
-    document with one.
+    Of rows that share this doc_id inside a component the first by text and the other columns stays,
+    and so does the first row of a component without any doc_id.
     """
-    found = simhash.near_duplicates(docs)
-    others = found.filter("doc_id is not null and doc_id <> component_id").select("doc_id")
-    unnamed = found.filter("doc_id is null and component_id is not null").select("fp")
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    if unnamed.isEmpty():
+    found = settle(simhash.near_duplicates(docs), "near-duplicates")
+    times = found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = settle(times.filter("n > 1").select("doc_id"), "repeated")
+    plain = found.filter("doc_id = component_id").join(repeated, "doc_id", "left_anti")
+    kept = docs.join(plain.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    nameless = docs.filter("doc_id is null")
+    if repeated.isEmpty() and nameless.isEmpty():
         return kept
-    # rows without a doc_id are told apart by their text alone
-    fps = simhash.fingerprints(docs.filter("doc_id is null").select(
-        F.col("text").alias("_t"), "text").distinct(), "_t")
-    gone = fps.join(unnamed.distinct(), "fp", "left_semi").select("_t")
-    return kept.join(gone, docs["doc_id"].isNull() & docs["text"].eqNullSafe(gone["_t"]),
-                     "left_anti")
+    # rows that a doc_id does not tell apart are known by their fingerprint as well
+    unclear = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).unionByName(nameless)
+    marks = simhash.fingerprints(unclear.select("text", F.col("text").alias("_text")).distinct(),
+                                 "_text")
+    classes = found.select(F.col("doc_id").alias("_id"), "fp", "component_id", "root").distinct()
+    known = (unclear.join(marks, unclear["text"].eqNullSafe(marks["_text"])).join(
+        classes, (marks["fp"] == classes["fp"]) & unclear["doc_id"].eqNullSafe(classes["_id"]))
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    first = Window.partitionBy("root").orderBy("text", *[c for c in docs.columns if c != "text"])
+    return kept.unionByName(known.withColumn("_place", F.row_number().over(first))
+                            .filter("_place = 1").select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
