@@ -47,6 +47,12 @@ def test_dedup_is_deterministic_and_keeps_one_row_of_a_hot_key(spark):
     assert last[0][2] == "v2999"
 
 
+def test_dedup_takes_maps(spark):
+    df = spark.createDataFrame([("x", {"b": 1}, 1), ("x", {"a": 2}, 2), ("y", None, 3)],
+                               "id string, m map<string,int>, n int")
+    assert rows(dedup_by_key(df, ["id"])) == [("x", {"a": 2}, 2), ("y", None, 3)]
+
+
 def test_calendar_drops_and_counts_unknown_periods(spark):
     calendar = literal_rows(spark, CALENDAR, CALENDAR_SCHEMA)
     df = spark.createDataFrame([("1", "periodo_1701"), ("2", "periodo_0000")],

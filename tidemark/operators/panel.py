@@ -32,12 +32,19 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (
     """One row per key: the first (or last) by ``order`` and then by all other columns.
 
     A minimum over structs combines on the map side, so a key with a huge number of copies
-    sends one row per task instead of all of them to one task.
+    sends one row per task instead of all of them to one task. Maps, which have no order, are
+    compared by their JSON text.
     """
     rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)], *rest)
-    pick = {"first": F.min, "last": F.max}[keep]
-    best = df.groupBy(*keys).agg(pick(ranked).alias("_best"))
+    maps = [c for c in rest if "map<" in df.schema[c].dataType.simpleString()]
+    ranks = [c.alias(f"_k{i}") for i, c in enumerate(order)]
+    if maps:
+        pick = {"first": F.min_by, "last": F.max_by}[keep]
+        by = F.struct(*ranks, *[F.to_json(c).alias(c) if c in maps else F.col(c) for c in rest])
+        best = df.groupBy(*keys).agg(pick(F.struct(*rest), by).alias("_best"))
+    else:
+        pick = {"first": F.min, "last": F.max}[keep]
+        best = df.groupBy(*keys).agg(pick(F.struct(*ranks, *rest)).alias("_best"))
     return best.select(*[F.col(k) if k in keys else F.col(f"_best.{k}") for k in df.columns])
 
 
