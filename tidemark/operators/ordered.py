@@ -44,9 +44,10 @@ def running_totals(table: DataFrame, order: Sequence[str], sums: Mapping[str, st
     keys = [*groups, "_range"]
     totals = placed.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()])
     if ranges > max(2, rows_per_range):
-        added = running_totals(settle(totals, "totals"), ["_range"],
-                               {f"_u_{out}": f"_t_{out}" for out in sums}, groups,
-                               rows_per_range=rows_per_range)
+        added = running_totals(
+            settle(totals.withColumnRenamed("_range", "_place"), "totals"), ["_place"],
+            {f"_u_{out}": f"_t_{out}" for out in sums}, groups,
+            rows_per_range=rows_per_range).withColumnRenamed("_place", "_range")
         earlier = {out: F.coalesce(F.col(f"_u_{out}") - F.col(f"_t_{out}"), F.lit(0))
                    for out in sums}
     else:  # a group has at most `ranges` rows here
