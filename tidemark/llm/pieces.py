@@ -32,6 +32,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 DENSE_CHARACTERS = 192
 MEMO_SEGMENTS = 150_000
 PAIR_SLOTS = 1 << 21
+PAIR_MEMO = 1 << 17
 CHARACTERS_AT_ONCE = 1 << 22
 
 
@@ -213,7 +214,7 @@ class PrefixTableEncoder:
         if known is None:
             a, b = self._text[left], self._text[right]
             known = self.model.merge(a + b) == [a, b]
-            if len(self._pairs) >= PAIR_SLOTS:
+            if len(self._pairs) >= PAIR_MEMO:  # the slots keep most of the answers
                 self._pairs.clear()
             self._pairs[key] = known
         return known

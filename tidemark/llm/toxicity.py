@@ -40,7 +40,7 @@ STRONG = (2.0, 3.0)
 #: Labelled texts that the logistic curve is fitted on, chosen by hash; the counts use all of them.
 CURVE_ROWS = 8192
 CHARACTERS_AT_ONCE = 1 << 20
-MERGE_AT = 1 << 21
+MERGE_AT = 1 << 20
 
 FEATURES = ("per symbol, whole text", "per symbol, most toxic window",
             "strong words per word", "strong words by root of length",
@@ -105,7 +105,7 @@ def class_counts(texts: DataFrame) -> DataFrame:
                 key = (fold, label)
                 for part in _parts(text or ""):
                     codes = symbol_codes(part)
-                    held.setdefault(key, []).append((codes, np.ones(len(codes))))
+                    held.setdefault(key, []).append((codes, np.ones(len(codes), np.int32)))
                     size[key] = size.get(key, 0) + len(codes)
                 if size[key] > MERGE_AT:
                     held[key] = [_merged(held[key])]
@@ -166,13 +166,17 @@ class Ratio:
     contexts: np.ndarray
     backoff: np.ndarray
 
-    @cached_property
-    def table(self) -> np.ndarray:
+    def spread(self) -> np.ndarray:
+        """The ratio of every code."""
         table = np.zeros(CODES, np.float16)
         table.reshape(-1, SYMBOLS)[self.contexts] = self.backoff[:, None]
         table[self.codes] = self.values
         return table
 
+    @cached_property
+    def table(self) -> np.ndarray:
+        return self.spread()
+
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "table"}
 
@@ -280,8 +284,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 
     def out_of_fold(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        x = [text_ratios(t or "", others.value[f].table).tolist()
-             for t, f in zip(texts, folds, strict=True)]
+        x: list = [None] * len(texts)
+        for fold in set(folds):  # one table at a time
+            table = others.value[fold].spread()
+            for i, (text, own) in enumerate(zip(texts, folds, strict=True)):
+                if own == fold:
+                    x[i] = text_ratios(text or "", table).tolist()
         return pa.RecordBatch.from_arrays(
             [batch.column(2), batch.column(3), pa.array(x, pa.list_(pa.float64()))],
             names=["id", "label", "x"])
