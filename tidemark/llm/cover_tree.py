@@ -30,7 +30,7 @@ from tidemark.session import settle
 
 BLOCK_ROWS = 8192
 MOST_CELLS = 256
-LEAF = 128
+LEAF = 256
 FAN_OUT = 16
 SLACK = 1e-9
 
@@ -50,7 +50,8 @@ class Node:
 
 def cover_tree(points: np.ndarray, rows: np.ndarray | None = None, leaf: int = LEAF) -> Node:
     """Children are the farthest points taken in turn until their radius is half the parent's, or
-    there are ``FAN_OUT`` of them; each point goes to its nearest child."""
+    there are ``FAN_OUT`` of them; each point goes to its nearest child. Children of few points
+    become one: in many dimensions a node would otherwise end in as many leaves as points."""
     rows = np.arange(len(points)) if rows is None else rows
     mine = points[rows]
     centre = mine[np.argmin(((mine - mine.mean(axis=0)) ** 2).sum(axis=1))]
@@ -59,12 +60,14 @@ def cover_tree(points: np.ndarray, rows: np.ndarray | None = None, leaf: int = L
     if len(rows) <= leaf or node.radius == 0:
         return node
     nearest, owner, chosen = gap.copy(), np.zeros(len(rows), int), 1
-    while nearest.max() > node.radius / 2 and chosen < FAN_OUT:
+    while nearest.max() > node.radius / 2 and chosen < min(FAN_OUT, len(rows) // leaf + 1):
         other = np.sqrt(((mine - mine[np.argmax(nearest)]) ** 2).sum(axis=1))
         closer = other < nearest
         nearest[closer], owner[closer] = other[closer], chosen
         chosen += 1
     parts = [rows[owner == c] for c in range(chosen)]
+    few = [p for p in parts if len(p) < leaf // 2]
+    parts = [p for p in parts if len(p) >= leaf // 2] + ([np.concatenate(few)] if few else [])
     parts = [p for p in parts if len(p)]
     if len(parts) > 1:
         node.children = [cover_tree(points, p, leaf) for p in parts]
@@ -150,17 +153,20 @@ class DualSearch:
 
     def _compare_block(self, queries: np.ndarray, rows: np.ndarray) -> None:
         new = exact_products(self.q[queries], self.x[rows])
-        ids = np.broadcast_to(self.x_ids[rows], new.shape)
-        least = np.maximum(self.scores[queries, -1], self.floor[queries])[:, None]
-        out = (ids == self.q_ids[queries][:, None]) | (new < least)
-        if out.all():
+        names = self.x_ids[rows]
+        least = np.maximum(self.scores[queries, -1], self.floor[queries])
+        if len(rows) > self.k + 1:  # below this block's own kth score (one may be the query itself)
+            least = np.maximum(least, np.partition(new, -self.k - 1, axis=1)[:, -self.k - 1])
+        out = (names[None, :] == self.q_ids[queries][:, None]) | (new < least[:, None])
+        kept = (~out).sum(axis=1)
+        some = np.flatnonzero(kept)
+        if not len(some):
             return
-        some = np.flatnonzero(~out.all(axis=1))
-        columns = np.flatnonzero(~out.all(axis=0))
-        new, ids, out = (part[np.ix_(some, columns)] for part in (new, ids, out))
         at = queries[some]
+        place = np.argsort(out[some], axis=1, kind="stable")[:, :kept.max()]
+        new, out = (np.take_along_axis(part[some], place, 1) for part in (new, out))
         scores = np.concatenate([self.scores[at], np.where(out, self.empty, new)], axis=1)
-        names = np.concatenate([self.ids[at], np.where(out, -1, ids)], axis=1)
+        names = np.concatenate([self.ids[at], np.where(out, -1, names[place])], axis=1)
         # empty places last; -score of the smallest long wraps, so it is ordered by a flag
         order = np.lexsort((names, -np.maximum(scores, self.empty + 1), scores == self.empty),
                            axis=-1)[:, :self.k]
@@ -246,33 +252,38 @@ def top_products(table: DataFrame, is_query: Column, k: int, factor: int = 64,
     def parts(count: int) -> int:
         return max(1, -(-count // block_rows))
 
-    def dealt(side: DataFrame, plan: list[tuple[int, int, int, int]], mine: str,
-              others: str) -> DataFrame:
-        """Rows of a side with a block number, once for every block on the other side; ``plan``
-        has at most ``most_cells ** 2`` pairs of cells with their numbers of blocks."""
-        pairs = spark.createDataFrame(
-            plan or [(-1, -1, 1, 1)], "query_cell int, row_cell int, query_blocks int, "
-            "row_blocks int")
+    def dealt(side: DataFrame, plan: list[tuple], mine: str, others: str,
+              schema: str) -> DataFrame:
+        """Rows of a side with a block number, once for every block on the other side."""
         salt = F.pmod(F.xxhash64("vec_id", F.lit(9)), F.col(f"{mine}_blocks")).cast("int")
-        return (side.join(F.broadcast(pairs), F.col("cell") == F.col(f"{mine}_cell"))
+        return (side.join(F.broadcast(spark.createDataFrame(plan, schema)),
+                          F.col("cell") == F.col(f"{mine}_cell"))
                 .withColumn(f"{mine}_block", salt)
                 .withColumn(f"{others}_block", F.explode(F.sequence(
                     F.lit(0), F.col(f"{others}_blocks") - 1))))
 
-    keys = ["query_cell", "row_cell", "query_block", "row_block"]
-
-    def search(queries: DataFrame, plan: list[tuple[int, int, int, int]]) -> DataFrame:
-        left = dealt(queries, plan, "query", "row").select(*keys, "vec_id", "vector", "floor")
-        right = dealt(placed, plan, "row", "query").select(*keys, "vec_id", "vector")
+    keys = ["row_cell", "query_block", "row_block"]
+
+    def search(queries: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
+        """Search pairs of cells (query, row), at most ``most_cells ** 2``. The queries of all cells
+        that go to a row cell are dealt to its blocks together: a row block is indexed once for
+        each block of queries, not for each query cell."""
+        sent: dict[int, int] = {}
+        for q, c in pairs:
+            sent[c] = sent.get(c, 0) + stats[q]["queries"]
+        sizes = {c: (parts(n), parts(stats[c]["rows"])) for c, n in sent.items()}
+        left = dealt(queries, [(q, c, *sizes[c]) for q, c in pairs] or [(-1, -1, 1, 1)],
+                     "query", "row", "query_cell int, row_cell int, query_blocks int, "
+                     "row_blocks int").select(*keys, "vec_id", "vector", "floor")
+        right = dealt(placed, [(c, *size) for c, size in sizes.items()] or [(-1, 1, 1)],
+                      "row", "query", "row_cell int, query_blocks int, row_blocks int"
+                      ).select(*keys, "vec_id", "vector")
         return _search_pairs(left, right, keys, k)
 
-    def blocks(q: int, c: int) -> tuple[int, int, int, int]:
-        return q, c, parts(stats[q]["queries"]), parts(stats[c]["rows"])
-
     queries = placed.filter("is_query")
     asking = [c for c in stats if stats[c]["queries"]]
     own = settle(search(queries.withColumn("floor", F.lit(least)),
-                        [blocks(c, c) for c in asking]), "own-cells")
+                        [(c, c) for c in asking]), "own-cells")
     best = ranked_hits(own, k, F.col("score").desc(), F.col("vec_id"))
     floors = settle(queries.join(
         best.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"),
@@ -284,7 +295,7 @@ def top_products(table: DataFrame, is_query: Column, k: int, factor: int = 64,
     def node(c: int, radius: float) -> Node:
         return Node(pivots[c], float(np.sqrt(pivots[c] @ pivots[c])), radius, np.zeros(0, int))
     width = max((len(p) for p in pivots), default=0)
-    plan = [blocks(q, c) for q in asking for c in stats if c != q and (
+    plan = [(q, c) for q in asking for c in stats if c != q and (
         width == 0 or bound(node(q, stats[q]["query_radius"]), node(c, stats[c]["radius"]))
         >= worst[q])]
     rest = search(floors, plan)
