@@ -32,6 +32,8 @@ BLOCK_ROWS = 8192
 MOST_CELLS = 256
 LEAF = 256
 FAN_OUT = 16
+#: Points of leaves that are compared in one go.
+TOGETHER = 2048
 SLACK = 1e-9
 
 HITS = "query_id long, vec_id long, score long"
@@ -131,25 +133,34 @@ class DualSearch:
         heap = [(-bound(query, n), i, n) for i, n in enumerate(kept)]
         heapq.heapify(heap)
         number = len(heap)
+        waiting: list[np.ndarray] = []
+
+        def compare_waiting() -> None:
+            if waiting:
+                self._compare(query.rows, np.concatenate(waiting))
+                waiting.clear()
         while heap:
             top, _, node = heapq.heappop(heap)
             worst = self.worst(query.rows)
             if -top < worst:
-                return
+                break  # so do all others
             if not node.children:
-                self._compare(query.rows, node.rows)
+                self.visited += 1
+                waiting.append(node.rows)
+                if sum(map(len, waiting)) >= TOGETHER:
+                    compare_waiting()
                 continue
             for child in node.children:
                 value = bound(query, child)
                 if value >= worst:
                     number += 1
                     heapq.heappush(heap, (-value, number, child))
+        compare_waiting()
 
     def _compare(self, queries: np.ndarray, rows: np.ndarray) -> None:
-        self.visited += 1
-        for at in range(0, len(queries), 4 * LEAF):  # groups of equal points can be larger
-            for start in range(0, len(rows), 4 * LEAF):
-                self._compare_block(queries[at:at + 4 * LEAF], rows[start:start + 4 * LEAF])
+        for at in range(0, len(queries), TOGETHER):  # groups of equal points can be larger
+            for start in range(0, len(rows), TOGETHER):
+                self._compare_block(queries[at:at + TOGETHER], rows[start:start + TOGETHER])
 
     def _compare_block(self, queries: np.ndarray, rows: np.ndarray) -> None:
         new = exact_products(self.q[queries], self.x[rows])
