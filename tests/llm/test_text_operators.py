@@ -238,6 +238,87 @@ def test_licence_scan_equals_brute_force(spark):
     assert licenses.best_licenses(table.limit(0)).collect() == []
 
 
+def words_wrapped(text, width=40):
+    import textwrap
+    return "\n".join(textwrap.wrap(text, width, break_long_words=False))
+
+
+def slow_runs(text, template, threshold=licenses.THRESHOLD):
+    """``(first, last): score`` of all runs of lines at or above the threshold."""
+    import regex
+    lines = [regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).split() for line in text.split("\n")]
+    theirs = regex.sub(r"[^\p{L}\p{N}]+", " ", template.lower()).split()
+    theirs, out = set(itertools.pairwise(theirs)), {}
+    for a in range(len(lines)):
+        for b in range(a, len(lines)):
+            mine = set(itertools.pairwise(itertools.chain(*lines[a:b + 1])))
+            score = 2 * len(mine & theirs) / (len(mine) + len(theirs))
+            if score >= threshold:
+                out[a + 1, b + 1] = score
+    return out
+
+
+def test_wrapped_notices_and_licence_texts_inside_long_documents(spark):
+    rng = random.Random(5)
+    prose = ["\n".join(" ".join(f"w{rng.randrange(3000)}" for _ in range(12)) for _ in range(150))
+             for _ in range(3)]
+    names = ["MIT", "Apache-2.0", "GPL-3.0", "ISC", "CC0-1.0", "MIT-text", "BSD-3-Clause-text",
+             "BSD-2-Clause-text", "ISC-text", "Unlicense-text"]
+    both = {**licenses.TEMPLATES, **licenses.BODIES}
+    texts = [f"{prose[0]}\n\n{words_wrapped(both[n])}\n\n{prose[1]}" for n in names]
+    texts += [f"{prose[2]}\n{words_wrapped(both['GPL-3.0'])}\n{prose[1]}\n"
+              f"{words_wrapped(both['GPL-3.0'], 60)}",  # twice
+              f"{'a b ' * 3000}\n{words_wrapped(both['GPL-3.0'])}\n{'a b ' * 3000}",
+              f"Copyright 2020 Some One\n\n{words_wrapped(both['MIT-text'], 78)}",  # a licence file
+              prose[0]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    runs = {}
+    for r in licenses.scan_runs(table).collect():
+        runs.setdefault((r["doc_id"], r["license"]), []).append((r["line"], round(r["score"], 9)))
+    for i, name in enumerate(names):
+        assert runs[i, name] == [(152, 1.0)]
+    assert [s for _, s in sorted(runs[10, "GPL-3.0"])] == [1.0, 1.0]
+    best = {r["doc_id"]: r for r in licenses.best_licenses(table).collect()}
+    assert set(best) == set(range(13)) and best[12]["license"] == "MIT-text"
+    assert best[11]["license"] == "GPL-3.0"
+
+
+def test_runs_of_lines_equal_brute_force(spark):
+    rng = random.Random(6)
+    both = {**licenses.TEMPLATES, **licenses.BODIES}
+    texts = []
+    for i in range(12):
+        lines = []
+        for name in rng.sample(sorted(both), 2):
+            words = both[name].split()
+            lines += [" ".join(rng.choice(["w", "x", "the", ""]) for _ in range(rng.randrange(6)))
+                      for _ in range(5)]
+            lines += words_wrapped(" ".join(w for w in words if rng.random() < 0.95),
+                                   rng.choice([25, 60, 2000])).split("\n")
+        texts.append("\n".join(lines))
+    runs = {}
+    for r in licenses.scan_runs(spark.createDataFrame(
+            list(enumerate(texts)), "doc_id long, text string")).collect():
+        if r["line"]:
+            runs.setdefault((r["doc_id"], r["license"]), set()).add(
+                (r["line"], round(r["score"], 9)))
+    for i, text in enumerate(texts):
+        for name, template in both.items():
+            every = slow_runs(text, template)
+            own = {(a, round(s, 9)) for (a, b), s in every.items() if a == b}
+            free = {(a, round(s, 9)) for (a, b), s in every.items()
+                    if a < b and not any(a <= o <= b for o, _ in own)}
+            whole = every.get((1, text.count("\n") + 1))
+            got = runs.get((i, name), set())
+            want = set() if whole else free
+            if name in licenses.BODIES:
+                assert own <= got
+                got = got - own
+            assert got <= want and bool(got) == bool(want)
+            assert max(got, key=lambda r: r[1], default=(0, 0))[1] == max(
+                want, key=lambda r: r[1], default=(0, 0))[1]
+
+
 # ---- pieces
 
 @pytest.fixture(scope="module")
