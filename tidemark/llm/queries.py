@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    cover_tree, hnsw, licenses, mixing, pieces, quality, simhash, toxicity, url_filter, warc)
+    cover_tree, embedding_dedup, hnsw, licenses, mixing, pieces, quality, simhash, toxicity, url_filter, warc)
 from tidemark.llm.common import word_count
 from tidemark.session import settle
 
@@ -199,3 +199,33 @@ def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op10_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_decode(_table(spark, sf, "documents"), tokenizer_bytes())
+
+
+@_query
+def op12_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.near_vectors(_table(spark, sf, "embeddings"))
+
+
+SQL["op12_embedding_dedup"] = """
+with recursive numbered as (
+  select row_number() over () as r, vec_id, label,
+    [cast(x as double) for x in embedding] as v from embeddings),
+usable as (
+  select *, sqrt(list_sum([x * x for x in v])) as norm from numbered
+  where label is not null and v is not null
+    and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(v, lambda x: x <> 0)) > 0),
+links as (
+  select a.r as a, b.r as b, b.vec_id as id from usable a join usable b
+  on a.label = b.label and a.r <> b.r and len(a.v) = len(b.v)
+    and list_sum([a.v[i] * b.v[i] for i in range(1, len(a.v) + 1)]) / (a.norm * b.norm) >= 0.98),
+reach as (
+  select r as a, r as b from numbered
+  union select reach.a, links.b from reach join links on reach.b = links.a),
+smallest as (
+  select reach.a, min(n.vec_id) as component_id from reach join numbered n on reach.b = n.r
+  group by reach.a),
+degrees as (select a, count(*) as n_links from links group by a)
+select n.vec_id, coalesce(d.n_links, 0) as n_links, s.component_id,
+  coalesce(n.vec_id = s.component_id, false) as kept
+from numbered n join smallest s on n.r = s.a left join degrees d on n.r = d.a"""

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def finite(table: DataFrame, vector: str, key: str, zero_too: bool = True) -> DataFrame:
-    """Rows with a key and a vector without null, NaN or infinite components."""
-    v = F.col(vector)
+def finite_vector(v: Column, zero_too: bool = True) -> Column:
+    """Whether a vector is there and none of its components is null, NaN or infinite."""
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x)
                     & (F.abs(x) < F.lit(float("inf"))))
     if not zero_too:
         good = good & F.exists(v, lambda x: x != 0)
-    return table.filter(F.col(key).isNotNull() & v.isNotNull() & good)
+    return v.isNotNull() & good
+
+
+def finite(table: DataFrame, vector: str, key: str, zero_too: bool = True) -> DataFrame:
+    """Rows with a key and a vector without null, NaN or infinite components."""
+    return table.filter(F.col(key).isNotNull() & finite_vector(F.col(vector), zero_too))
 
 
 def matrix(vectors, width: int | None = None) -> np.ndarray:
