@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    cover_tree, embedding_dedup, hnsw, licenses, mixing, pieces, quality, simhash, toxicity, url_filter, warc)
+    conversations, cover_tree, embedding_dedup, hnsw, licenses, mixing, pieces, quality, simhash, toxicity, url_filter, warc)
 from tidemark.llm.common import word_count
 from tidemark.session import settle
 
@@ -229,3 +229,101 @@ degrees as (select a, count(*) as n_links from links group by a)
 select n.vec_id, coalesce(d.n_links, 0) as n_links, s.component_id,
   coalesce(n.vec_id = s.component_id, false) as kept
 from numbered n join smallest s on n.r = s.a left join degrees d on n.r = d.a"""
+
+
+@_query
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.damaged_repairs(_table(spark, sf, "conversations"))
+
+
+def _edit_rows() -> str:
+    """All ways past a row of a conversation: state, role initial, kind of row, letters, next state,
+    cost, what is inserted before it and its role behind it ('-' for none, '=' for its own)."""
+    turn = {"start": "u", "s": "u", "u": "a", "a": "u"}
+    name = {"u": "user", "a": "assistant"}
+    rows = []
+    for state in turn:
+        for initial in "sua?":
+            for kind in ("fine", "cut", "gone"):
+                at, letters, cost, put = state, "", 0, ""
+                for _ in range(3):
+                    ways = [("D", at, 2, "-")]
+                    if kind != "gone":
+                        more = 5 if kind == "cut" else 0
+                        ways.append(("R", turn[at], 1 + more, name[turn[at]]))
+                        if turn[at] == initial or (at, initial) == ("start", "s"):
+                            ways.append(("K", initial, more, "="))
+                    rows += [f"('{state}', '{initial}', '{kind}', '{letters}{way}', '{to}', "
+                             f"{cost + price}, '{put}', '{role}')" for way, to, price, role in ways]
+                    at, letters, cost = turn[at], letters + "I", cost + 5
+                    put += name[at] + ":" + chr(10)
+    return ", ".join(rows)
+
+
+SQL["op13_conversation_repair"] = rf"""
+with recursive edits(state, initial, kind, letters, after, cost, put, as_role) as (
+  values {_edit_rows()}),
+ends(state, cost, audit, body) as (values ('start', 0, '', ''), ('a', 0, '', ''),
+  ('u', 5, 'I', 'assistant:' || chr(10)),
+  ('s', 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+steps as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+    case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as step
+  from range(256) r(i)),
+keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k
+  from conversations),
+fated as (
+  select keyed.*, xor(list_reduce(list_prepend(cast(4294967295 as bigint),
+    list_transform(string_split(k, ''), lambda x: cast(ord(x) as bigint))),
+    lambda c, b: xor(c >> 8, step[cast(xor(c, b) & 255 as integer) + 1])), 4294967295) % 20 as fate
+  from keyed, steps),
+damaged as (
+  select conv_id, coalesce(cast(conv_id as varchar), '') as conv, turn,
+    case when fate = 4 then 'user' else role end as role,
+    case when fate = 1 then '' when fate = 2 then regexp_replace(text, '[.!?]', '', 'g')
+      else text end as text,
+    unnest(case when fate = 3 then [0, 1] else [0] end) as copy
+  from fated where fate <> 0),
+placed as (
+  select *, cast(row_number() over (partition by conv order by turn nulls first, role,
+      sha256(length(role) || ':' || role || text), copy) as bigint) as i,
+    row_number() over (partition by conv, role, text order by turn nulls first, copy) > 1 as seen,
+    rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') as trimmed
+  from damaged),
+faulty as (
+  select *, case when trimmed = '' then 'blank' when seen then 'duplicate'
+      when right(trimmed, 1) not in ('.', '!', '?') then 'truncated' end as fault,
+    case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else '?' end as initial,
+    lag(left(role, 1)) over (partition by conv order by i) || left(role, 1) as pair
+  from placed),
+coded as (
+  select *, case when fault is null then 'fine' when fault = 'truncated' then 'cut' else 'gone' end
+    as kind from faulty),
+counted as (
+  select conv, max(i) as n, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps
+  from coded group by conv),
+best as (
+  select conv, n as i, state, cast(cost as bigint) as cost, audit, body from counted, ends
+  union all
+  select conv, i, state, m.cost, m.audit, m.body from (
+    select r.conv, r.i - 1 as i, e.state, min({{'cost': b.cost + e.cost,
+      'audit': e.letters || b.audit, 'body': e.put || case e.as_role when '-' then ''
+        when '=' then r.role || ':' || r.text || chr(10)
+        else e.as_role || ':' || r.text || chr(10) end || b.body}}) as m
+    from best b join coded r on r.conv = b.conv and r.i = b.i
+      join edits e on e.initial = r.initial and e.kind = r.kind and e.after = b.state
+    group by r.conv, r.i, e.state)),
+originals as (select distinct conv_id, coalesce(cast(conv_id as varchar), '') as conv
+              from conversations)
+select o.conv_id, cast(coalesce(c.gaps, 0) as bigint) as gaps, coalesce(c.blank, 0) as blank,
+  coalesce(c.duplicate, 0) as duplicate, coalesce(c.truncated, 0) as truncated,
+  coalesce(c.illegal, 0) as illegal, coalesce(b.cost, 0) as cost, coalesce(b.audit, '') as audit,
+  sha256(coalesce(left(b.body, length(b.body) - 1), '')) as repaired_sha256
+from originals o left join counted c on o.conv = c.conv
+  left join best b on o.conv = b.conv and b.i = 0 and b.state = 'start'"""
