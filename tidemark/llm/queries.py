@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    conversations, cover_tree, embedding_dedup, hnsw, licenses, mixing, pieces, quality, simhash, toxicity, url_filter, warc)
+    conversations, cover_tree, embedding_dedup, hnsw, licenses, mixing, phrases, pieces, quality, simhash, toxicity, url_filter, warc)
 from tidemark.llm.common import word_count
 from tidemark.session import settle
 
@@ -201,6 +201,49 @@ def op10_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_decode(_table(spark, sf, "documents"), tokenizer_bytes())
 
 
+@_query
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
+SQL["op11_phrases"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) as piece
+  from documents),
+cut as (select lang, regexp_extract_all(piece, '[^ 	]+') as w from pieces),
+totals as (select lang, sum(len(w)) as n from cut group by lang),
+grams as (
+  select lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, len(w) - m + 2)])
+    as phrase from cut, range(1, 6) t(m)),
+counts as (
+  select lang, m, phrase, count(*) as f, string_split(phrase, ' ') as w
+  from grams group by lang, m, phrase having count(*) >= 100),
+cuts as (
+  select c.lang, c.m, c.phrase, c.w, c.f as a, k from counts c, range(1, 5) t(k)
+  where c.m >= 2 and k < c.m),
+scored as (
+  select c.lang, c.phrase, c.a, c.k, x.f as l, y.f as r, t.n,
+    cast(1000 as hugeint) * c.a * t.n // (cast(x.f as hugeint) * y.f) as score
+  from cuts c join counts x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.k], ' ')
+    join counts y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+    join totals t on t.lang = c.lang),
+best as (
+  select *, row_number() over (partition by lang, phrase order by score, k) as turn from scored),
+inner_parts as (
+  select lang, f, array_to_string(w[i:i + size - 1], ' ') as phrase
+  from counts, range(2, 5) s(size), range(1, 5) p(i)
+  where size < m and i + size - 1 <= m),
+holders as (select lang, phrase, max(f) as longest from inner_parts group by lang, phrase),
+ranked as (
+  select b.*, row_number() over (partition by b.lang order by score desc, a desc, b.phrase) as rank
+  from best b left join holders h on h.lang = b.lang and h.phrase = b.phrase
+  where turn = 1 and (longest is null or 100 * longest < 100 * a))
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked where rank <= 2000"""
+
+
 @_query
 def op12_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, sf, "embeddings"))
