@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import phrases
@@ -75,54 +76,65 @@ def test_no_rows(spark):
     assert phrases.collocations(frame(spark, []), least=1).collect() == []
 
 
-def drained(trie):
-    total = Counter()
-    for run in trie.spill():
-        assert run == sorted(run) and len({path[0] for path, _ in run}) == 1
-        total.update(dict(run))
-    return total
+def packed(path):
+    rest = 0
+    for i in path[1:]:
+        rest = rest << phrases.ID_BITS | i
+    return rest
 
 
-def test_trie_bursts_and_spills_whole_subtrees():
+@pytest.mark.parametrize("length", [2, 3, 5])
+def test_trie_bursts_and_spills_whole_subtrees(length):
     rng = random.Random(5)
-    trie, want = phrases.HatTrie(3, entries=500, container=8), Counter()
-    got = Counter()
-    for _ in range(5000):
-        path = tuple(rng.choice([1, 1, 1, 2, 3, rng.randrange(1, 40)]) for _ in range(5))
-        n = rng.randrange(1, 4)
-        want[path] += n
-        trie.add(path, n)
+    trie = phrases.HatTrie(length, levels=3, entries=500, container=8)
+    want, got, burst = Counter(), Counter(), 0
+
+    def take(keep):
+        ids, counts = trie.spill(keep)
+        paths = list(map(tuple, ids.tolist()))
+        assert paths == sorted(paths) and len(set(paths)) == len(paths)
+        assert not {path[0] for path in paths} & set(trie.root)  # no subtree is left in part
+        got.update(dict(zip(paths, counts.tolist(), strict=True)))
+        assert trie.held <= keep
+
+    for _ in range(500):
+        paths = [tuple(rng.choice([1, 1, 2, rng.randrange(1, 40)]) for _ in range(length))
+                 for _ in range(10)]
+        counts = [rng.randrange(1, 4) for _ in paths]
+        for path, n in zip(paths, counts, strict=True):
+            want[path] += n
+        trie.add_all([p[0] for p in paths], [packed(p) for p in paths], counts)
+        burst += type(trie.root[paths[0][0]]) is phrases._Node
         if trie.full:
-            for run in trie.spill(250):
-                got.update(dict(run))
-            assert trie.held <= 250
-    assert type(trie.root[1]) is dict  # the commonest prefix has burst
-    assert got + drained(trie) == want and trie.held == 0
+            take(250)
+    take(0)
+    assert got == want and (burst > 0) == (length > 2)
 
 
-def test_task_with_small_bounds_counts_the_same(monkeypatch):
+@pytest.mark.parametrize("known", [1, 2, 3])
+def test_task_with_small_bounds_counts_the_same(monkeypatch, known):
     monkeypatch.setattr(phrases, "TRIE_ENTRIES", 30)
     monkeypatch.setattr(phrases, "VOCABULARY", 6)
     monkeypatch.setattr(phrases, "TEXT_AT_ONCE", 16)
     everything = phrases.Bits(np.full(4, np.iinfo(np.uint64).max, np.uint64), 8)
     rng, held, total, want = random.Random(7), {}, Counter(), Counter()
-    texts = [" ".join(rng.choice("abcdefghij") * rng.choice([1, 2]) for _ in range(60))
-             + ".tail end" for _ in range(20)]
-    for text in texts:
+    least, most = (known + 1, known + 1) if known < 3 else (4, 5)
+
+    def count(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                more = [row["w5"]] if row.get("w5") else []
+                total[tuple(row["phrase"].split() + more)] += row["n"]
+
+    for _ in range(20):
+        text = " ".join(rng.choice("abcdefghij") * rng.choice([1, 2]) for _ in range(60)) + ".x y z"
         parts = list(phrases.tokens(text.encode()))
         assert [w for p in parts for w in p] == text.replace(".", " . ").encode().split()
-        for part in parts:
-            for batch in phrases._fed(held, {b"en": part}, [everything, everything]):
-                for row in batch.to_pylist():
-                    total[tuple(row["phrase"].split()) + (row["w4"], row["w5"])] += row["n"]
-        for batch in phrases._fed(held, {b"en": [b"."]}, [everything, everything]):
-            for row in batch.to_pylist():
-                total[tuple(row["phrase"].split()) + (row["w4"], row["w5"])] += row["n"]
+        for part in [*parts, [b"."]]:
+            count(phrases._fed(held, {b"en": part}, [everything] * known))
         for piece in text.split("."):
             words = piece.encode().split()
-            for i in range(len(words) - 2):
-                want[tuple(words[i:i + 5]) + (None,) * max(0, i + 5 - len(words))] += 1
-    for batch in held[b"en"].close():
-        for row in batch.to_pylist():
-            total[tuple(row["phrase"].split()) + (row["w4"], row["w5"])] += row["n"]
+            for i in range(len(words) - least + 1):
+                want[tuple(words[i:i + most])] += 1
+    count(held[b"en"].close())
     assert total == want

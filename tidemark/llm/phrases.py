@@ -1,23 +1,23 @@
 """Phrase collocations: exact counts of word sequences by spilling HAT-tries, and their scores.
 
-A sequence can only be frequent if its words and its word pairs are, so there are three passes over
-the texts: words; pairs of frequent words; and, where frequent pairs follow each other, sequences of
-three to five words. What is frequent is known to the tasks as a bitmap of fixed size. A stranger
-that shares a bit is counted for nothing and dropped by its exact count: bits save work only.
+A sequence can only be frequent if its words, pairs and triples are, so there are four passes over
+the texts: words; pairs of frequent words; triples of frequent pairs; sequences of four and five
+words of frequent triples. What is frequent is known to the tasks as bitmaps of fixed size. A
+stranger that shares a bit is counted and dropped by its exact count: bits save work only.
 
 Within a task, words get ids and sequences are counted in a HAT-trie: a shallow trie by word id
 whose leaves are hash containers; a container that grows beyond its limit bursts into a node with
 containers one word further down. When the trie is full its largest subtrees are written out whole
-as sorted runs. The runs of all tasks are dealt by the prefix (the first three words of a long
-sequence) and merged there; what follows one prefix is summed by Spark, which spills.
+as sorted runs. The runs of all tasks are dealt by the prefix (a whole short sequence, the first
+four words of a long one) and merged there by Spark's sums, which spill.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 from tidemark.session import settle
 
 MOST_WORDS = 5
-PREFIX = 3
 #: Sequences a task holds, entries of a hash container, distinct words a task knows.
-TRIE_ENTRIES = 400_000
+TRIE_ENTRIES = 700_000
 CONTAINER_ENTRIES = 4_096
 VOCABULARY = 400_000
+#: Bits of a word id in a task; its ids stay below VOCABULARY + WORDS_AT_ONCE.
+ID_BITS = 20
 #: Bytes of text that are cut into words, and words that are counted, in one go.
 TEXT_AT_ONCE = 1 << 22
 WORDS_AT_ONCE = 1 << 18
@@ -59,65 +60,93 @@ def tokens(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+class _Node(dict):
+    """A trie node: word id to node or container; a container is a plain ``{rest: count}``."""
+
+
 class HatTrie:
-    """Counts of id sequences: trie nodes by word id above burstable hash containers.
+    """Counts of id sequences of one length: trie nodes above burstable hash containers.
 
-    A node is ``{id: node or container}``; a container is a ``Counter`` of the remaining ids. Above
-    ``entries`` sequences, :meth:`spill` takes out the largest subtrees of the root.
+    A sequence is its first id and the ``rest`` packed into an integer, ID_BITS each. Containers of
+    the first ``levels - 1`` levels burst above ``container`` entries. :meth:`spill` takes the
+    largest subtrees of the root out.
     """
 
-    def __init__(self, depth: int, entries: int = TRIE_ENTRIES,
+    def __init__(self, length: int, levels: int = 2, entries: int = TRIE_ENTRIES,
                  container: int = CONTAINER_ENTRIES):
-        self.depth, self.entries, self.container = depth, entries, container
-        self.root: dict = {}
+        self.length, self.levels = length, min(levels, length - 1)  # a rest has an id at least
+        self.entries, self.container = entries, container
+        self.root = _Node()
         self.sizes: Counter = Counter()  # sequences below each child of the root
         self.held = 0
 
-    def add(self, path: tuple[int, ...], n: int) -> None:
-        node, level = self.root, 0
-        below = node.setdefault(path[0], Counter())
-        while type(below) is dict:
-            node, level = below, level + 1
-            below = node.setdefault(path[level], Counter())
-        rest = path[level + 1:]
-        if rest not in below:
-            self.held += 1
-            self.sizes[path[0]] += 1
-            if len(below) >= self.container and level + 2 < self.depth:
-                below = self._burst(node, path[level], below)
-                below = below.setdefault(rest[0], Counter())
-                rest = rest[1:]
-        below[rest] += n
+    def add_all(self, firsts: list[int], rests: list[int], counts: list[int]) -> None:
+        root, sizes, limit = self.root, self.sizes, self.container
+        for first, rest, n in zip(firsts, rests, counts, strict=True):
+            node, key, below = root, first, root.get(first)
+            if below is None:
+                below = root[first] = {}
+            level = 1
+            while type(below) is _Node:
+                node, level = below, level + 1
+                shift = ID_BITS * (self.length - level)
+                key, rest = rest >> shift, rest & ((1 << shift) - 1)
+                below = node.get(key)
+                if below is None:
+                    below = node[key] = {}
+            if rest in below:
+                below[rest] += n
+                continue
+            below[rest] = n
+            sizes[first] += 1
+            if len(below) > limit and level < self.levels:
+                node[key] = self._burst(below, ID_BITS * (self.length - level - 1))
+        self.held = sizes.total()
 
     @staticmethod
-    def _burst(node: dict, key: int, container: Counter) -> dict:
-        node[key] = {}
+    def _burst(container: dict, shift: int) -> _Node:
+        node, mask = _Node(), (1 << shift) - 1
         for rest, n in container.items():
-            node[key].setdefault(rest[0], Counter())[rest[1:]] += n
-        return node[key]
+            node.setdefault(rest >> shift, {})[rest & mask] = n
+        return node
 
     @property
     def full(self) -> bool:
         return self.held > self.entries
 
-    def spill(self, keep: int = 0) -> Iterator[list[tuple[tuple[int, ...], int]]]:
-        """Whole subtrees as sorted runs, the largest first, until at most ``keep`` are held."""
-        largest = [(-size, key) for key, size in self.sizes.items()]
-        heapq.heapify(largest)
-        while self.held > keep:
-            size, key = heapq.heappop(largest)
-            self.held += size
+    def spill(self, keep: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of whole subtrees as one sorted run each, in order of the first id; the
+        largest subtrees go until at most ``keep`` sequences are held."""
+        firsts: list[int] = []
+        rests: list[int] = []
+        counts: list[int] = []
+        for key, size in self.sizes.most_common() if keep else list(self.sizes.items()):
+            if self.held <= keep:
+                break
+            self._walk(self.root.pop(key), 0, self.length - 1, rests, counts)
+            firsts += [key] * size
+            self.held -= size
             del self.sizes[key]
-            run = [((key, *rest), n) for rest, n in self._walk(self.root.pop(key))]
-            yield sorted(run)
-
-    def _walk(self, below: dict | Counter) -> Iterator[tuple[tuple[int, ...], int]]:
-        if type(below) is dict:
+        half = ID_BITS * (self.length // 2)
+        low = (1 << half) - 1
+        columns = [np.array(firsts, np.int64)]
+        for part, width in ((np.fromiter((r >> half for r in rests), np.int64, len(rests)),
+                             self.length - 1 - self.length // 2),
+                            (np.fromiter((r & low for r in rests), np.int64, len(rests)),
+                             self.length // 2)):
+            columns += [part >> ID_BITS * i & (1 << ID_BITS) - 1 for i in range(width)][::-1]
+        ids = np.stack(columns, axis=1)
+        order = np.lexsort(ids.T[::-1])
+        return ids[order], np.array(counts, np.int64)[order]
+
+    def _walk(self, below: dict, above: int, left: int, rests: list, counts: list) -> None:
+        if type(below) is _Node:
             for key, child in below.items():
-                for rest, n in self._walk(child):
-                    yield (key, *rest), n
+                self._walk(child, above << ID_BITS | key, left - 1, rests, counts)
         else:
-            yield from below.items()
+            high = above << ID_BITS * left
+            rests.extend([high | rest for rest in below] if high else below)
+            counts.extend(below.values())
 
 
 def _mix(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -147,16 +176,15 @@ class Bits:
 
 
 def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
-    """The bits of ``lang, phrase`` rows of one or two words. At most 2 ** (bits - 6) rows, a
+    """The bits of ``lang, phrase`` rows. At most 2 ** (bits - 6) rows, a
     constant, reach the driver whatever the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = []
             for lang, phrase in zip(batch.column("lang").to_pylist(),
                                     batch.column("phrase").to_pylist(), strict=True):
-                parts = [np.uint64(_word_hash(lang, w)) for w in phrase.split(b" ")]
-                hashes.append(parts[0] if len(parts) == 1 else
-                              _mix(np.array(parts[:1]), np.array(parts[1:]))[0])
+                parts = [np.array([_word_hash(lang, w)], np.uint64) for w in phrase.split(b" ")]
+                hashes.append(reduce(_mix, parts)[0])
             place = np.array(hashes, np.uint64) >> np.uint64(64 - bits)
             yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64))], names=["place"])
     marks = (frequent.select("lang", "phrase").mapInArrow(run, "place long")
@@ -187,22 +215,18 @@ class _Ids(dict):
         return new
 
 
-def _counted_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows in order, and how often each occurs."""
-    rows = rows[np.lexsort(rows.T[::-1])]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-    return rows[new], np.diff(np.append(np.flatnonzero(new), len(rows)))
-
-
 class _Language:
-    """The stream of one language's words in a task, as ids; sequences go into a HAT-trie."""
+    """The stream of one language's words in a task, as ids; sequences go into a HAT-trie.
 
-    def __init__(self, lang: bytes, words: Bits, pairs: Bits | None):
-        self.lang, self.known, self.pairs = lang, words, pairs
-        self.width = 2 if pairs is None else MOST_WORDS
-        self.ids = _Ids(lang, words)
-        self.trie = HatTrie(2 if pairs is None else PREFIX)
+    ``known`` are the bits of the frequent words, pairs, triples, as far as they are counted. The
+    sequences are one word longer, after triples two.
+    """
+
+    def __init__(self, lang: bytes, known: Sequence[Bits]):
+        self.lang, self.known = lang, known
+        self.width = len(known) + 1 if len(known) < 3 else MOST_WORDS
+        self.ids = _Ids(lang, known[0])
+        self.trie = HatTrie(self.width, entries=TRIE_ENTRIES)
         self.tail = np.zeros(0, np.int64)  # ids that still wait for the words behind them
 
     def feed(self, words: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +243,7 @@ class _Language:
         """Write all sequences and start with new ids."""
         yield from self.written(0)
         waiting = [self.ids.words[i] if i else _PIECE for i in self.tail]
-        self.ids = _Ids(self.lang, self.known)
+        self.ids = _Ids(self.lang, self.known[0])
         self.tail = np.fromiter(map(self.ids.__getitem__, waiting), np.int64, len(waiting))
 
     def close(self) -> Iterator[pa.RecordBatch]:
@@ -227,45 +251,50 @@ class _Language:
         yield from self.written(0)
 
     def _count(self, stream: np.ndarray, starts: int) -> None:
-        """Add the sequence at each of the first ``starts`` places, cut where a pair is rare."""
-        frame = np.lib.stride_tricks.sliding_window_view(stream, self.width)[:starts]
-        fine = (stream[:-1] > 0) & (stream[1:] > 0)
-        if self.pairs is None:
-            rows = frame[fine[:starts]]
+        """Add the sequence at each of the first ``starts`` places. All of its words, pairs and
+        triples are frequent; the fifth word is 0 where only four go together."""
+        fine, hashes = stream > 0, np.array(self.ids.hashes, np.uint64)[stream]
+        mixed = hashes
+        for length, bits in enumerate(self.known[1:], 2):
+            both = np.flatnonzero(fine[:-1] & fine[1:])
+            mixed = _mix(mixed[:-1], hashes[length - 1:])
+            fine = np.zeros(len(mixed), bool)
+            fine[both] = bits.have(mixed[both])
+        at = np.flatnonzero(fine[:starts] & fine[1:starts + 1])
+        if not len(at):
+            return
+        rest = np.zeros(len(at), np.int64)
+        for step in range(1, min(self.width, 4)):
+            rest = rest << ID_BITS | stream[at + step]
+        if self.width == MOST_WORDS:
+            fifth = np.where(fine[at + 2], stream[at + 4], 0)
         else:
-            at = np.flatnonzero(fine)
-            hashes = np.array(self.ids.hashes, np.uint64)
-            fine[at] = self.pairs.have(_mix(hashes[stream[at]], hashes[stream[at + 1]]))
-            links = np.lib.stride_tricks.sliding_window_view(fine, self.width - 1)[:starts]
-            long = np.flatnonzero(links[:, :PREFIX - 1].all(axis=1))
-            rows = frame[long].copy()
-            rows[:, 1:] *= np.logical_and.accumulate(links[long], axis=1)
-        if len(rows):
-            rows, counts = _counted_rows(rows)
-            for row, n in zip(rows.tolist(), counts.tolist(), strict=True):
-                self.trie.add(tuple(row), n)
+            fifth = np.zeros(len(at), np.int64)
+        order = np.lexsort((fifth, rest, stream[at]))
+        first, rest, fifth = stream[at][order], rest[order], fifth[order]
+        new = np.ones(len(at), bool)
+        new[1:] = ((first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
+                   | (fifth[1:] != fifth[:-1]))
+        counts = np.diff(np.append(np.flatnonzero(new), len(at)))
+        rests = rest[new].tolist()
+        if self.width == MOST_WORDS:
+            rests = [r << ID_BITS | f for r, f in zip(rests, fifth[new].tolist(), strict=True)]
+        self.trie.add_all(first[new].tolist(), rests, counts.tolist())
 
     def written(self, keep: int) -> Iterator[pa.RecordBatch]:
+        """``lang, phrase, n`` of the sorted runs of spilled subtrees; of long sequences
+        ``phrase`` is four words and ``w5`` the next, or null."""
         names = pa.array(self.ids.words, pa.binary())
-        held: list = []
-        for run in self.trie.spill(keep):
-            held += run
-            if len(held) > 50_000:
-                yield self._rows(held, names)
-                held = []
-        if held:
-            yield self._rows(held, names)
-
-    def _rows(self, run: list, names: pa.Array) -> pa.RecordBatch:
-        """``lang, prefix, rest..., n`` of a sorted run; absent words are null."""
-        ids = np.array([path for path, _ in run], np.int64)
-        words = [names.take(pa.array(column, mask=column == 0)) for column in ids.T]
-        head = min(self.width, PREFIX)
-        columns = [pa.array([self.lang] * len(run), pa.binary()),
-                   pc.binary_join_element_wise(*words[:head], b" "), *words[head:],
-                   pa.array([n for _, n in run], pa.int64())]
-        rest = [f"w{i + 1}" for i in range(head, self.width)]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", *rest, "n"])
+        ids, counts = self.trie.spill(keep)
+        head = min(self.width, 4)
+        for start in range(0, len(ids), 50_000):
+            part = ids[start:start + 50_000]
+            words = [names.take(pa.array(column, mask=column == 0)) for column in part.T]
+            columns = [pa.array([self.lang] * len(part), pa.binary()),
+                       pc.binary_join_element_wise(*words[:head], b" "), *words[head:],
+                       pa.array(counts[start:start + 50_000])]
+            rest = ["w5"] if self.width > head else []
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", *rest, "n"])
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[bytes, bytes]]:
@@ -303,11 +332,11 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _fed(held: dict[bytes, _Language], waiting: dict[bytes, list[bytes]],
-         known: Sequence[Bits | None]) -> Iterator[pa.RecordBatch]:
+         known: Sequence[Bits]) -> Iterator[pa.RecordBatch]:
     """Count the waiting words; all languages of a task share the bounds on what is held."""
     for lang, words in waiting.items():
         if lang not in held:
-            held[lang] = _Language(lang, *known)
+            held[lang] = _Language(lang, known)
         yield from held[lang].feed(words)
         while sum(x.trie.held for x in held.values()) > TRIE_ENTRIES:
             yield from max(held.values(), key=lambda x: x.trie.held).written(0)
@@ -315,14 +344,12 @@ def _fed(held: dict[bytes, _Language], waiting: dict[bytes, list[bytes]],
             yield from max(held.values(), key=lambda x: len(x.ids)).forget()
 
 
-def _sequence_counts(docs: DataFrame, words: np.ndarray, pairs: np.ndarray | None,
-                     bits: int) -> DataFrame:
-    """Runs of the HAT-tries of all tasks: pairs, or where these are known longer sequences."""
-    context = docs.sparkSession.sparkContext
-    sent = context.broadcast((words, pairs))
+def _sequence_counts(docs: DataFrame, known: Sequence[np.ndarray], bits: int) -> DataFrame:
+    """Runs of the HAT-tries of all tasks: sequences of frequent words, pairs, triples."""
+    sent = docs.sparkSession.sparkContext.broadcast(list(known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [None if x is None else Bits(x, bits) for x in sent.value]
+        known = [Bits(x, bits) for x in sent.value]
         held: dict[bytes, _Language] = {}
         waiting: dict[bytes, list[bytes]] = {}
         n_waiting = 0
@@ -338,17 +365,10 @@ def _sequence_counts(docs: DataFrame, words: np.ndarray, pairs: np.ndarray | Non
         yield from _fed(held, waiting, known)
         for language in held.values():
             yield from language.close()
-    rest = "" if pairs is None else ", w4 binary, w5 binary"
+    rest = ", w5 binary" if len(known) == 3 else ""
     return docs.mapInArrow(run, f"lang binary, phrase binary{rest}, n long")
 
 
-def _joined(*words: str) -> Column:
-    column = F.col(words[0])
-    for word in words[1:]:
-        column = F.concat(column, F.lit(b" "), F.col(word))
-    return column
-
-
 def frequent_phrases(docs: DataFrame, least: int, lang: str = "lang", text: str = "text",
                      filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """``lang, n`` and ``lang, phrase, words, f`` (bytes) of all phrases of 1 to 5 words that
@@ -363,24 +383,26 @@ def frequent_phrases(docs: DataFrame, least: int, lang: str = "lang", text: str
                      .filter(F.col("phrase").isNull() | (F.col("f") >= least)), "words")
     totals = singles.filter("phrase is null").select("lang", F.col("f").alias("n"))
     singles = singles.filter("phrase is not null")
-    words = _bitmap(singles, filter_bits)
-    pairs = settle(summed(_sequence_counts(docs, words, None, filter_bits), "phrase")
-                   .filter(F.col("f") >= least), "pairs")
-    runs = _sequence_counts(docs, words, _bitmap(pairs, filter_bits), filter_bits)
+    tables, known = [singles.select("lang", "phrase", F.lit(1).alias("words"), "f")], []
+    known.append(_bitmap(singles, filter_bits))
+    for length in (2, 3):
+        table = settle(summed(_sequence_counts(docs, known, filter_bits), "phrase")
+                       .filter(F.col("f") >= least), f"phrases-{length}")
+        tables.append(table.select("lang", "phrase", F.lit(length).alias("words"), "f"))
+        known.append(_bitmap(table, filter_bits))
+    # one shuffle by the prefix of four words: what shares it stays together for both lengths
     prefix = ["lang", "phrase"]
-    whole = (runs.repartition(*prefix).groupBy(*prefix, "w4", "w5").agg(F.sum("n").alias("n")))
-    # one shuffle: what shares a prefix stays together for all lengths
+    runs = _sequence_counts(docs, known, filter_bits).repartition(*prefix)
+    whole = runs.groupBy(*prefix, "w5").agg(F.sum("n").alias("n"))
     grown = whole.select(*prefix, "n", F.explode(F.array(
-        F.struct(F.lit(3).alias("words"), F.col("phrase").alias("longer")),
-        F.struct(F.lit(4).alias("words"), _joined("phrase", "w4").alias("longer")),
-        F.struct(F.lit(5).alias("words"), _joined("phrase", "w4", "w5").alias("longer"))))
+        F.struct(F.lit(4).alias("words"), F.col("phrase").alias("longer")),
+        F.struct(F.lit(5).alias("words"),
+                 F.concat("phrase", F.lit(b" "), "w5").alias("longer"))))
         .alias("p")).filter("p.longer is not null")
-    long = (grown.groupBy(*prefix, "p.words", "p.longer").agg(F.sum("n").alias("f"))
-            .filter(F.col("f") >= least)
-            .select("lang", F.col("longer").alias("phrase"), "words", "f"))
-    every = (singles.select("lang", "phrase", F.lit(1).alias("words"), "f")
-             .unionByName(pairs.select("lang", "phrase", F.lit(2).alias("words"), "f"))
-             .unionByName(long))
+    tables.append(grown.groupBy(*prefix, "p.words", "p.longer").agg(F.sum("n").alias("f"))
+                  .filter(F.col("f") >= least)
+                  .select("lang", F.col("longer").alias("phrase"), "words", "f"))
+    every = reduce(DataFrame.unionByName, tables)
     return totals, settle(every, "phrases")
 
 
