@@ -47,14 +47,23 @@ def test_splits_never_part_an_entity(spark):
     assert max(sizes) - min(sizes) <= 2
 
 
-def test_permuted_features_are_a_permutation(spark):
-    df = spark.range(400).select("id", (F.col("id") * 10).alias("a"), F.col("id").alias("b"))
-    out = permuted_rows(df, ["id"], ["a", "b"], 2, 1, 4)
-    for r in range(2):
-        picked = out.select("id", F.get("_perm", F.lit(r)).alias("s")).select("id", "s.a", "s.b")
-        assert picked.filter(F.col("a") != F.col("b") * 10).count() == 0
-        assert picked.select("b").distinct().count() == 400
+@pytest.mark.parametrize("n", [400, 3, 2])
+def test_permuted_features_are_a_permutation(spark, n):
+    df = spark.range(n).select("id", (F.col("id") * 10).alias("a"), F.col("id").alias("b"))
+    out = permuted_rows(df, ["id"], ["a", "b"], 2, 1).select("id", "_repeat", "_perm.*").cache()
+    assert out.count() == 2 * n and out.filter(F.col("a") != F.col("b") * 10).count() == 0
+    for r in (1, 2):
+        picked = out.filter(F.col("_repeat") == r)
+        assert picked.select("b").distinct().count() == n
         assert picked.filter(F.col("b") == F.col("id")).count() == 0
+    if n > 2:  # two repeats are two different permutations
+        assert out.groupBy("id").agg(F.count_distinct("b").alias("d")).filter("d < 2").count() == 0
+
+
+def test_one_row_keeps_its_features_and_none_gives_none(spark):
+    df = spark.range(1).withColumn("a", F.lit(5))
+    assert [r["_perm"]["a"] for r in permuted_rows(df, ["id"], ["a"], 2, 1).collect()] == [5, 5]
+    assert permuted_rows(df.limit(0), ["id"], ["a"], 2, 1).collect() == []
 
 
 @pytest.fixture(scope="module")
@@ -95,7 +104,9 @@ def test_train_save_load_score(spark, modelling, tmp_path):
                              settings=TrainSettings(trees=5, depth=3, folds=3, repeats=1,
                                                     min_precision=0.6))
     assert metrics["test"]["pr_auc"] > metrics["test"]["prevalence"] + 0.1
+    lost = {r["feature"]: r["importance_mean"] for r in metrics["permutation_importance"]}
     assert metrics["permutation_importance"][0]["feature"] == "edad"
+    assert lost["edad"] > 0.1 and lost["edad"] > 3 * abs(lost["programa"])
     assert metrics["temporal"]["test_semestre"] == 2
     assert metrics["validation"]["kfold"]["k"] == 3 and metrics["pr_curve_test"]
     assert metrics["dataset"]["rows_labeled"] == 600

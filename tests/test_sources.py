@@ -209,3 +209,50 @@ def test_settled_tables_go_to_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert all(shared_dir(spark) in f for f in files)
     assert named is None or shared_dir(spark) == named.rstrip("/")
+
+
+def test_header_cells_are_cut_like_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id;"a;b"; "say ""hi""" ;c\n1;2;3;4\n')
+    got = read_delimited(spark, str(tmp_path / "*.csv"))
+    assert got.columns == ["id", "a;b", 'say "hi"', "c"]
+    assert rows(got) == [("1", "2", "3", "4")]
+
+
+def test_only_the_line_at_the_headers_place_is_dropped(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\nid;v\nid;v\n1;2\nid;v\n  \n")
+    (tmp_path / "b [x] 1.csv").write_text("v;id\nv;id\n")
+    got = read_delimited(spark, str(tmp_path / "*.csv"), file_column="f")
+    assert rows(got.select("id", "v")) == [("1", "2"), ("id", "v"), ("id", "v"), ("id", "v")]
+    assert rows(got.select("v").distinct()) == [("2",), ("v",)]
+
+
+def test_one_layout_reads_the_asked_columns_only(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a;b;c\n1;2;3\n")
+    plan = read_delimited(spark, str(tmp_path / "a.csv")).select("b")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" in text and "c0" not in text.split("ReadSchema")[1]
+
+
+def test_datasets_at_any_depth(spark, tmp_path):
+    for place in ("hq2v-5umk.json", "2025-01/dataset_hq2v-5umk_part-0002.json",
+                  "2025/02/hq2v-5umk.json/part-0.json", "other.json", "x/n48w-gutb.json"):
+        file = tmp_path / "gov" / place
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text('[{"a": "%s"}]' % place)
+    for schemas in ({"gobierno_sisben_iv": "a string"}, {}):
+        routed = route_datasets(spark, str(tmp_path / "gov"), schemas)
+        assert sorted(routed) == ["gobierno_internet_fijo", "gobierno_sisben_iv"]
+        assert routed["gobierno_sisben_iv"].count() == 3
+
+
+def test_period_files_and_exports_with_other_columns_are_united(spark, tmp_path):
+    from tidemark.plans.silver import raw_to_silver
+    raw = tmp_path / "raw"
+    (raw / "estudiantes").mkdir(parents=True)
+    (raw / "exports").mkdir()
+    (raw / "estudiantes" / "estudiantes_periodo_1701.csv").write_text("Id;Extra\n1;x\n")
+    (raw / "exports" / "estudiantes_periodo_1702.csv").write_text(
+        "Informe " + "." * 300 + "\nEstudiantes del periodo 2025 (x)\n\nId;Edad;Sexo\n2;30;F\n")
+    assert raw_to_silver(spark, str(raw), str(tmp_path / "silver"), "r", {}) == ["estudiantes"]
+    got = spark.read.parquet(str(tmp_path / "silver" / "estudiantes"))
+    assert rows(got.select("id", "extra", "edad")) == [("1", "x", None), ("2", None, "30")]

@@ -2,56 +2,64 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.learning.models import with_score
 from tidemark.operators.evaluation import evaluate, score_counts
+from tidemark.operators.ordered import ranked
 from tidemark.session import settle
 
-#: Buckets inside which features are permuted. A fixed number, so that the permutation of a row does
-#: not depend on how many others there are; a billion rows are 250,000 per bucket.
-BUCKETS = 4096
+def shifts(n: int, repeats: int, seed: int) -> list[int]:
+    """How far each repeat turns the random order of ``n`` rows; different as long as they can be."""
+    draws = random.Random(seed)
+    distinct = draws.sample(range(1, n), min(repeats, n - 1)) if n > 1 else [0]
+    return [distinct[r % len(distinct)] for r in range(repeats)]
 
 
 def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], repeats: int,
-                  seed: int, buckets: int) -> DataFrame:
-    """Every row with ``_perm``, an array of feature structs taken from other rows.
+                  seed: int) -> DataFrame:
+    """Every row once per repeat, numbered ``_repeat`` from 1, with ``_perm``, the features of
+    another row.
 
-    Rows are spread over hash buckets of the unique key. For each repeat a bucket is put in a
-    seeded random order and every row takes the features of the next one, the last those of the
-    first. All features and repeats share one shuffle.
+    The rows are put in one seeded random order over the whole table (ranges, so nothing is in one
+    task). A repeat turns the order by its own shift and every row takes the features that come to
+    its place: each is a permutation without a row that keeps its own, at any size above one row.
+    ``key`` must be unique and without nulls.
     """
-    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets))
-    keyed = df.withColumn("_bucket", bucket).withColumn("_own", F.struct(*features))
-    picks = []
-    for r in range(repeats):
-        order = Window.partitionBy("_bucket").orderBy(F.xxhash64(F.lit(seed + r), *key), *key)
-        picks.append(F.coalesce(F.lead("_own").over(order), F.first("_own").over(
-            order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    return keyed.withColumn("_perm", F.array(*picks)).drop("_bucket", "_own")
+    placed = settle(ranked(
+        settle(df.withColumn("_draw", F.xxhash64(F.lit(seed), *key)), "drawn"),
+        ["_draw", *key], "_place").drop("_draw"), "placed")
+    n = placed.count()
+    turns = F.array(*[F.struct(F.lit(r + 1).alias("r"), F.lit(s).cast("long").alias("s"))
+                      for r, s in enumerate(shifts(n, repeats, seed))])
+    lent = placed.select("_place", F.struct(*features).alias("_perm"),
+                         F.explode(turns).alias("_turn")).select(
+        ((F.col("_place") + F.col("_turn.s") - 1) % F.lit(max(n, 1)) + 1).alias("_place"),
+        F.col("_turn.r").alias("_repeat"), "_perm")
+    return placed.join(lent, "_place").drop("_place")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, key: Sequence[str],
                            features: Sequence[str], target: str, repeats: int = 5,
-                           seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
+                           seed: int = 42) -> DataFrame:
     """``feature, importance_mean, importance_std``: loss of PR-AUC when a feature is permuted.
 
     Each row is scored once as it is and once per feature and repeat, all in one job.
     """
     needed = df.select(*key, target, *[f for f in features if f not in key])
-    rows = permuted_rows(needed, key, features, repeats, seed, buckets)
-    variants = F.array(
-        F.struct(F.lit("").alias("f"), F.lit(0).alias("r")),
-        *[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r"))
-          for f in features for r in range(1, repeats + 1)])
-    wide = rows.withColumn("_v", F.explode(variants)).select(
-        target, F.col("_v.f").alias("feature"), F.col("_v.r").alias("repeat"),
-        *[F.when(F.col("_v.f") == f, F.get("_perm", F.col("_v.r") - 1)[f])
-          .otherwise(F.col(f)).alias(f) for f in features])
+    rows = permuted_rows(needed, key, features, repeats, seed)
+    variants = F.array(*[F.lit(f) for f in features])
+    plain = F.when(F.col("_repeat") == 1, F.array_append(variants, "")).otherwise(variants)
+    wide = rows.withColumn("feature", F.explode(plain)).select(
+        target, "feature", F.when(F.col("feature") == "", 0).otherwise(F.col("_repeat"))
+        .alias("repeat"),
+        *[F.when(F.col("feature") == f, F.col("_perm")[f]).otherwise(F.col(f)).alias(f)
+          for f in features])
     scored = with_score(model, wide)
     by = ["feature", "repeat"]
     areas = settle(evaluate(score_counts(scored, "score", target, by), 0.5, by)

@@ -187,5 +187,6 @@ def top_places(df: DataFrame, place: str, entity: str, code: str, mean_of: str,
         .orderBy(F.desc("entities"), place).limit(top))
 
 
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def union_all(parts: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
+    """Union by name; ``allow_missing`` makes a column that a part lacks null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), parts)

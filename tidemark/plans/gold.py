@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import pad_code
@@ -44,17 +44,20 @@ def connectivity_by_code(internet: DataFrame) -> DataFrame:
 
 
 def period_fact(students: DataFrame, calendar: DataFrame, codes: DataFrame, poverty: DataFrame,
-                connectivity: DataFrame, cut_error: float = 0.01) -> DataFrame:
+                connectivity: DataFrame, cut_error: float = 0.01,
+                last: Column | None = None) -> DataFrame:
     """Fact at grain (id, period).
 
     ``codes``, ``poverty`` and ``connectivity`` are stored tables, so their joins broadcast by
-    size. The facts move twice: once to fold duplicates, once by id for all windows.
+    size. The facts move twice: once to fold duplicates, once by id for all windows. ``last``, the
+    last semester, has to be given where ``students`` are not all there are.
     """
     fact = dedup_by_key(attach_calendar(students, calendar, "periodo_codigo"),
                         ["id", "periodo_codigo"])
     # the last semester from the narrow input, not from the folded fact
-    last = (attach_calendar(students.select("periodo_codigo"), calendar, "periodo_codigo")
-            .agg(F.max("semestre_orden")).scalar())
+    if last is None:
+        last = (attach_calendar(students.select("periodo_codigo"), calendar, "periodo_codigo")
+                .agg(F.max("semestre_orden")).scalar())
     fact = with_panel_columns(fact, "id", "semestre_orden", last).withColumnsRenamed({
         "next_t": "next_semestre_orden", "churned_next": "desertion_t1",
         "periods_so_far": "semestres_cursados_acum",
@@ -98,6 +101,11 @@ def missing_silver(spark: SparkSession, silver: str) -> list[str]:
     return [name for name in NEEDED if not artifacts_exist(spark, f"{silver}/{name}")]
 
 
+def stored_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """A written dimension without its audit columns."""
+    return spark.read.parquet(path).drop("_gold_processed_at", "_gold_run_id")
+
+
 def silver_to_gold(spark: SparkSession, silver: str, gold: str, run_id: str) -> dict[str, str]:
     """Write the gold dimensions and both facts; returns table name -> path.
 
@@ -115,26 +123,23 @@ def silver_to_gold(spark: SparkSession, silver: str, gold: str, run_id: str) ->
     write_gold(poverty_by_code(poverty_raw), paths["dim_pobreza_mpio"], run_id)
     write_gold(connectivity_by_code(internet), paths["dim_conectividad_mpio"], run_id)
 
-    def stored(name: str) -> DataFrame:
-        return spark.read.parquet(paths[name]).drop("_gold_processed_at", "_gold_run_id")
-
     calendar = literal_rows(spark, CALENDAR, CALENDAR_SCHEMA)
-    fact = period_fact(students, calendar, stored("dim_divipola"), stored("dim_pobreza_mpio"),
-                       stored("dim_conectividad_mpio"))
+    fact = period_fact(students, calendar, *[stored_dimension(spark, paths[name]) for name in (
+        "dim_divipola", "dim_pobreza_mpio", "dim_conectividad_mpio")])
     write_gold(fact, paths["fact_estudiante_periodo"], run_id, ["anio"])
     written = read_partitioned(spark, paths["fact_estudiante_periodo"])
     write_gold(semester_fact(written), paths["fact_estudiante_semestre"], run_id, ["anio"])
     return paths
 
 
-def gold_checks(spark: SparkSession, silver: str, paths: dict[str, str]) -> dict[str, Any]:
+def gold_checks(spark: SparkSession, students: DataFrame,
+                paths: dict[str, str]) -> dict[str, Any]:
     """Figures to look at after a run: coverage of the code lookup, prevalence by semester (null
     where censored) and rows of periods the calendar does not know. All are a few rows."""
     fact = read_partitioned(spark, paths["fact_estudiante_periodo"])
     semester = read_partitioned(spark, paths["fact_estudiante_semestre"])
     calendar = literal_rows(spark, CALENDAR, CALENDAR_SCHEMA)
-    unknown = unknown_periods(spark.read.parquet(f"{silver}/estudiantes"), calendar,
-                              "periodo_codigo").agg(F.coalesce(F.sum("n_rows"), F.lit(0)))
+    unknown = unknown_periods(students, calendar, "periodo_codigo").agg(F.coalesce(F.sum("n_rows"), F.lit(0)))
     by_semester = period_prevalence(semester, "semestre_orden", "desertion_t1")
     return {
         "coverage": fact.agg(coverage(fact, "codigo_divipola")).first()[0],

@@ -67,7 +67,7 @@ def raw_to_silver(spark: SparkSession, raw: str, silver: str, run_id: str,
         students.append(normalize_columns(students_from_exports(spark, f"{raw}/exports")))
     tables: dict[str, tuple[DataFrame, str]] = {}
     if students:
-        tables["estudiantes"] = (union_all(students), "estudiantes")
+        tables["estudiantes"] = (union_all(students, allow_missing=True), "estudiantes")
     if has_files(spark, f"{raw}/gobierno"):
         for name, df in government_tables(spark, f"{raw}/gobierno", schemas).items():
             tables[name] = (df, "gobierno")

@@ -51,6 +51,21 @@ def csv_layouts(spark, sf):
         "o_orderkey", "o_orderstatus", "o_custkey", "note")
 
 
+@query("csv_quoted_header", """select cast(o_orderkey as varchar) as o_orderkey,
+  o_orderstatus as "status; short", cast(o_custkey as varchar) as o_custkey from orders
+union all select 'o_orderkey', 'status; short', 'o_custkey'""")
+def csv_quoted_header(spark, sf):
+    """A separator inside a quoted header cell; a row that equals the header stays a row."""
+    path, orders = fresh_path(spark, "quoted"), table(spark, sf, "orders")
+    names = ["o_orderkey", "status; short", "o_custkey"]
+    rows = orders.select(*[F.col(c).cast("string").alias(n) for c, n in zip(
+        ("o_orderkey", "o_orderstatus", "o_custkey"), names)])
+    echo = orders.limit(1).select(*[F.lit(n).alias(n) for n in names])
+    rows.unionByName(echo).write.option("sep", ";").option("header", True).option(
+        "quoteAll", True).csv(path)
+    return read_delimited(spark, path).select(*[F.col(f"`{n}`") for n in names])
+
+
 PAGE_KEYS = 2_000  # order keys per page, which bounds a page file
 FILE_KEYS = 50_000  # keys per report or export file
 ORDER_SCHEMA = "o_orderkey string, o_custkey string, o_totalprice double"
@@ -105,11 +120,12 @@ where o_orderstatus = 'F'
 union all select 'gobierno_sisben_iv', cast(o_orderkey as varchar) from orders
 where o_orderstatus = 'O'""")
 def dataset_routing(spark, sf):
-    """A dataset folder per order status, of which one has an id outside the map and is skipped."""
+    """A dataset folder per order status at different depths, of which one has an id outside the
+    map and is skipped."""
     root = fresh_path(spark, "routing")
     orders = table(spark, sf, "orders")
     record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("o_orderkey")))
-    for status, key in (("F", "n48w-gutb"), ("O", "hq2v-5umk"), ("P", "zzzz-0000")):
+    for status, key in (("F", "2025-01/n48w-gutb"), ("O", "hq2v-5umk"), ("P", "a/b/zzzz-0000")):
         (orders.filter(F.col("o_orderstatus") == status)
          .groupBy(F.floor(F.col("o_orderkey") / PAGE_KEYS).alias("page"))
          .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(record)), F.lit("]"))

@@ -4,11 +4,14 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.fixed import CALENDAR, CALENDAR_SCHEMA
 from tidemark.plans.gold import (
-    connectivity_by_code, municipality_codes, period_fact, poverty_by_code, semester_fact)
+    connectivity_by_code, municipality_codes, period_fact, poverty_by_code, semester_fact,
+    silver_to_gold)
+from tidemark.plans.incremental import raw_files, refresh, start_ledger
+from tidemark.plans.silver import raw_to_silver
 from tidemark.queries.cleaning import SQL_CANONICAL
 from tidemark.queries.registry import query, table
-from tidemark.session import settle
-from tidemark.sources.tables import literal_rows
+from tidemark.session import fresh_path, settle
+from tidemark.sources.tables import literal_rows, write_silver
 
 CODES = [row[0] for row in CALENDAR] + ["periodo_9998", "periodo_9999"]
 
@@ -189,3 +192,41 @@ qualify row_number() over (partition by id, semestre_orden order by
   periodo_orden) = 1""")
 def gold_semester_fact(spark, sf):
     return _rounded(semester_fact(gold_fact(spark, sf)))
+
+
+_LANDINGS = 3  # period files land in as many steps
+
+
+def landed_facts(spark, sf):
+    """A full run on the files of the first periods, then the others by landings; the lake."""
+    lake = fresh_path(spark, "lake")
+    people = settle(students(spark, sf), "students")
+    write_silver(internet(spark, sf), f"{lake}/silver/gobierno_internet_fijo")
+    write_silver(poverty(spark, sf), f"{lake}/silver/gobierno_sisben_iv")
+    for step in range(_LANDINGS):
+        for code in CODES[step * len(CODES) // _LANDINGS:(step + 1) * len(CODES) // _LANDINGS]:
+            (people.filter(F.col("periodo_codigo") == code).drop("periodo_codigo").write
+             .option("sep", ";").option("header", True)
+             .csv(f"{lake}/raw/estudiantes/estudiantes_{code}.csv"))
+        if step == 0:
+            files = settle(raw_files(spark, f"{lake}/raw"), "files")
+            raw_to_silver(spark, f"{lake}/raw", f"{lake}/silver", "r0", {})
+            silver_to_gold(spark, f"{lake}/silver", f"{lake}/gold", "r0")
+            start_ledger(spark, lake, files)
+        else:
+            refresh(spark, lake, f"r{step}")
+    return lake
+
+
+def _plain(df):
+    """Without what names the run."""
+    return _rounded(df.drop("source_file", *[
+        c for c in df.columns if c.startswith(("_gold_", "silver_"))]))
+
+
+@query("gold_landed_periods", f"""with {SQL_FACT}
+select * exclude (mpio_norm_, depto_norm_) replace ({_ROUNDED}) from fact""")
+def gold_landed_periods(spark, sf):
+    """Facts that grew by landings of period files equal those of all files at once."""
+    lake = landed_facts(spark, sf)
+    return _plain(spark.read.parquet(f"{lake}/gold/fact_estudiante_periodo"))

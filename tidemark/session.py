@@ -72,8 +72,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open_scopes.remove(name)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system, if it is there."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +18,9 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     """Header CSV, no inference. ``path`` may be a glob or a list of paths.
 
     Files may differ in the order and in the set of their columns: they are united by name, and a
-    column that a file lacks is null there. A row with more cells than its header is an error.
-    ``file_column`` names a column for the file's path.
+    column that a file lacks is null there. Files of one header are one scan, so there are as many
+    scans as different headers. A row with more cells than its header is an error; a row that
+    equals the header is a row. ``file_column`` names a column for the file's path.
 
     With a declared ``schema`` all files have that layout: no file is opened to plan the query, and
     ``enforceSchema=false`` makes Spark check the header's names against it.
@@ -31,31 +35,58 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
         F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
     # the first block of a file is read in order by one task, so the smallest number is its top line
     tops = settle(
-        lines.filter((F.col("block") == 0) & (F.length(F.trim("line")) > 0))
+        lines.filter((F.col("block") == 0) & F.col("line").rlike(r"[^\x00-\x20]"))
         .withColumn("n", F.monotonically_increasing_id()).groupBy("file")
         .agg(F.min_by("line", "n").alias("top"))
         .withColumn("header", header_cells(F.col("top"), sep)), "headers")
-    body = lines.join(tops, "file").filter(F.length("line") > 0).filter(
-        ~((F.col("block") == 0) & (F.col("line") == F.col("top"))))
-    keep = {file_column: F.col("file")} if file_column else {}
-    return by_header(body, tops, sep, keep)
+    names = header_names(tops)
+    layouts = [list(r["header"]) for r in
+               tops.select("header").distinct().orderBy("header").toLocalIterator()]
+    parts = []
+    for header in layouts:
+        files = path if len(layouts) == 1 else [
+            file_pattern(r["file"]) for r in
+            tops.filter(F.col("header") == F.array(*map(F.lit, header))).select("file")
+            .toLocalIterator()]
+        parts.append(_one_layout(spark, files, sep, header, names, file_column))
+    return reduce(DataFrame.union, parts)
+
+
+def _one_layout(spark: SparkSession, files: str | Sequence[str], sep: str, header: Sequence[str],
+                names: Sequence[str], file_column: str | None) -> DataFrame:
+    """Files of one header by Spark's own scan, which drops a file's first line by its place and
+    reads only the columns that are asked for."""
+    beyond = f"c{len(header)}"
+    rows = (spark.read.option("sep", sep).option("header", True)
+            .schema(", ".join(f"c{i} string" for i in range(len(header) + 1))).csv(files))
+    path = F.col("_metadata.file_path")
+    rows = rows.select("*", path.alias("file")).filter(
+        F.when(F.col(beyond).isNotNull(), F.raise_error(F.concat(
+            F.lit("a row has more cells than its header in "), "file"))).otherwise(F.lit(True)))
+    place = {name: F.col(f"c{i}") for i, name in enumerate(header)}
+    return rows.select(
+        *([F.col("file").alias(file_column)] if file_column else []),
+        *[place.get(n, F.lit(None).cast("string")).alias(n) for n in names])
+
+
+def file_pattern(path: str) -> str:
+    """A path as a file listing shows it, as a pattern that matches this file only."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(path))
 
 
 def header_cells(line: Column, sep: str) -> Column:
-    """The names in a header line, without blanks and quotes around them."""
+    """The names in a header line, without blanks and quotes around them; a separator inside
+    quotes belongs to the name."""
     bare = F.regexp_replace(line, "[\\r\\n\\ufeff]", "")
-    return F.transform(F.split(bare, f"\\Q{sep}\\E"),
-                       lambda cell: F.regexp_replace(F.trim(cell), '^"+|"+$', ""))
+    cell = rf'\Q{sep}\E(\s*+"(?:[^"\\]|\\.|"")*+"(?:(?!\Q{sep}\E).)*|(?:(?!\Q{sep}\E).)*)'
+    cells = F.regexp_extract_all(F.concat(F.lit(sep), bare), F.lit(cell), F.lit(1))
+    return F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(
+        F.trim(c), '^"|"$', ""), r'""|\\"', '"'))
 
 
-def by_header(body: DataFrame, headers: DataFrame, sep: str, keep: dict[str, Column]) -> DataFrame:
-    """Columns by name out of ``line``, each row by the array ``header`` of its ``file``.
-
-    One scan for all layouts: a line is split once to the widest layout and every column is picked
-    by its place in the row's own header. ``headers`` has one row per file; only the distinct column
-    names reach the driver. A name that occurs twice in a header, and a cell beyond the header, are
-    errors that name the file.
-    """
+def header_names(headers: DataFrame) -> list[str]:
+    """The distinct names of the arrays ``header``, one per ``file``, by their first place. Only
+    they reach the driver. A name twice in a header is an error that names the file."""
     twice = headers.filter(F.size(F.array_distinct("header")) < F.size("header")).select(
         "file", "header").first()
     if twice:
@@ -65,6 +96,18 @@ def by_header(body: DataFrame, headers: DataFrame, sep: str, keep: dict[str, Col
              .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").toLocalIterator()]
     if not names:
         raise ValueError("no file has a header")
+    return names
+
+
+def by_header(body: DataFrame, headers: DataFrame, sep: str, keep: dict[str, Column]) -> DataFrame:
+    """Columns by name out of ``line``, each row by the array ``header`` of its ``file``.
+
+    One scan for all layouts: a line is split once to the widest layout and every column is picked
+    by its place in the row's own header. ``headers`` has one row per file; only the distinct column
+    names reach the driver. A name that occurs twice in a header, and a cell beyond the header, are
+    errors that name the file.
+    """
+    names = header_names(headers)
     width = headers.agg(F.max(F.size("header"))).first()[0]
     fields = ", ".join(f"c{i} string" for i in range(width + 1))
     line = F.regexp_replace("line", r"\r$", "")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.artifacts import artifacts_exist
+from tidemark.sources.delimited import file_pattern
 
 # Dataset ids of the open-data portal and the tables they become.
 DATASET_TABLES = {
@@ -41,18 +41,27 @@ def route_datasets(spark: SparkSession, path: str | Sequence[str],
                    tables: dict[str, str] = DATASET_TABLES) -> dict[str, DataFrame]:
     """One DataFrame per mapped dataset id; files with other ids are skipped.
 
-    ``schemas`` maps a table name to its declared schema. Every id is read by the patterns its files
-    can have directly below ``path``, so no file name reaches Python and no file outside the map is
-    ever opened.
+    ``schemas`` maps a table name to its declared schema. The files of an id are found at any depth
+    below ``path`` by a filter on the file's path, which Spark applies when it lists the files: no
+    file outside the map is ever opened, and only the ids that occur reach the driver.
     """
     roots = [path] if isinstance(path, str) else list(path)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+              .select(dataset_id(F.col("path")).alias("id"))
+              .filter(F.col("id").isin(sorted(tables))).distinct())
     routed = {}
-    for key, table in sorted(tables.items()):
-        globs = [f"{root.rstrip('/')}/{before}{key}{after}.json" for root in roots
-                 for before in ("", "dataset_") for after in ("", "_part-*")]
-        there = [g for g in globs if artifacts_exist(spark, g)]
-        if there:
-            routed[table] = read_json_array(spark, there, schemas.get(table))
+    for key in sorted(r["id"] for r in listed.toLocalIterator()):
+        own = dataset_id(F.col("_metadata.file_path")) == key
+        schema = schemas.get(tables[key])
+        if schema is None:  # inference opens the files, so it has to be given its own
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+            mine = files.select("path").filter(dataset_id(F.col("path")) == key)
+            routed[tables[key]] = read_json_array(
+                spark, [file_pattern(r["path"]) for r in mine.toLocalIterator()])
+        else:
+            routed[tables[key]] = (
+                spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+                .schema(schema).json(roots).filter(own))
     return routed
 
 
