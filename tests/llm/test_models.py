@@ -135,3 +135,49 @@ def test_passages_cover_whole_texts():
     assert set(owner) == set(range(5)) and (np.diff(owner) >= 0).all()
     assert (owner == 3).sum() == -(-1000 // quality.WORDS_PER_PASSAGE)
     assert np.isfinite(x).all()
+
+
+def test_attention_pass_equals_a_plain_loop():
+    s = quality.Settings(hidden=4, attention=3)
+    rng = np.random.default_rng(2)
+    net = quality.AttentionNetwork.fresh(rng.normal(size=6), rng.random(6) + 0.5, s)
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    bags = [rng.normal(size=(n, 6)) for n in (1, 4, 2)]
+    got = net.forward(np.concatenate(bags), np.array([0, 1, 5]))
+    weights, want = [], []
+    for bag in bags:
+        hidden, logits = [], []
+        for row in bag:
+            h = np.tanh(((row - p["mean"]) / p["scale"]) @ p["W"] + p["b"])
+            gate = 1 / (1 + np.exp(-(h @ p["U"])))
+            hidden.append(h)
+            logits.append(float((np.tanh(h @ p["V"]) * gate) @ p["w"]))
+        total = sum(np.exp(e) for e in logits)
+        weights += [np.exp(e) / total for e in logits]
+        z = sum(np.exp(e) / total * h for e, h in zip(logits, hidden, strict=True))
+        want.append(1 / (1 + np.exp(-(z @ p["c"] + p["d"][0]))))
+    assert got["a"] == pytest.approx(weights, rel=1e-4)
+    assert got["y"] == pytest.approx(want, rel=1e-4)
+
+
+def test_long_documents_take_part_in_the_fit(spark):
+    """All labelled documents are longer than a bag may be; the model learns from them."""
+    rng = np.random.default_rng(4)
+
+    def text(good):
+        words = ["stone", "river", "Morning.", "walked,"] if good else ["$$9", "##", "0x!", "|||"]
+        return " ".join(rng.choice(words, 1200))
+    rows = [(i, text(i % 2), i % 2) for i in range(40)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    model = quality.train(docs, labels, settings=quality.Settings(passages=3))
+    found = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert all((found[i] >= 0.5) == bool(y) for i, _, y in rows)
+
+
+def test_drawn_passages_are_spread_over_the_text():
+    s = quality.Settings(passages=20)
+    bag = np.arange(1000.0)[:, None]
+    kept = quality.drawn(bag, s)[:, 0]
+    assert len(kept) == 20 and (np.diff(kept) > 0).all() and kept[0] < 250 and kept[-1] > 750
+    assert quality.drawn(bag[:20], s) is not None and len(quality.drawn(bag[:20], s)) == 20

@@ -157,3 +157,39 @@ def test_features_by_hand(spark):
     assert row["query_length"] == 7 and row["suffix_length"] == 3 and row["has_fragment"] == 1
     assert row["digit_ratio"] == pytest.approx(3 / 31)
     assert 3 < row["entropy"] < 5
+
+
+def test_copies_of_one_url_do_not_drown_the_others(spark):
+    """Half the rows are one blocked url; statistics and sample are over different urls."""
+    rows = [(i, "http://example.org/es/a") for i in range(300)]
+    rows += [(300 + i, f"http://site{i}.org/page/{i}") for i in range(200)]
+    rows += [(600 + i, f"http://other{i}.org.net/page/{i}") for i in range(20)]
+    table = spark.createDataFrame(rows, "page_id long, url string")
+    got = url_filter.judge(table, sample=150).filter("rule is null").collect()
+    assert len(got) == 20 and {r["verdict"] for r in got} == {"allow"}
+
+
+def test_remaining_features_by_hand(spark):
+    from collections import Counter
+    from math import log2
+    text = "http://ab-c_d.example.net/aaa/b%20b?k=1"
+    url = F.lit(text)
+    host, path = url_filter.split_url(url)
+    row = spark.range(1).select(*[c.alias(n) for n, c in
+                                  url_filter.lexical(url, host, path).items()]).first().asDict()
+    counts = Counter(text)
+    entropy = -sum(n / len(text) * log2(n / len(text)) for n in counts.values())
+    assert row["entropy"] == pytest.approx(entropy, rel=1e-6)
+
+
+@pytest.mark.parametrize("size", [10, 1 << 14, 100_000])
+def test_long_http_heads_are_parsed_whole(size):
+    import io
+    payload = b"<html>body</html>"
+    http = (b"HTTP/1.1 200 OK\r\nSet-Cookie: " + b"c" * size
+            + b"\r\nContent-Length: %d\r\n\r\n" % len(payload))
+    block = http + payload
+    head = (b"WARC/1.0\r\nWARC-Type: response\r\nContent-Type: application/http\r\n"
+            b"Content-Length: %d\r\n\r\n" % len(block))
+    got = list(warc.records(io.BytesIO(head + block + b"\r\n\r\n"), lambda heads: True))
+    assert len(got) == 1 and got[0][-1] == payload and got[0][-2] == len(payload)

@@ -31,7 +31,8 @@ BYTES_AT_ONCE = 1 << 19
 @dataclass(frozen=True)
 class Settings:
     """Bounds and shape of the fit. The sample is drawn by hash of the key: the ``sample`` first
-    labelled documents, left out if longer than ``passages`` (they are scored whole all the same).
+    labelled documents, each with at most ``passages`` passages drawn from its whole text (scoring
+    reads all of them).
     """
 
     sample: int = 6000
@@ -270,6 +271,14 @@ def fit(bags: list[np.ndarray], y: np.ndarray, s: Settings) -> AttentionNetwork:
     return net
 
 
+def drawn(bag: np.ndarray, s: Settings) -> np.ndarray:
+    """At most ``passages`` rows of a bag, spread at random over the whole of it, in order."""
+    if len(bag) <= s.passages:
+        return bag
+    rng = np.random.default_rng([s.seed, len(bag)])
+    return bag[np.sort(rng.choice(len(bag), s.passages, replace=False))]
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id",
           text: str = "text", settings: Settings = Settings()) -> bytes:
     """The fitted network as bytes; pass only rows that may be learnt from.
@@ -281,13 +290,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
                    .orderBy(F.xxhash64(key, F.lit(1)), key).limit(settings.sample), "sample")
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [encode([text])[0].astype(np.float16) for text in utf8_values(batch.column(1))]
-        keep = [i for i, x in enumerate(found) if len(x) <= settings.passages]
-        data = [found[i].tobytes() for i in keep]
+        data = [drawn(encode([text])[0], settings).astype(np.float16).tobytes()
+                for text in utf8_values(batch.column(1))]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(keep, pa.int64())),
-             batch.column(2).take(pa.array(keep, pa.int64())),
-             pa.array(data, pa.binary())], names=["id", "label", "x"])
+            [batch.column(0), batch.column(2), pa.array(data, pa.binary())],
+            names=["id", "label", "x"])
 
     bags = map_batches(
         docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"), key)

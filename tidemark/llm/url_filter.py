@@ -110,17 +110,19 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] =
               .withColumn("_suffix", suffix(F.col("host"))))
     marked = parted.filter("_rule is not null").withColumn(
         "label", (F.col("_rule.verdict") == "block").cast("double"))
-    chosen = settle(marked.orderBy(F.xxhash64(url), url).limit(sample)
-                    .select("label", "_suffix", *FEATURES[:-1]), "labelled-urls")
-    totals = chosen.agg(F.count("*").alias("n"), F.coalesce(F.avg("label"), F.lit(0.0))
-                        .alias("share")).first()
-    # counts of a bounded sample
-    shares = settle(chosen.groupBy("_suffix").agg(
+    # every different labelled url once: copies of one must not outweigh the others
+    urls = settle(marked.select(F.col(url).alias("_url"), "label", "_suffix", *FEATURES[:-1])
+                  .distinct(), "labelled-urls")
+    totals = urls.agg(F.count("*").alias("n"), F.coalesce(F.avg("label"), F.lit(0.0))
+                      .alias("share")).first()
+    shares = settle(urls.groupBy("_suffix").agg(
         ((F.sum("label") + PRIOR * totals["share"]) / (F.count("*") + PRIOR))
         .alias("_share")), "suffixes")
+    # only the fit is bounded; the shares of the suffixes cover all labelled urls
+    chosen = settle(urls.orderBy(F.xxhash64("_url"), "_url").limit(sample).drop("_url"), "sample")
 
     def with_share(rows: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(shares), "_suffix", "left").withColumn(
+        return rows.join(shares, "_suffix", "left").withColumn(
             "suffix_share", F.coalesce("_share", F.lit(float(totals["share"])))).drop("_share")
 
     known = F.col("_rule.verdict")

@@ -225,8 +225,12 @@ def _row(heads: dict[str, str], n: int, window, payload: bool, seen: dict) -> tu
     if heads.get("content-type", "").startswith("application/http"):
         found = b""
         # the HTTP head is inside the block: never look behind it
-        window.need(min(n, HEAD))
-        end = window.held.find(b"\r\n\r\n", window.at, window.at + min(n, HEAD))
+        span, end = min(n, HEAD), -1
+        while window.need(span):
+            end = window.held.find(b"\r\n\r\n", window.at, window.at + span)
+            if end >= 0 or span == n:
+                break
+            span = min(n, 2 * span)
         if end >= 0:
             found = window.held[window.at:end]
             rest -= end + 4 - window.at
