@@ -8,14 +8,18 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from tidemark.learning.boosting import (
+    BinPlan, BoostSettings, fit_trees, histogram, plan_bins)
 from tidemark.learning.features import FeatureSpec
-from tidemark.learning.importance import permutation_importance
+from tidemark.learning.importance import permutation_importance, permuted_rows
 from tidemark.learning.models import baseline_pipeline, fit_balanced, tree_pipeline, with_score
 from tidemark.learning.training import (
     TrainSettings, feature_schema, fold_metrics, out_of_fold_scores, prepare, score_batch, train)
+from tidemark.learning.splits import with_balanced_weight
 from tidemark.operators.evaluation import evaluate, score_counts
 from tidemark.plans.model import score_and_save
-from tidemark.queries.registry import SQL_PANEL, customer_panel, orders_t, query
+from tidemark.queries.registry import (
+    SQL_CUSTOMER_PANEL, SQL_PANEL, customer_panel, orders_t, query, table)
 from tidemark.session import fresh_path, settle
 from tidemark.sources.artifacts import (
     artifacts_exist, load_latest, require_same_version, save_artifacts)
@@ -116,6 +120,112 @@ def temporal_holdout(spark, sf):
     return _checked(evaluate(score_counts(scored, "score", SPEC.target), 0.5))
 
 
+#: Numbers with and without gaps, and a category of which one value is not in the list.
+NATIVE_PLAN = BinPlan(
+    {"gap_since_previous": [1.5, 2.5], "periods_so_far": [1.0, 2.0, 3.0, 5.0, 7.0],
+     "balance_band": [0.0, 20.0, 40.0, 60.0]},
+    {"c_mktsegment": ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"]})
+FIRST_TREE = BoostSettings(trees=1, depth=1)
+SQL_ROOT_SUMS = SQL_CUSTOMER_PANEL + """,
+labelled as (select *, churned_next - avg(churned_next) over () as residual,
+    avg(churned_next) over () * (1 - avg(churned_next) over ()) as hessian
+  from cpanel where churned_next is not null),
+binned as (
+  select 0 as feature, case when gap_since_previous is null then -1
+    else cast(gap_since_previous > 1.5 as integer) + cast(gap_since_previous > 2.5 as integer) end
+    as bin, residual, hessian from labelled
+  union all select 1, len(list_filter([1, 2, 3, 5, 7], lambda c: c < periods_so_far)),
+    residual, hessian from labelled
+  union all select 2, len(list_filter([0, 20, 40, 60], lambda c: c < balance_band)),
+    residual, hessian from labelled
+  union all select 3, coalesce(list_position(
+    ['AUTOMOBILE', 'BUILDING', 'HOUSEHOLD', 'MACHINERY'], c_mktsegment), 0) - 1,
+    residual, hessian from labelled),
+sums as (
+  select feature, cast(bin as integer) as bin, -sum(residual) as g, sum(hessian) as h,
+    count(*) as n
+  from binned group by 1, 2)"""
+
+
+def _native_rows(spark, sf):
+    return customer_panel(spark, sf).filter("churned_next is not null")
+
+
+@query("native_root_sums", f"""with {SQL_ROOT_SUMS}
+select feature, bin, round(g, 6) + 0.0 as g, round(h, 6) as h, n from sums""")
+def native_root_sums(spark, sf):
+    """Gradients, Hessians and rows per feature and bin, as the first tree sees them."""
+    rows = settle(_native_rows(spark, sf).select("churned_next", NATIVE_PLAN.bins().alias("_bins")))
+    share = rows.agg(F.avg("churned_next")).scalar()
+    sums = histogram(rows.withColumns({"_g": share - F.col("churned_next"),
+                                       "_h": share * (1 - share)}), F.lit(1))
+    return sums.select("feature", "bin", (F.round("g", 6) + 0.0).alias("g"),
+                       F.round("h", 6).alias("h"), "n")
+
+
+@query("native_first_split", f"""with {SQL_ROOT_SUMS},
+running as (
+  select *, sum(g) over w as gl, sum(h) over w as hl, row_number() over w as place
+  from (select *, case when feature = 3 then g / (h + 10) else bin end as key
+        from sums where bin >= 0)
+  window w as (partition by feature order by key, bin)),
+totals as (
+  select feature, sum(g) as gt, sum(h) as ht,
+    coalesce(sum(g) filter (bin = -1), 0) as gm, coalesce(sum(h) filter (bin = -1), 0) as hm
+  from sums group by feature),
+sides as (
+  select r.feature, r.bin, r.place, s.missing_left, gt, ht,
+    gl + case when s.missing_left then gm else 0 end as lg,
+    hl + case when s.missing_left then hm else 0 end as lh
+  from running r join totals t on r.feature = t.feature,
+    (values (false), (true)) s(missing_left)),
+gains as (
+  select *, round((lg * lg / (lh + 1) + (gt - lg) * (gt - lg) / (ht - lh + 1)
+    - gt * gt / (ht + 1)) / 2, 9) as gain
+  from sides where lh >= 1 and ht - lh >= 1)
+select feature, bin as cut, missing_left, round(gain, 6) as gain,
+  round(-lg / (lh + 1) * 0.1, 9) as left_value,
+  round(-(gt - lg) / (ht - lh + 1) * 0.1, 9) as right_value
+from gains where gain > 0 order by gain desc, feature, place, missing_left limit 1""")
+def native_first_split(spark, sf):
+    """Split, side of the missing rows and leaf values of a fitted first tree."""
+    model = fit_trees(_native_rows(spark, sf), "churned_next", NATIVE_PLAN, FIRST_TREE)
+    return model.table(spark).select(
+        "feature", "cut", "missing_left", F.round("gain", 6).alias("gain"),
+        F.round("left_value", 9).alias("left_value"),
+        F.round("right_value", 9).alias("right_value"))
+
+
+@query("native_holdout", SQL_HOLDOUT)
+def native_holdout(spark, sf):
+    """Trees with native missing values and categories on the holdout."""
+    frames = _frames(spark, sf)
+    train = with_balanced_weight(frames.train, SPEC.target)
+    plan = plan_bins(train, frames.numeric, frames.categories)
+    model = fit_trees(train, SPEC.target, plan, BoostSettings(trees=6, depth=3), "weight")
+    return _checked(evaluate(score_counts(
+        model.with_score(frames.test), "score", SPEC.target), 0.5))
+
+
+_REPEATS = 3
+
+
+@query("permuted_features", f"""
+select cast(r as integer) as repeat, count(*) as n, count(*) as donors,
+  cast(0 as bigint) as own, cast(sum(cast(round(c_acctbal * 100) as bigint)) as bigint) as cents
+from customer, range(1, {_REPEATS + 1}) t(r) group by r""")
+def permuted_features(spark, sf):
+    """Over the whole table every row lends its features once per repeat and keeps none."""
+    rows = table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_custkey").alias("donor"),
+        F.round(F.col("c_acctbal") * 100).cast("bigint").alias("cents"))
+    out = permuted_rows(rows, ["c_custkey"], ["donor", "cents"], _REPEATS, SETTINGS.seed)
+    return out.groupBy(F.col("_repeat").alias("repeat")).agg(
+        F.count("*").alias("n"), F.count_distinct("_perm.donor").alias("donors"),
+        F.count_if(F.col("_perm.donor") == F.col("c_custkey")).alias("own"),
+        F.sum("_perm.cents").alias("cents"))
+
+
 _NO_FEATURE = "constant"
 
 
