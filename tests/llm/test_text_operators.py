@@ -66,6 +66,18 @@ def test_mix_is_near_its_targets_and_repeats(spark):
     assert max(r[-1] for r in got) <= 3
 
 
+def test_mix_is_near_its_targets_with_very_long_documents(spark):
+    rng = random.Random(6)
+    rows = [(i, f"s{i % 12}", min(20_000, int(rng.paretovariate(0.9) * 15))) for i in range(900)]
+    by = mixing.mix(sized(spark, rows), "size").groupBy("source").agg(
+        F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"),
+        F.max("size").alias("largest")).collect()
+    for r in by:
+        assert abs(r["taken"] - r["target"]) <= 0.6 * r["largest"] + 0.02 * r["target"]
+    whole = sum(r["target"] for r in by)
+    assert abs(sum(r["taken"] for r in by) - whole) <= 0.05 * whole
+
+
 def test_mix_edges(spark):
     empty = mixing.mix(sized(spark, []), "size")
     assert empty.columns == ["doc_id", "source", "size", "source_size", "target", "copies"]

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import ranked, running_totals
@@ -25,6 +25,8 @@ from tidemark.session import settle
 ROWS_PER_BUCKET = 4000
 #: No source is taken more than this often.
 MOST_REPEATS = 3
+#: Offsets of which a source gets the one that brings it nearest its target.
+OFFSETS = 16
 #: The weights that sources get in turn, in code point order.
 WEIGHTS = (1, 2, 3)
 
@@ -69,10 +71,18 @@ def source_targets(sizes: DataFrame, source: str = "source",
     return filled.select(source, "source_size", "weight", target.alias("target"))
 
 
-def offset(source: str, seed: int):
-    """The random offset of a source: five hex digits of a digest over 16 ** 5."""
+def offsets(source: str, seed: int) -> Column:
+    """The offsets a source may get: a random one (five hex digits of a digest over 16 ** 5) and
+    those at even steps from it."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(source), F.lit("\x00null"))))
-    return F.conv(F.substring(digest, 1, 5), 16, 10).cast("double") / float(16 ** 5)
+    first = F.conv(F.substring(digest, 1, 5), 16, 10).cast("double") / float(16 ** 5)
+    return F.array(*[first + i / OFFSETS for i in range(OFFSETS)])
+
+
+def _crossed(start: Column, position: Column) -> Column:
+    """Whole numbers crossed by the step that ends at ``position``."""
+    return (F.floor(start + position * F.col("_rate"))
+            - F.floor(start + (position - 1.0) * F.col("_rate")))
 
 
 def mix(docs: DataFrame, size: str, source: str = "source", key: str = "doc_id",
@@ -83,7 +93,8 @@ def mix(docs: DataFrame, size: str, source: str = "source", key: str = "doc_id",
     ``size`` is a long column without nulls. Null is a source of its own, the last one. Documents of
     a source without any word have one copy each (there is nothing to share). Rows with equal
     source, size and key are ordered by ``ties``; rows equal in those too are interchangeable. Reruns
-    agree.
+    agree. Of a few seeded offsets a source gets the one whose words taken are nearest its target;
+    what is left of the distance is about half its largest document at most.
     The added columns replace columns of the same name; an empty table gives an empty result.
     """
     docs = docs.drop("source_size", "target", "copies")
@@ -98,30 +109,40 @@ def mix(docs: DataFrame, size: str, source: str = "source", key: str = "doc_id",
                 F.ceil(F.col("_n") / rows_per_bucket).alias("_buckets"),
                 F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
                 .otherwise(1.0).alias("_rate"),
-                offset("_s", seed).alias("_offset")), "plan")
+                offsets("_s", seed).alias("_offsets")), "plan")
 
     digest = F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")),
                                F.col(size).cast("string")))
     placed = docs.join(plan, F.col(source).eqNullSafe(F.col("_s"))).withColumn(
         "_key", digest).withColumn(
         "_bucket", F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") % F.col("_buckets"))
-    narrow = docs.select(source, key, size).join(
-        plan.select("_s", "_buckets"), F.col(source).eqNullSafe(F.col("_s"))).withColumn(
-        "_bucket", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.col("_buckets"))
+    narrow = docs.select(F.col(source).alias("_source"), F.col(size).alias("_size"),
+                         digest.alias("_key")).join(
+        plan, F.col("_source").eqNullSafe(F.col("_s"))).withColumn(
+        "_bucket", F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") % F.col("_buckets"))
     before = Window.partitionBy("_s").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = settle(
         narrow.groupBy("_s", "_bucket").agg(F.count("*").alias("_rows"))
         .select(F.col("_s").alias("_t"), F.col("_bucket").alias("_b"),
                 F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")), "starts")
-    inside = Window.partitionBy("_s", "_bucket").orderBy(size, "_key", *ties)
-    local = placed.withColumn("_rank", F.row_number().over(inside))
-    numbered = local.join(starts, F.col("_s").eqNullSafe(F.col("_t"))
-                          & (F.col("_bucket") == F.col("_b")))
     position = (F.col("_start") + F.col("_rank")).cast("double")
-    crossed = (F.floor(F.col("_offset") + position * F.col("_rate"))
-               - F.floor(F.col("_offset") + (position - 1.0) * F.col("_rate")))
-    return numbered.select(*kept, "source_size", "target", crossed.alias("copies"))
+
+    def numbered(rows: DataFrame, *order: str) -> DataFrame:
+        inside = Window.partitionBy("_s", "_bucket").orderBy(*order)
+        return rows.withColumn("_rank", F.row_number().over(inside)).join(
+            starts, F.col("_s").eqNullSafe(F.col("_t")) & (F.col("_bucket") == F.col("_b")))
+    # the words that each offset would take, from the narrow rows
+    taken = numbered(narrow, "_size", "_key").groupBy("_s", "target").agg(F.array(*[
+        F.sum(_crossed(F.col("_offsets")[i], position) * F.col("_size")) for i in range(OFFSETS)])
+        .alias("_taken"))
+    misses = F.transform("_taken", lambda t, i: F.struct(
+        F.abs(t - F.col("target")).alias("miss"), i.alias("i")))
+    chosen = settle(taken.select(F.col("_s").alias("_c"), F.array_min(misses)["i"].alias("_i")),
+                    "offsets")
+    best = numbered(placed, size, "_key", *ties).join(chosen, F.col("_s").eqNullSafe(F.col("_c")))
+    copies = _crossed(F.get("_offsets", F.col("_i")), position)
+    return best.select(*kept, "source_size", "target", copies.alias("copies"))
 
 
 def emit(mixed: DataFrame) -> DataFrame:

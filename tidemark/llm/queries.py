@@ -73,19 +73,27 @@ plan as (
     case when is_full then cast(cap as double)
       else cast(total - given as double) * weight / open_weight end as target,
     cast(ceil(n / 4000.0) as bigint) as buckets,
-    cast(cast('0x' || substr(md5('11:' || coalesce(source, chr(0) || 'null')), 1, 5) as bigint)
-         as double) / 1048576.0 as start_at
+    md5('11:' || coalesce(source, chr(0) || 'null')) as digits
   from decided, level),
 placed as (
-  select d.doc_id, d.size, p.source, p.source_size, p.target, p.start_at,
+  select d.doc_id, d.size, p.source, p.source_size, p.target, p.digits,
     case when p.source_size > 0 then p.target / cast(p.source_size as double) else 1.0 end as rate,
     cast(row_number() over (partition by p.source
       order by cast('0x' || substr(k, 1, 8) as bigint) % p.buckets, size, k) as double) as place
-  from keyed d join plan p on d.source is not distinct from p.source)
-select doc_id, size, cast(source_size as bigint) as source_size, target,
-  cast((floor(start_at + place * rate) - floor(start_at + (place - 1.0) * rate)) as bigint) * size
-    as taken
-from placed"""
+  from keyed d join plan p on d.source is not distinct from p.source),
+tried as (
+  select *, cast((floor(start_at + place * rate) - floor(start_at + (place - 1.0) * rate))
+                 as bigint) * size as taken
+  from (select *, cast(cast('0x' || substr(digits, 1, 5) as bigint) as double) / 1048576.0
+          + i / 16.0 as start_at
+        from placed, range(16) t(i))),
+nearest as (
+  select source, i, row_number() over (partition by source
+    order by abs(sum(taken) - target), i) as turn
+  from tried group by source, target, i)
+select t.doc_id, t.size, cast(t.source_size as bigint) as source_size, t.target, t.taken
+from tried t join nearest n on n.source is not distinct from t.source and n.i = t.i
+where n.turn = 1"""
 
 
 @_query
@@ -210,7 +218,8 @@ SQL["op11_phrases"] = r"""
 with pieces as (
   select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) as piece
+-
+]')) as piece
   from documents),
 cut as (select lang, regexp_extract_all(piece, '[^ 	]+') as w from pieces),
 totals as (select lang, sum(len(w)) as n from cut group by lang),
