@@ -180,3 +180,13 @@ def test_a_lake_without_reports_runs_through(spark, lake, first, tmp_path):
     out = run_flow(spark, str(tmp_path), SCHEMAS, f"silver_{tag}", f"gold_{tag}")
     assert out["mirrored"] == ["dim_gold_gobierno_sisben", "dim_gold_gobierno_internet"]
     assert out["manifest"]["model_version"] is None
+    args = (spark, str(tmp_path), SCHEMAS, f"silver_{tag}", f"gold_{tag}")
+    assert run_flow(*args, incremental=True)["added"]["files"] == 0
+    (tmp_path / "raw" / "estudiantes" / "estudiantes_periodo_2035.csv").write_text(
+        "\n".join([HEADER, person(900010, "2035")]) + "\n")
+    more = run_flow(*args, incremental=True)
+    assert more["added"]["files"] == 1 and more["added"]["batch"] == 1
+    assert more["manifest"]["publish_run_id"] == more["run_id"]
+    fact = spark.table(f"gold_{tag}.fact_estudiante_periodo")
+    assert fact.filter("id = 900010").count() == 1
+    assert more["checks"]["rows_of_unknown_periods"] == 1
