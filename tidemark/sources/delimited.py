@@ -39,9 +39,8 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
         .withColumn("n", F.monotonically_increasing_id()).groupBy("file")
         .agg(F.min_by("line", "n").alias("top"))
         .withColumn("header", header_cells(F.col("top"), sep)), "headers")
-    names = header_names(tops)
-    layouts = [list(r["header"]) for r in
-               tops.select("header").distinct().orderBy("header").toLocalIterator()]
+    layouts = header_layouts(tops)
+    names = header_names(layouts)
     parts = []
     for header in layouts:
         files = path if len(layouts) == 1 else [
@@ -84,19 +83,26 @@ def header_cells(line: Column, sep: str) -> Column:
         F.trim(c), '^"|"$', ""), r'""|\\"', '"'))
 
 
-def header_names(headers: DataFrame) -> list[str]:
-    """The distinct names of the arrays ``header``, one per ``file``, by their first place. Only
-    they reach the driver. A name twice in a header is an error that names the file."""
-    twice = headers.filter(F.size(F.array_distinct("header")) < F.size("header")).select(
-        "file", "header").first()
-    if twice:
-        raise ValueError(f"a column name occurs twice in {twice['file']}: {twice['header']}")
-    names = [r["name"] for r in
-             headers.select(F.posexplode("header").alias("at", "name"))
-             .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").toLocalIterator()]
-    if not names:
+def header_layouts(headers: DataFrame) -> list[list[str]]:
+    """The different arrays ``header``; only they reach the driver. A name twice in a header is an
+    error that names the file."""
+    layouts = sorted(list(r["header"]) for r in headers.select("header").distinct().collect())
+    for header in layouts:
+        if len(set(header)) < len(header):
+            file = headers.filter(F.col("header") == F.array(*map(F.lit, header))).first()["file"]
+            raise ValueError(f"a column name occurs twice in {file}: {header}")
+    if not any(layouts):
         raise ValueError("no file has a header")
-    return names
+    return layouts
+
+
+def header_names(layouts: Sequence[Sequence[str]]) -> list[str]:
+    """The distinct names by their first place, then by name."""
+    first: dict[str, int] = {}
+    for header in layouts:
+        for at, name in enumerate(header):
+            first[name] = min(at, first.get(name, at))
+    return sorted(first, key=lambda name: (first[name], name))
 
 
 def by_header(body: DataFrame, headers: DataFrame, sep: str, keep: dict[str, Column]) -> DataFrame:
@@ -107,8 +113,8 @@ def by_header(body: DataFrame, headers: DataFrame, sep: str, keep: dict[str, Col
     names reach the driver. A name that occurs twice in a header, and a cell beyond the header, are
     errors that name the file.
     """
-    names = header_names(headers)
-    width = headers.agg(F.max(F.size("header"))).first()[0]
+    layouts = header_layouts(headers)
+    names, width = header_names(layouts), max(map(len, layouts))
     fields = ", ".join(f"c{i} string" for i in range(width + 1))
     line = F.regexp_replace("line", r"\r$", "")
     split = body.withColumn("_p", F.from_csv(line, F.lit(fields), {"sep": sep})).withColumn(
