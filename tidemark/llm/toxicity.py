@@ -1,245 +1,272 @@
-"""Toxicity by class-conditional Kneser-Ney models over symbols.
-
-Two models, one of the toxic and one of the ordinary labelled texts, give the probability of a
-symbol after the three before it. Both back off to the same lower orders, built from continuation
-counts (in how many contexts a symbol was seen) that the classes share: an expression that is rare
-or unseen in a class costs both models the same, so it does not speak for either.
-
-Symbols are 64 classes of characters: letters without case, white space, digit, punctuation, and 35
-for other letters. Four of them make 2 ** 24 codes; that bounds every table, whatever the corpus
-holds (spread out the ratio table is 32 MB), while the counts in it come from all labelled texts.
-
-Length-normalised log-likelihood ratios of the two models are taken of the whole text, of its words
-and of windows of 16 symbols (:data:`FEATURES`), and a logistic curve makes a probability of them.
-The curve is fitted out of fold: a labelled text is scored with the counts of the other folds.
+"""Toxicity by class-conditional Kneser-Ney models over the letters of words.
+
+A word is a lower-cased run of letters (runs above :data:`LONGEST` letters, as in scripts without
+blanks, are cut). Two models, one of the toxic and one of the ordinary labelled texts, give each
+letter of a word, and its end, a probability after the :data:`ORDER` - 1 letters before it. Both
+interpolate their discounted counts with one model of all labelled texts, which backs off through
+the lower orders by continuation counts (after how many different letters an ending was seen). What
+is rare in a class so costs both models nearly the same; an n-gram that no labelled text holds says
+nothing. As most words are shorter than the order, the ratio of a word is close to that of the
+word's own frequencies, and unknown words are judged by their letters.
+
+A count is the number of labelled texts that hold the word, so a text that repeats itself does not
+weigh more. N-grams are counted as they are, in tables that grow with the labelled text; nothing is hashed to a
+fixed size and no table of them reaches the driver. The terms come from one grouping and two joins
+per order. Every different word of the corpus is valued once, by a join with its n-grams. Words
+that hold at least 1 of :data:`HOT` of all word occurrences, so at most :data:`HOT` by counting, are
+broadcast; each text brings its other words as counts to a join with the table of words.
+
+The length-normalised sum of the words' ratios and what exceeds :data:`STRONG` (:data:`FEATURES`)
+go into a logistic curve, fitted out of fold: a labelled text is valued by the counts of the other
+folds. Ratios are integers of 1 / :data:`UNIT` nat, so sums do not depend on the order of rows.
+
+Null and empty texts and texts without letters have no words: their features are 0 and the curve's
+bias scores them. Equal texts get equal scores, being valued once. Without labelled rows the scores
+are near 0, with labels of one class they are that class's share.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_fold, labelled, map_batches
+from tidemark.llm.common import crc_fold, labelled
 from tidemark.session import settle
 
-ORDER = 4
-BITS = 6
-SYMBOLS = 1 << BITS
-CODES = SYMBOLS ** ORDER
-WINDOW = 16
+ORDER = 6
 DISCOUNT = 0.75
+#: Weight, in counts, of the common model in both classes.
+COMMON = 5.0
 FOLDS = 3
-#: What a word's ratio must exceed (in nats) to count as an expression of the class.
-STRONG = (2.0, 3.0)
+UNIT = 4096
+LONGEST = 24
+HOT = 1 << 18
+#: What a word's ratio must exceed (in nats) to count as an expression of the class; the excess is
+#: added up over a text's different words, as one word repeated is no further evidence.
+STRONG = (2.0, 4.0, 6.0)
 #: Labelled texts that the logistic curve is fitted on, chosen by hash; the counts use all of them.
 CURVE_ROWS = 8192
 CHARACTERS_AT_ONCE = 1 << 20
-MERGE_AT = 1 << 20
-
-FEATURES = ("per symbol, whole text", "per symbol, most toxic window",
-            "strong words per word", "strong words by root of length",
-            "very strong words per word", "very strong words by root of length",
-            "most toxic word", "three most toxic words")
-
-
-def _symbol_table() -> np.ndarray:
-    points = np.arange(0x110000)
-    table = (29 + points % 35).astype(np.uint8)
-    table[:128] = 28  # punctuation and control characters
-    for i in range(26):
-        table[ord("a") + i] = table[ord("A") + i] = 1 + i
-    table[[ord(c) for c in " \t\n\r\x0b\x0c"]] = 0
-    table[ord("0"):ord("9") + 1] = 27
-    table[0xC0:0xDF] = table[0xE0:0xFF]  # accented capitals
-    return table
-
-
-SYMBOL = _symbol_table()
-
-
-def symbol_codes(text: str) -> np.ndarray:
-    """The code of every four symbols in a row; the text stands between white space."""
-    padded = " " * (ORDER - 1) + text + " "
-    symbols = SYMBOL[np.frombuffer(padded.encode("utf-32-le"), np.uint32)].astype(np.int32)
-    n = len(symbols) - ORDER + 1
-    codes = symbols[:n].copy()
-    for i in range(1, ORDER):
-        codes <<= BITS
-        codes |= symbols[i:n + i]
-    return codes
-
-
-def _parts(text: str) -> list[str]:
-    """A very long text in parts that end at a blank where there is one."""
-    parts = []
-    while len(text) > CHARACTERS_AT_ONCE:
-        cut = text.rfind(" ", 0, CHARACTERS_AT_ONCE) + 1 or CHARACTERS_AT_ONCE
-        parts.append(text[:cut])
-        text = text[cut:]
-    return [*parts, text]
-
-
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    counts = np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
-    return codes, counts
-
-
-def class_counts(texts: DataFrame) -> DataFrame:
-    """``code`` with a count per fold and label (``n_<fold>_<label>``) over ``text, fold, label``.
-
-    A task sends one row per code, fold and label at most, so the shuffle is bounded by tasks.
-    """
-    def run(batches):
-        held: dict[tuple[int, int], list] = {}
-        size: dict[tuple[int, int], int] = {}
-        for batch in batches:
-            for text, fold, label in zip(*[batch.column(i).to_pylist() for i in range(3)],
-                                         strict=True):
-                key = (fold, label)
-                for part in _parts(text or ""):
-                    codes = symbol_codes(part)
-                    held.setdefault(key, []).append((codes, np.ones(len(codes), np.int32)))
-                    size[key] = size.get(key, 0) + len(codes)
-                if size[key] > MERGE_AT:
-                    held[key] = [_merged(held[key])]
-                    size[key] = 0
-        for (fold, label), parts in held.items():
-            code, n = _merged(parts)
-            for at in range(0, len(code), 50_000):
-                part = slice(at, at + 50_000)
-                rows = len(code[part])
+WORDS_AT_ONCE = 500_000
+
+START, END = "\x02", "\x03"
+WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
+COUNTS = [f"n_{f}_{c}" for f in range(FOLDS) for c in (0, 1)]
+#: Values of all labelled texts, then without each fold.
+VALUES = [f"v_{v}" for v in range(FOLDS + 1)]
+SUMS = ["total", *[f"strong_{i}" for i in range(len(STRONG))]]
+FEATURES = ("per word, whole text",
+            *[f"above {s} nats, {by}" for s in STRONG for by in ("per word", "by root of words")],
+            "most toxic word")
+
+
+def words_of(text: str | None) -> Counter:
+    """How often each word occurs. A very long text is cut at blanks, where there are any."""
+    words: Counter = Counter()
+    text, at = text or "", 0
+    while at < len(text):
+        end = at + CHARACTERS_AT_ONCE
+        if end < len(text):
+            end = text.rfind(" ", at, end) + 1 or end
+        words.update(WORD.findall(text[at:end].lower()))
+        at = end
+    return words
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch], groups: int, once: bool = False) -> Iterator[pa.RecordBatch]:
+    """``word, group, n`` of batches of ``text, group``; held counts are sent on when they are
+    many, so a task's memory does not depend on its rows."""
+    def rows(held):
+        for group, counts in enumerate(held):
+            if counts:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code[part].astype(np.int32)),
-                     pa.array(np.full(rows, fold, np.int32)),
-                     pa.array(np.full(rows, label, np.int32)), pa.array(n[part])],
-                    names=["code", "fold", "label", "n"])
-    found = texts.select("text", "fold", "label").mapInArrow(
-        run, "code int, fold int, label int, n long")
-    return found.groupBy("code").agg(*[
-        F.coalesce(F.sum(F.when((F.col("fold") == f) & (F.col("label") == c), F.col("n"))),
-                   F.lit(0)).alias(f"n_{f}_{c}") for f in range(FOLDS) for c in (0, 1)])
-
-
-def _discounted(counts: np.ndarray, context: np.ndarray, lower: np.ndarray) \
-        -> tuple[np.ndarray, np.ndarray]:
-    """Interpolated Kneser-Ney for events with counts, grouped by context number; and the weight
-    that each event's context gives to the lower order."""
-    total = np.bincount(context, counts)[context]
-    kinds = np.bincount(context, counts > 0)[context]
-    weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-    own = np.where(total > 0, np.maximum(counts - DISCOUNT, 0) / np.maximum(total, 1), 0.0)
-    return own + weight * lower, weight
-
-
-def _shared_backoff(codes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of an order and their probabilities from continuation counts: how many distinct codes
-    of the next higher order end in them. ``codes`` holds those endings, repeated."""
-    seen, counts = np.unique(codes, return_counts=True)
-    if order == 1:
-        lower = np.full(len(seen), 1 / SYMBOLS)
-    else:
-        short = seen & (SYMBOLS ** (order - 1) - 1)
-        below, p = _shared_backoff(short, order - 1)
-        lower = p[np.searchsorted(below, short)]
-    context = np.unique(seen >> BITS, return_inverse=True)[1]
-    return seen, _discounted(counts, context, lower)[0]
-
-
-@dataclass
-class Ratio:
-    """log p(symbol | context, toxic) - log p(symbol | context, ordinary).
-
-    ``values`` of the ``codes`` seen, and of the ``contexts`` seen the ratio of their backoff
-    weights, which a symbol unseen there gets: the shared backoff itself cancels. An unknown context
-    says nothing. Only this goes over the network; a process spreads it out once, over all codes.
-    """
-
-    codes: np.ndarray
-    values: np.ndarray
-    contexts: np.ndarray
-    backoff: np.ndarray
-
-    def spread(self) -> np.ndarray:
-        """The ratio of every code."""
-        table = np.zeros(CODES, np.float16)
-        table.reshape(-1, SYMBOLS)[self.contexts] = self.backoff[:, None]
-        table[self.codes] = self.values
-        return table
-
-    @cached_property
-    def table(self) -> np.ndarray:
-        return self.spread()
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "table"}
-
-
-def log_ratio(codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> Ratio:
-    """The two models' ratio from the counts of each code in either class."""
-    used = (toxic + ordinary) > 0
-    codes, toxic, ordinary = codes[used].astype(np.int64), toxic[used], ordinary[used]
-    if not len(codes):
-        none = np.zeros(0)
-        return Ratio(codes, none, codes, none)
-    endings = codes & (SYMBOLS ** (ORDER - 1) - 1)
-    below, p = _shared_backoff(endings, ORDER - 1)
-    lower = p[np.searchsorted(below, endings)]
-    contexts, of = np.unique(codes >> BITS, return_inverse=True)
-    p_toxic, w_toxic = _discounted(toxic, of, lower)
-    p_ordinary, w_ordinary = _discounted(ordinary, of, lower)
-    backoff = np.zeros(len(contexts))
-    backoff[of] = np.log(w_toxic) - np.log(w_ordinary)
-    values = np.log(p_toxic) - np.log(p_ordinary)
-    return Ratio(codes.astype(np.int32), values.astype(np.float16), contexts.astype(np.int32),
-                 backoff.astype(np.float16))
-
-
-def text_ratios(text: str, ratio: np.ndarray) -> np.ndarray:
-    """:data:`FEATURES` of a text by the table ``ratio``.
-
-    Windows and words end with the parts of a very long text.
-    """
-    total = symbols = words = 0.0
-    window, strong, top = -np.inf, np.zeros(len(STRONG)), np.zeros(0)
-    for part in _parts(text):
-        codes = symbol_codes(part)
-        values = ratio[codes].astype(np.float64)
-        sums = np.concatenate([[0.0], np.cumsum(values)])
-        total += sums[-1]
-        symbols += len(values)
-        if len(values) > WINDOW:
-            window = max(window, (sums[WINDOW:] - sums[:-WINDOW]).max())
+                    [pa.array(counts.keys(), pa.string()),
+                     pa.array(np.full(len(counts), group, np.int32)),
+                     pa.array(counts.values(), pa.int64())], names=["word", "group", "n"])
+    held = [Counter() for _ in range(groups)]
+    for batch in batches:
+        for text, group in zip(*[batch.column(i).to_pylist() for i in range(2)], strict=True):
+            held[group].update(words_of(text).keys() if once else words_of(text))
+            if sum(map(len, held)) > WORDS_AT_ONCE:
+                yield from rows(held)
+                held = [Counter() for _ in range(groups)]
+    yield from rows(held)
+
+
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """``word, n`` over the column ``text``."""
+    found = texts.select("text", F.lit(0).alias("group")).mapInArrow(
+        lambda batches: _word_rows(batches, 1), "word string, group int, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def class_words(texts: DataFrame) -> DataFrame:
+    """``word`` with a count per fold and label (:data:`COUNTS`) over ``text, fold, label``."""
+    found = texts.select("text", (F.col("fold") * 2 + F.col("label")).alias("group")).mapInArrow(
+        lambda batches: _word_rows(batches, 2 * FOLDS, once=True),
+        "word string, group int, n long")
+    return found.groupBy("word").agg(*[
+        F.coalesce(F.sum(F.when(F.col("group") == g, F.col("n"))), F.lit(0)).alias(name)
+        for g, name in enumerate(COUNTS)])
+
+
+def ngrams(word: Column) -> Column:
+    """The n-grams that end at each letter of a word and at its end."""
+    padded = F.concat(F.lit(START * (ORDER - 1)), word, F.lit(END))
+    return F.transform(F.sequence(F.lit(1), F.length(word) + 1),
+                       lambda i: padded.substr(i, F.lit(ORDER)))
+
+
+def gram_counts(words: DataFrame) -> DataFrame:
+    """``gram`` and :data:`COUNTS` of a :func:`class_words` table."""
+    return (words.select(F.explode(ngrams(F.col("word"))).alias("gram"), *COUNTS)
+            .groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]))
+
+
+def shared_backoff(grams: DataFrame) -> DataFrame:
+    """``ending, lower``: Kneser-Ney probabilities of order :data:`ORDER` - 1 by continuation."""
+    levels = {}
+    above, name = grams, "gram"
+    for order in range(ORDER - 1, 0, -1):
+        above = levels[order] = settle(
+            above.groupBy(F.substring(name, 2, order).alias("ending"))
+            .agg(F.count("*").alias("n")), f"endings-{order}")
+        name = "ending"
+    below = None
+    for order in range(1, ORDER):
+        level = levels[order].withColumn("h", F.substring("ending", 1, order - 1))
+        contexts = level.groupBy("h").agg(F.sum("n").alias("sum"), F.count("*").alias("kinds"))
+        joined = level.join(contexts, "h")
+        if below is None:
+            joined = joined.withColumn("rest", 1 / (F.col("kinds") + 1))
         else:
-            window = max(window, sums[-1])
-        ends = (codes & (SYMBOLS - 1)) == 0
-        by_word = np.add.reduceat(values, np.flatnonzero(np.append(True, ends[:-1])))
-        words += len(by_word)
-        strong += [np.maximum(by_word - s, 0).sum() for s in STRONG]
-        top = np.sort(np.append(top, by_word))[-3:]
-    out = [total / symbols, window / WINDOW]
-    for value in strong:
-        out += [10 * value / words, value / np.sqrt(words)]
-    return np.array([*out, top[-1], top.mean()])
-
-
-@dataclass
-class ToxicityModel:
-    """``ratio`` and the curve ``1 / (1 + exp(-(bias + weights . features)))``."""
-
-    ratio: Ratio
-    weights: np.ndarray
-    bias: float
-
-    def score(self, text: str) -> float:
-        z = self.bias + float(self.weights @ text_ratios(text, self.ratio.table))
-        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+            joined = joined.withColumn("short", F.substring("ending", 2, order - 1)).join(
+                below.select(F.col("ending").alias("short"), F.col("lower").alias("rest")),
+                "short")
+        below = settle(joined.select("ending", (
+            (F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("rest")) / F.col("sum"))
+            .alias("lower")), f"backoff-{order}")
+    return below
+
+
+def gram_values(grams: DataFrame) -> DataFrame:
+    """``gram`` and :data:`VALUES`, log p(letter | letters before, toxic) less the same of ordinary
+    texts, of a settled :func:`gram_counts` table."""
+    def counts(variant: int, label: int) -> Column:
+        return sum((F.col(f"n_{f}_{label}") for f in range(FOLDS) if f != variant - 1), F.lit(0))
+
+    own = {f"{label}_{v}": counts(v, label) for v in range(FOLDS + 1) for label in (0, 1)}
+    own["all"] = counts(0, 0) + counts(0, 1)
+    marked = grams.withColumns({"h": F.substring("gram", 1, ORDER - 1),
+                                "ending": F.substring("gram", 2, ORDER - 1),
+                                **{f"c_{k}": c for k, c in own.items()}})
+    contexts = marked.groupBy("h").agg(
+        *[F.sum(f"c_{k}").alias(f"sum_{k}") for k in own],
+        *[F.count_if(F.col(f"c_{k}") > 0).alias(f"kinds_{k}") for k in own])
+    joined = marked.join(contexts, "h").join(shared_backoff(grams), "ending")
+
+    def p(key: str, rest: Column, weight: float) -> Column:
+        kept = F.greatest(F.col(f"c_{key}") - DISCOUNT, F.lit(0.0))
+        return (kept + (DISCOUNT * F.col(f"kinds_{key}") + weight) * rest) / (
+            F.col(f"sum_{key}") + weight)
+
+    joined = joined.withColumn("common", p("all", F.col("lower"), 0.0))
+    return joined.select("gram", *[
+        F.when(F.col(f"c_0_{v}") + F.col(f"c_1_{v}") > 0, F.round(UNIT * (
+            F.log(p(f"1_{v}", F.col("common"), COMMON))
+            - F.log(p(f"0_{v}", F.col("common"), COMMON)))).cast("int")).otherwise(0).alias(name)
+        for v, name in enumerate(VALUES)])
+
+
+def word_values(words: DataFrame, values: DataFrame) -> DataFrame:
+    """``word, n`` and :data:`VALUES` of every word; n-grams that were not seen say nothing."""
+    spread = words.select("word", "n", F.explode(ngrams(F.col("word"))).alias("gram"))
+    return spread.join(values, "gram", "left").groupBy("word").agg(
+        F.first("n").alias("n"),
+        *[F.coalesce(F.sum(v), F.lit(0)).cast("int").alias(v) for v in VALUES])
+
+
+def _text_rows(batches: Iterator[pa.RecordBatch], place: dict[str, int], table: np.ndarray) \
+        -> Iterator[pa.RecordBatch]:
+    """Sums over the words of ``place`` for batches of ``id, variant, text``, and the others."""
+    cuts = [int(s * UNIT) for s in STRONG]
+    kinds = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int32())]))
+    names = ["id", "variant", "words", *SUMS, "top", "rare"]
+
+    def out(rows):
+        columns = list(zip(*rows, strict=True))
+        types = [pa.binary(), pa.int32(), *[pa.int64()] * (len(SUMS) + 2)]
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
+        offsets = np.cumsum([0, *map(len, columns[-2])])
+        flat = pa.StructArray.from_arrays(
+            [pa.array([w for ws in columns[-2] for w in ws], pa.string()),
+             pa.array([n for ns in columns[-1] for n in ns], pa.int32())], ["word", "times"])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat).cast(kinds)
+        return pa.RecordBatch.from_arrays([*arrays, lists], names=names)
+
+    for batch in batches:
+        rows, held = [], 0
+        for own, variant, text in zip(*[batch.column(i).to_pylist() for i in range(3)],
+                                      strict=True):
+            words = words_of(text)
+            known = [(place[w], n) for w, n in words.items() if w in place]
+            rare = [w for w in words if w not in place]
+            at, times = np.array(known, np.int64).reshape(-1, 2).T
+            v = table[at, variant].astype(np.int64)
+            rows.append((own, variant, words.total(), int(v @ times),
+                         *[int(np.maximum(v - c, 0).sum()) for c in cuts],
+                         int(v.max(initial=0)), rare, [words[w] for w in rare]))
+            held += len(rare) + 1
+            if held > WORDS_AT_ONCE // 4:
+                yield out(rows)
+                rows, held = [], 0
+        if rows:
+            yield out(rows)
+
+
+def text_features(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """``id`` and an array ``x`` of :data:`FEATURES` per different id of ``id, variant, text``.
+
+    ``words`` is a settled :func:`word_values` table; equal ids must have equal texts.
+    """
+    spark = texts.sparkSession
+    every = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.col("n") * HOT >= every
+    # a word with a share of 1 / HOT or more: there are at most HOT of them
+    known = words.filter(hot).select("word", *VALUES).toPandas()
+    place = {w: i for i, w in enumerate(known["word"])}
+    shared = spark.sparkContext.broadcast(
+        (place, known[VALUES].to_numpy(np.int32).reshape(-1, len(VALUES))))
+    schema = ", ".join(["id binary, variant int, words long", *[f"{s} long" for s in SUMS],
+                        "top long, rare array<struct<word string, times int>>"])
+    parts = settle(texts.select("id", "variant", "text").mapInArrow(
+        lambda batches: _text_rows(batches, *shared.value), schema).dropDuplicates(["id"]), "texts")
+    shared.unpersist()
+    rare = parts.select("id", "variant", F.explode("rare").alias("r")).select(
+        "id", "variant", F.col("r.word").alias("word"), F.col("r.times").alias("times"))
+    value = F.element_at(F.array(*VALUES), F.col("variant") + 1).cast("long")
+    more = rare.join(words.filter(~hot).select("word", *VALUES), "word").select(
+        "id", "times", value.alias("v")).groupBy("id").agg(
+        F.sum(F.col("v") * F.col("times")).alias("more_total"),
+        *[F.sum(F.greatest(F.col("v") - int(s * UNIT), F.lit(0))).alias(f"more_strong_{i}")
+          for i, s in enumerate(STRONG)],
+        F.max("v").alias("more_top"))
+
+    def whole(name: str) -> Column:
+        return F.col(name) + F.coalesce(F.col(f"more_{name}"), F.lit(0))
+    n = F.greatest(F.col("words"), F.lit(1)).cast("double")
+    x = [whole("total") / UNIT / n]
+    for i in range(len(STRONG)):
+        x += [10 * whole(f"strong_{i}") / UNIT / n, whole(f"strong_{i}") / UNIT / F.sqrt(n)]
+    x.append(F.greatest(F.col("top"), F.coalesce(F.col("more_top"), F.lit(0))) / UNIT)
+    return parts.join(more, "id", "left").select("id", F.array(*x).alias("x"))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[np.ndarray, float]:
@@ -263,63 +290,62 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[np.ndar
     return weights, float(beta[0] - weights @ mean)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id",
-          text: str = "text") -> ToxicityModel:
-    """Fit on all labelled rows that are handed over (filter the held-out ones first).
+def _digest(text: Column, variant: Column) -> Column:
+    return F.unhex(F.md5(F.concat(variant.cast("string"), F.coalesce(text, F.lit("")))))
 
-    Without any labelled row every score is near 0; with one class only it is that class's share.
-    """
+
+@dataclass
+class ToxicityModel:
+    """The settled values of words and the curve ``1 / (1 + exp(-(bias + weights . features)))``."""
+
+    words: DataFrame
+    weights: np.ndarray
+    bias: float
+
+
+def train(docs: DataFrame, labels: DataFrame, scored: DataFrame, label: str = "toxic",
+          key: str = "doc_id", text: str = "text") -> ToxicityModel:
+    """Fit on all labelled rows of ``docs`` (filter the held-out ones first) and value the words of
+    ``docs`` and of ``scored``, the rows to be scored, which may hold those of ``docs``."""
     marks = settle(labelled(docs, labels, label, key).withColumn(
         "fold", F.pmod(F.xxhash64(key), F.lit(FOLDS)).cast("int")), "labels")
     # a hash table of the narrow side: the texts are moved once and not sorted
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(
         marks.hint("shuffle_hash"), F.col("_key") == F.col(key))
-    # a row per code that occurs: at most 2 ** 24 for any corpus, some 10 ** 5 for natural text
-    found = class_counts(texts).toPandas()
-    codes = found["code"].to_numpy()
-    by = {(f, c): found[f"n_{f}_{c}"].to_numpy() for f in range(FOLDS) for c in (0, 1)}
-    whole = [sum(by[f, c] for f in range(FOLDS)) for c in (0, 1)]
-    others = docs.sparkSession.sparkContext.broadcast(
-        [log_ratio(codes, whole[1] - by[f, 1], whole[0] - by[f, 0]) for f in range(FOLDS)])
-
-    def out_of_fold(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        x: list = [None] * len(texts)
-        for fold in set(folds):  # one table at a time
-            table = others.value[fold].spread()
-            for i, (text, own) in enumerate(zip(texts, folds, strict=True)):
-                if own == fold:
-                    x[i] = text_ratios(text or "", table).tolist()
-        return pa.RecordBatch.from_arrays(
-            [batch.column(2), batch.column(3), pa.array(x, pa.list_(pa.float64()))],
-            names=["id", "label", "x"])
+    grams = settle(gram_counts(class_words(texts)), "grams")
+    values = settle(gram_values(grams), "gram-values")
+    corpus = settle(vocabulary(scored.select(F.col(text).alias("text"))), "vocabulary")
+    words = settle(word_values(corpus, values), "words")
 
     sample = settle(marks.orderBy(F.xxhash64(key, F.lit(5)), key).limit(CURVE_ROWS), "curve")
     # CURVE_ROWS narrow rows bound this broadcast
-    fitted = map_batches(
-        docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
-        .join(F.broadcast(sample), F.col("_key") == F.col(key))
-        .select("text", "fold", F.col(key).cast("string").alias("id"), "label"),
-        out_of_fold, "id string, label int, x array<double>").toPandas()
-    others.unpersist()
-    rows = sorted(zip(fitted["id"], fitted["label"], map(tuple, fitted["x"]), strict=True))
+    chosen = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(
+        F.broadcast(sample), F.col("_key") == F.col(key)).withColumn(
+        "variant", F.col("fold") + 1)
+    chosen = chosen.withColumn("id", _digest(F.col("text"), F.col("variant")))
+    fitted = text_features(chosen, words).join(
+        chosen.select("id", F.col(key).cast("string").alias("key"), "label"), "id").select(
+        "key", "label", "x").toPandas()
+    rows = sorted(zip(fitted["key"], fitted["label"], map(tuple, fitted["x"]), strict=True))
     weights, bias = fit_curve(np.array([r[2] for r in rows]).reshape(-1, len(FEATURES)),
                               np.array([r[1] for r in rows], np.float64))
-    return ToxicityModel(log_ratio(codes, whole[1], whole[0]), weights, bias)
+    return ToxicityModel(words, weights, bias)
 
 
 def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text",
           carry: bool = False) -> DataFrame:
-    """``key, score`` per row, or all columns and ``score`` with ``carry``; null text as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def toxicity(values: pd.Series) -> pd.Series:
-        model = shared.value
-        return pd.Series([model.score(v or "") for v in values], dtype="float64")
-
+    """``key, score`` per row, or all columns and ``score`` with ``carry``."""
+    own = _digest(F.col(text), F.lit(0))
+    found = text_features(docs.select(own.alias("id"), F.lit(0).alias("variant"),
+                                      F.col(text).alias("text")), model.words)
+    z = F.lit(model.bias)
+    for i, weight in enumerate(model.weights):
+        z = z + float(weight) * F.get("x", F.lit(i))
+    scored = found.select(F.col("id").alias("_id"), (
+        1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))).alias("_score"))
     kept = [c for c in docs.columns if c != "score"] if carry else [key]
-    return docs.withColumn("score", toxicity(F.col(text))).select(*kept, "score")
+    return docs.join(scored, own == F.col("_id")).select(
+        *[docs[f"`{c}`"] for c in kept], F.col("_score").alias("score"))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, carry: bool = False,
@@ -331,7 +357,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, carry: bool = False,
     """
     fold = crc_fold(F.col("doc_id"), folds)
     seen = fold.isNull() | (fold != held_out)
-    model = train(docs.filter(seen), labels.filter(seen))
+    model = train(docs.filter(seen), labels.filter(seen), docs)
     kept = docs.drop("held_out", "predicted") if carry else docs
     return score(kept, model, carry=carry).withColumns({
         "held_out": F.coalesce(fold == held_out, F.lit(False)),
