@@ -129,20 +129,26 @@ def test_kneser_ney_terms_equal_plain_loops(spark):
         spark.createDataFrame([("quite another vocabulary", 0, 0)], texts.schema)))).count()
 
 
-def test_rare_words_are_valued_like_frequent_ones(spark, monkeypatch):
+def test_words_off_the_lookup_are_valued_like_the_others(spark, monkeypatch):
     texts = spark.createDataFrame(TEXTS, "text string, fold int, label int")
-    values = toxicity.gram_values(toxicity.gram_counts(toxicity.class_words(texts)).cache())
-    some = spark.createDataFrame([(t,) for t, *_ in TEXTS] * 2 + [("clowns & idiots " * 50,)],
+    values = toxicity.gram_values(
+        toxicity.gram_counts(toxicity.class_words(texts)).cache()).cache()
+    some = spark.createDataFrame([(t or "",) for t, *_ in TEXTS] * 2 + [("clowns & idiots " * 50,)],
                                  "text string")
-    words = toxicity.word_values(toxicity.vocabulary(some), values).cache()
-    plain = {r["word"]: r["v_2"] / toxicity.UNIT for r in words.collect()}
-    given = some.select(F.md5("text").cast("binary").alias("id"), F.lit(2).alias("variant"),
-                        "text").fillna("").dropna()
-    found = []
-    for hot in (1 << 18, 20, 1):  # all words broadcast, some, none
+    words = spark.createDataFrame([(w,) for w in sorted({w for r in some.collect()
+                                                         for w in toxicity.words_of(r[0])})],
+                                  "word string")
+    plain = {r["word"]: r["v_2"] / toxicity.UNIT
+             for r in toxicity.word_values(words, values).collect()}
+    given = some.select(F.md5("text").cast("binary").alias("id"), F.lit(2).alias("variant"), "text")
+    found, held = [], []
+    for hot in (1 << 19, 30, 0):  # all n-grams at hand, some, none
         monkeypatch.setattr(toxicity, "HOT", hot)
+        known = toxicity.lookup(values)
+        held.append(sum(known.value(w, 2) is not None for w in plain))
         found.append({bytes(r["id"]): r["x"]
-                      for r in toxicity.text_features(given, words).collect()})
+                      for r in toxicity.text_features(given, values, known).collect()})
+    assert held[0] == len(plain) and held[0] > held[1] >= held[2]
     assert found[0].keys() == found[1].keys() == found[2].keys()
     for row in given.collect():
         own = toxicity.words_of(row["text"])

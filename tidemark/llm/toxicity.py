@@ -11,10 +11,11 @@ word's own frequencies, and unknown words are judged by their letters.
 
 A count is the number of labelled texts that hold the word, so a text that repeats itself does not
 weigh more. N-grams are counted as they are, in tables that grow with the labelled text; nothing is hashed to a
-fixed size and no table of them reaches the driver. The terms come from one grouping and two joins
-per order. Every different word of the corpus is valued once, by a join with its n-grams. Words
-that hold at least 1 of :data:`HOT` of all word occurrences, so at most :data:`HOT` by counting, are
-broadcast; each text brings its other words as counts to a join with the table of words.
+fixed size and the table of them stays in Spark. The terms come from one grouping and two joins per
+order. Tasks get the most frequent n-grams, at most :data:`HOT`, and a bitmap of hashes of the others
+(:class:`Lookup`, 8 MB), and value the words whose n-grams are all among the first or in neither.
+Each text brings its other words to a join with their values, which a join with all n-grams gives:
+the lookup spares work and changes no value.
 
 The length-normalised sum of the words' ratios and what exceeds :data:`STRONG` (:data:`FEATURES`)
 go into a logistic curve, fitted out of fold: a labelled text is valued by the counts of the other
@@ -31,9 +32,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +51,9 @@ FOLDS = 3
 UNIT = 4096
 LONGEST = 24
 HOT = 1 << 18
+BITMAP = 1 << 26
+#: Values of words that a process remembers.
+MEMO = 300_000
 #: What a word's ratio must exceed (in nats) to count as an expression of the class; the excess is
 #: added up over a text's different words, as one word repeated is no further evidence.
 STRONG = (2.0, 4.0, 6.0)
@@ -80,9 +86,9 @@ def words_of(text: str | None) -> Counter:
     return words
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch], groups: int, once: bool = False) -> Iterator[pa.RecordBatch]:
-    """``word, group, n`` of batches of ``text, group``; held counts are sent on when they are
-    many, so a task's memory does not depend on its rows."""
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word, group, n`` of batches of ``text, group``, a text counting once for a word; held
+    counts are sent on when they are many, so a task's memory does not depend on its rows."""
     def rows(held):
         for group, counts in enumerate(held):
             if counts:
@@ -90,28 +96,20 @@ def _word_rows(batches: Iterator[pa.RecordBatch], groups: int, once: bool = Fals
                     [pa.array(counts.keys(), pa.string()),
                      pa.array(np.full(len(counts), group, np.int32)),
                      pa.array(counts.values(), pa.int64())], names=["word", "group", "n"])
-    held = [Counter() for _ in range(groups)]
+    held = [Counter() for _ in range(2 * FOLDS)]
     for batch in batches:
         for text, group in zip(*[batch.column(i).to_pylist() for i in range(2)], strict=True):
-            held[group].update(words_of(text).keys() if once else words_of(text))
+            held[group].update(words_of(text).keys())
             if sum(map(len, held)) > WORDS_AT_ONCE:
                 yield from rows(held)
-                held = [Counter() for _ in range(groups)]
+                held = [Counter() for _ in range(2 * FOLDS)]
     yield from rows(held)
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """``word, n`` over the column ``text``."""
-    found = texts.select("text", F.lit(0).alias("group")).mapInArrow(
-        lambda batches: _word_rows(batches, 1), "word string, group int, n long")
-    return found.groupBy("word").agg(F.sum("n").alias("n"))
-
-
 def class_words(texts: DataFrame) -> DataFrame:
     """``word`` with a count per fold and label (:data:`COUNTS`) over ``text, fold, label``."""
     found = texts.select("text", (F.col("fold") * 2 + F.col("label")).alias("group")).mapInArrow(
-        lambda batches: _word_rows(batches, 2 * FOLDS, once=True),
-        "word string, group int, n long")
+        _word_rows, "word string, group int, n long")
     return found.groupBy("word").agg(*[
         F.coalesce(F.sum(F.when(F.col("group") == g, F.col("n"))), F.lit(0)).alias(name)
         for g, name in enumerate(COUNTS)])
@@ -157,7 +155,7 @@ def shared_backoff(grams: DataFrame) -> DataFrame:
 
 
 def gram_values(grams: DataFrame) -> DataFrame:
-    """``gram`` and :data:`VALUES`, log p(letter | letters before, toxic) less the same of ordinary
+    """``gram, n`` and :data:`VALUES`, log p(letter | letters before, toxic) less the same of ordinary
     texts, of a settled :func:`gram_counts` table."""
     def counts(variant: int, label: int) -> Column:
         return sum((F.col(f"n_{f}_{label}") for f in range(FOLDS) if f != variant - 1), F.lit(0))
@@ -178,7 +176,7 @@ def gram_values(grams: DataFrame) -> DataFrame:
             F.col(f"sum_{key}") + weight)
 
     joined = joined.withColumn("common", p("all", F.col("lower"), 0.0))
-    return joined.select("gram", *[
+    return joined.select("gram", F.col("c_all").alias("n"), *[
         F.when(F.col(f"c_0_{v}") + F.col(f"c_1_{v}") > 0, F.round(UNIT * (
             F.log(p(f"1_{v}", F.col("common"), COMMON))
             - F.log(p(f"0_{v}", F.col("common"), COMMON)))).cast("int")).otherwise(0).alias(name)
@@ -186,16 +184,78 @@ def gram_values(grams: DataFrame) -> DataFrame:
 
 
 def word_values(words: DataFrame, values: DataFrame) -> DataFrame:
-    """``word, n`` and :data:`VALUES` of every word; n-grams that were not seen say nothing."""
-    spread = words.select("word", "n", F.explode(ngrams(F.col("word"))).alias("gram"))
-    return spread.join(values, "gram", "left").groupBy("word").agg(
-        F.first("n").alias("n"),
-        *[F.coalesce(F.sum(v), F.lit(0)).cast("int").alias(v) for v in VALUES])
+    """:data:`VALUES` of every ``word``; n-grams that were not seen say nothing."""
+    spread = words.select("word", F.explode(ngrams(F.col("word"))).alias("gram"))
+    return spread.join(values.drop("n"), "gram", "left").groupBy("word").agg(
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in VALUES])
 
 
-def _text_rows(batches: Iterator[pa.RecordBatch], place: dict[str, int], table: np.ndarray) \
-        -> Iterator[pa.RecordBatch]:
-    """Sums over the words of ``place`` for batches of ``id, variant, text``, and the others."""
+@dataclass
+class Lookup:
+    """Values of the most frequent n-grams and a bitmap of hashes of the others."""
+
+    grams: pa.ChunkedArray
+    values: np.ndarray
+    others: np.ndarray
+
+    @cached_property
+    def place(self) -> dict[str, int]:
+        return {g: i for i, g in enumerate(self.grams.to_pylist())}
+
+    @cached_property
+    def memo(self) -> list[dict[str, int | None]]:
+        return [{} for _ in VALUES]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("place", "memo")}
+
+    def value(self, word: str, variant: int) -> int | None:
+        """The word's value, None if it takes an n-gram that is not at hand."""
+        memo = self.memo[variant]
+        if word in memo:
+            return memo[word]
+        if len(memo) >= MEMO:
+            memo.clear()
+        padded = START * (ORDER - 1) + word + END
+        found: int | None = 0
+        for i in range(len(word) + 1):
+            gram = padded[i:i + ORDER]
+            at = self.place.get(gram)
+            if at is not None:
+                found += int(self.values[at, variant])
+            else:
+                bit = xxhash.xxh64_intdigest(gram.encode(), 42) & (BITMAP - 1)
+                if self.others[bit >> 3] >> (bit & 7) & 1:
+                    found = None
+                    break
+        memo[word] = found
+        return found
+
+
+def lookup(values: DataFrame) -> Lookup:
+    """Of a settled :func:`gram_values` table; at most :data:`HOT` rows and 8 MB reach the driver."""
+    size = F.floor(8 * F.log2("n")).cast("int")
+    least, held = None, 0
+    for row in values.groupBy(size.alias("size")).agg(F.count("*").alias("n")).orderBy(
+            F.desc("size")).collect():  # eight rows per doubling of a count
+        held += row["n"]
+        if held > HOT:
+            break
+        least = row["size"]
+    frequent = size >= least if least is not None else F.lit(False)
+    known = values.filter(frequent).select("gram", *VALUES).toArrow()
+    bit = F.pmod(F.xxhash64("gram"), F.lit(BITMAP))
+    others = np.zeros(BITMAP // 8, np.uint8)
+    for row in values.filter(~frequent).groupBy(F.floor(bit / 32768).alias("part")).agg(
+            F.bitmap_construct_agg(bit % 32768).alias("bits")).toLocalIterator():
+        bits = np.frombuffer(row["bits"], np.uint8)
+        others[row["part"] * 4096:row["part"] * 4096 + len(bits)] = bits
+    return Lookup(known["gram"], np.column_stack([known[v].to_numpy() for v in VALUES]), others)
+
+
+def _text_rows(batches: Iterator[pa.RecordBatch], known: Lookup) -> Iterator[pa.RecordBatch]:
+    """Sums over the words that ``known`` values, of batches of ``id, variant, text``, and the
+    other words."""
     cuts = [int(s * UNIT) for s in STRONG]
     kinds = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int32())]))
     names = ["id", "variant", "words", *SUMS, "top", "rare"]
@@ -204,10 +264,11 @@ def _text_rows(batches: Iterator[pa.RecordBatch], place: dict[str, int], table:
         columns = list(zip(*rows, strict=True))
         types = [pa.binary(), pa.int32(), *[pa.int64()] * (len(SUMS) + 2)]
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
-        offsets = np.cumsum([0, *map(len, columns[-2])])
+        offsets = np.cumsum([0, *map(len, columns[-1])])
         flat = pa.StructArray.from_arrays(
-            [pa.array([w for ws in columns[-2] for w in ws], pa.string()),
-             pa.array([n for ns in columns[-1] for n in ns], pa.int32())], ["word", "times"])
+            [pa.array([w for pairs in columns[-1] for w, _ in pairs], pa.string()),
+             pa.array([n for pairs in columns[-1] for _, n in pairs], pa.int32())],
+            ["word", "times"])
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat).cast(kinds)
         return pa.RecordBatch.from_arrays([*arrays, lists], names=names)
 
@@ -216,13 +277,18 @@ def _text_rows(batches: Iterator[pa.RecordBatch], place: dict[str, int], table:
         for own, variant, text in zip(*[batch.column(i).to_pylist() for i in range(3)],
                                       strict=True):
             words = words_of(text)
-            known = [(place[w], n) for w, n in words.items() if w in place]
-            rare = [w for w in words if w not in place]
-            at, times = np.array(known, np.int64).reshape(-1, 2).T
-            v = table[at, variant].astype(np.int64)
-            rows.append((own, variant, words.total(), int(v @ times),
-                         *[int(np.maximum(v - c, 0).sum()) for c in cuts],
-                         int(v.max(initial=0)), rare, [words[w] for w in rare]))
+            total, strong, top, rare = 0, [0] * len(cuts), 0, []
+            for word, times in words.items():
+                value = known.value(word, variant)
+                if value is None:
+                    rare.append((word, times))
+                    continue
+                total += value * times
+                if value > cuts[0]:
+                    strong = [s + max(value - c, 0) for s, c in zip(strong, cuts, strict=True)]
+                if value > top:
+                    top = value
+            rows.append((own, variant, words.total(), total, *strong, top, rare))
             held += len(rare) + 1
             if held > WORDS_AT_ONCE // 4:
                 yield out(rows)
@@ -231,29 +297,23 @@ def _text_rows(batches: Iterator[pa.RecordBatch], place: dict[str, int], table:
             yield out(rows)
 
 
-def text_features(texts: DataFrame, words: DataFrame) -> DataFrame:
+def text_features(texts: DataFrame, values: DataFrame, known: Lookup) -> DataFrame:
     """``id`` and an array ``x`` of :data:`FEATURES` per different id of ``id, variant, text``.
 
-    ``words`` is a settled :func:`word_values` table; equal ids must have equal texts.
+    ``values`` is a settled :func:`gram_values` table, ``known`` its :func:`lookup`; equal ids must
+    have equal texts.
     """
-    spark = texts.sparkSession
-    every = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = F.col("n") * HOT >= every
-    # a word with a share of 1 / HOT or more: there are at most HOT of them
-    known = words.filter(hot).select("word", *VALUES).toPandas()
-    place = {w: i for i, w in enumerate(known["word"])}
-    shared = spark.sparkContext.broadcast(
-        (place, known[VALUES].to_numpy(np.int32).reshape(-1, len(VALUES))))
+    shared = texts.sparkSession.sparkContext.broadcast(known)
     schema = ", ".join(["id binary, variant int, words long", *[f"{s} long" for s in SUMS],
                         "top long, rare array<struct<word string, times int>>"])
     parts = settle(texts.select("id", "variant", "text").mapInArrow(
-        lambda batches: _text_rows(batches, *shared.value), schema).dropDuplicates(["id"]), "texts")
+        lambda batches: _text_rows(batches, shared.value), schema).dropDuplicates(["id"]), "texts")
     shared.unpersist()
     rare = parts.select("id", "variant", F.explode("rare").alias("r")).select(
         "id", "variant", F.col("r.word").alias("word"), F.col("r.times").alias("times"))
+    valued = word_values(rare.select("word").distinct(), values)
     value = F.element_at(F.array(*VALUES), F.col("variant") + 1).cast("long")
-    more = rare.join(words.filter(~hot).select("word", *VALUES), "word").select(
-        "id", "times", value.alias("v")).groupBy("id").agg(
+    more = rare.join(valued, "word").select("id", "times", value.alias("v")).groupBy("id").agg(
         F.sum(F.col("v") * F.col("times")).alias("more_total"),
         *[F.sum(F.greatest(F.col("v") - int(s * UNIT), F.lit(0))).alias(f"more_strong_{i}")
           for i, s in enumerate(STRONG)],
@@ -296,17 +356,18 @@ def _digest(text: Column, variant: Column) -> Column:
 
 @dataclass
 class ToxicityModel:
-    """The settled values of words and the curve ``1 / (1 + exp(-(bias + weights . features)))``."""
+    """The settled values of n-grams, their lookup and the curve
+    ``1 / (1 + exp(-(bias + weights . features)))``."""
 
-    words: DataFrame
+    values: DataFrame
+    known: Lookup
     weights: np.ndarray
     bias: float
 
 
-def train(docs: DataFrame, labels: DataFrame, scored: DataFrame, label: str = "toxic",
-          key: str = "doc_id", text: str = "text") -> ToxicityModel:
-    """Fit on all labelled rows of ``docs`` (filter the held-out ones first) and value the words of
-    ``docs`` and of ``scored``, the rows to be scored, which may hold those of ``docs``."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id",
+          text: str = "text") -> ToxicityModel:
+    """Fit on all labelled rows that are handed over (filter the held-out ones first)."""
     marks = settle(labelled(docs, labels, label, key).withColumn(
         "fold", F.pmod(F.xxhash64(key), F.lit(FOLDS)).cast("int")), "labels")
     # a hash table of the narrow side: the texts are moved once and not sorted
@@ -314,8 +375,7 @@ def train(docs: DataFrame, labels: DataFrame, scored: DataFrame, label: str = "t
         marks.hint("shuffle_hash"), F.col("_key") == F.col(key))
     grams = settle(gram_counts(class_words(texts)), "grams")
     values = settle(gram_values(grams), "gram-values")
-    corpus = settle(vocabulary(scored.select(F.col(text).alias("text"))), "vocabulary")
-    words = settle(word_values(corpus, values), "words")
+    known = lookup(values)
 
     sample = settle(marks.orderBy(F.xxhash64(key, F.lit(5)), key).limit(CURVE_ROWS), "curve")
     # CURVE_ROWS narrow rows bound this broadcast
@@ -323,13 +383,13 @@ def train(docs: DataFrame, labels: DataFrame, scored: DataFrame, label: str = "t
         F.broadcast(sample), F.col("_key") == F.col(key)).withColumn(
         "variant", F.col("fold") + 1)
     chosen = chosen.withColumn("id", _digest(F.col("text"), F.col("variant")))
-    fitted = text_features(chosen, words).join(
+    fitted = text_features(chosen, values, known).join(
         chosen.select("id", F.col(key).cast("string").alias("key"), "label"), "id").select(
         "key", "label", "x").toPandas()
     rows = sorted(zip(fitted["key"], fitted["label"], map(tuple, fitted["x"]), strict=True))
     weights, bias = fit_curve(np.array([r[2] for r in rows]).reshape(-1, len(FEATURES)),
                               np.array([r[1] for r in rows], np.float64))
-    return ToxicityModel(words, weights, bias)
+    return ToxicityModel(values, known, weights, bias)
 
 
 def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text",
@@ -337,7 +397,7 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
     """``key, score`` per row, or all columns and ``score`` with ``carry``."""
     own = _digest(F.col(text), F.lit(0))
     found = text_features(docs.select(own.alias("id"), F.lit(0).alias("variant"),
-                                      F.col(text).alias("text")), model.words)
+                                      F.col(text).alias("text")), model.values, model.known)
     z = F.lit(model.bias)
     for i, weight in enumerate(model.weights):
         z = z + float(weight) * F.get("x", F.lit(i))
@@ -357,7 +417,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, carry: bool = False,
     """
     fold = crc_fold(F.col("doc_id"), folds)
     seen = fold.isNull() | (fold != held_out)
-    model = train(docs.filter(seen), labels.filter(seen), docs)
+    model = train(docs.filter(seen), labels.filter(seen))
     kept = docs.drop("held_out", "predicted") if carry else docs
     return score(kept, model, carry=carry).withColumns({
         "held_out": F.coalesce(fold == held_out, F.lit(False)),
