@@ -162,6 +162,14 @@ def test_words_off_the_lookup_are_valued_like_the_others(spark, monkeypatch):
             assert got[bytes(row["id"])] == pytest.approx(x, abs=1e-9)
 
 
+def test_marked_rows_keep_every_marked_key(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("_key"), F.lit("t").alias("text"))
+    marks = spark.range(0, 20_000, 7).select(F.col("id").cast("int").alias("doc_id"))
+    kept = {r[0] for r in toxicity.marked_rows(docs, marks, "doc_id").select("_key").collect()}
+    assert kept >= set(range(0, 20_000, 7)) and len(kept) < 2900
+    assert toxicity.marked_rows(docs, marks.limit(0), "doc_id").count() == 0
+
+
 def test_words_of_long_texts(monkeypatch):
     text = " ".join("abcdefg"[i % 7] * (i % 30 + 1) for i in range(3000))
     whole = toxicity.words_of(text)

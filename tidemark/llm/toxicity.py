@@ -329,6 +329,25 @@ def text_features(texts: DataFrame, values: DataFrame, known: Lookup) -> DataFra
     return parts.join(more, "id", "left").select("id", F.array(*x).alias("x"))
 
 
+def marked_rows(docs: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """Rows of ``docs`` whose ``_key`` may be a ``key`` of ``marks``: all that are, and few others.
+
+    The bits of the hashes of the keys are :data:`BITMAP`, 8 MB whatever ``marks`` holds, which
+    bounds the broadcast; it keeps most unmarked texts out of the shuffle that follows.
+    """
+    def place(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(BITMAP))
+    # hashes depend on the type
+    marks = marks.select(F.col(key).cast(docs.schema["_key"].dataType).alias("_key"))
+    bits = marks.groupBy(F.floor(place("_key") / 32768).alias("_part")).agg(
+        F.bitmap_construct_agg(place("_key") % 32768).alias("_bits"))
+    at = place("_key") % 32768
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    own = F.floor(place("_key") / 32768) == F.col("_part")
+    hit = F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1
+    return docs.join(F.broadcast(bits), own).filter(hit).select(*docs.columns)
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by Newton steps on standardised columns."""
     if len(y) == 0 or y.min() == y.max():
@@ -370,8 +389,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     """Fit on all labelled rows that are handed over (filter the held-out ones first)."""
     marks = settle(labelled(docs, labels, label, key).withColumn(
         "fold", F.pmod(F.xxhash64(key), F.lit(FOLDS)).cast("int")), "labels")
+    named = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
     # a hash table of the narrow side: the texts are moved once and not sorted
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(
+    texts = marked_rows(named, marks, key).join(
         marks.hint("shuffle_hash"), F.col("_key") == F.col(key))
     grams = settle(gram_counts(class_words(texts)), "grams")
     values = settle(gram_values(grams), "gram-values")
