@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.operators.lookup import quantile_cuts
 from tidemark.operators.ordered import (
     exact_quantiles, in_ranges, ranked, running_totals, value_counts_table)
 
@@ -70,3 +71,13 @@ def test_a_hot_value_is_spread_over_ranges(spark):
     assert sum(sizes) == 1200 and max(sizes) <= 400
     out = ranked(df, ["v", "k"], "r", rows_per_range=100)
     assert rows(out.select("k", "r"), "k") == [(i, i + 1) for i in range(1200)]
+
+
+def test_cuts_are_the_exact_discrete_quantiles(spark):
+    df = spark.range(-50, 100_700).select((F.col("id") * 7).alias("x")).repartition(9)
+    positive = [7 * i for i in range(1, 100_700)]
+    want = [positive[-(-100_699 * p // 100) - 1] for p in (33, 66)]
+    got = spark.range(1).select(quantile_cuts(df, "x").alias("c")).first()["c"]
+    assert got == want
+    nothing = spark.range(1).select(quantile_cuts(df.filter("x < 0"), "x").alias("c")).first()["c"]
+    assert nothing == [0, 0]

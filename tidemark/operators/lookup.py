@@ -8,12 +8,14 @@ sort-merges and AQE splits hot keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import band_by_cuts, to_double
 from tidemark.functions.text import canonical_place
+from tidemark.operators.ordered import running_totals, value_counts_table
 from tidemark.session import settle
 
 
@@ -112,14 +114,20 @@ def latest_totals(df: DataFrame, key: str, order: Sequence[str], value: str) ->
                          F.col(f"_s.{order[0]}").alias(f"latest_{order[0]}"))
 
 
-def quantile_cuts(df: DataFrame, value: str, probs: Sequence[float] = (0.33, 0.66),
-                  error: float = 0.01) -> Column:
-    """Cut points over the positive values as a scalar subquery; zeros when there are none."""
-    accuracy = int(round(1 / error))
-    cuts = (df.filter(F.col(value) > 0)
-            .agg(F.percentile_approx(value, list(probs), accuracy).alias("cuts")).scalar())
-    kind = dict(df.dtypes)[value]
-    return F.coalesce(cuts, F.array(*[F.lit(0).cast(kind) for _ in probs]))
+def quantile_cuts(df: DataFrame, value: str, probs: Sequence[float] = (0.33, 0.66)) -> Column:
+    """Cut points over the positive values as a scalar subquery; zeros when there are none.
+
+    The exact discrete quantiles: the smallest value with at least the share of the rows up to it.
+    """
+    counts = value_counts_table(df.filter(F.col(value) > 0), value)
+    reached = running_totals(counts, [value], {"_upto": "n"})
+    rows = F.coalesce(counts.agg(F.sum("n")).scalar(), F.lit(0))
+    # decimals, as 0.33 * n in binary may pass a whole number
+    cuts = reached.agg(F.array(*[
+        F.min(F.when(F.col("_upto") >= rows * F.lit(Decimal(str(p))), F.col(value)))
+        for p in probs]).alias("cuts")).scalar()
+    zero = F.lit(0).cast(dict(df.dtypes)[value])
+    return F.array(*[F.coalesce(F.get(cuts, F.lit(i)), zero) for i in range(len(probs))])
 
 
 def band_column(facts: DataFrame, value: str, cuts: Column, out: str = "band") -> DataFrame:

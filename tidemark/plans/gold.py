@@ -44,7 +44,7 @@ def connectivity_by_code(internet: DataFrame) -> DataFrame:
 
 
 def period_fact(students: DataFrame, calendar: DataFrame, codes: DataFrame, poverty: DataFrame,
-                connectivity: DataFrame, cut_error: float = 0.01,
+                connectivity: DataFrame,
                 last: Column | None = None) -> DataFrame:
     """Fact at grain (id, period).
 
@@ -76,7 +76,7 @@ def period_fact(students: DataFrame, calendar: DataFrame, codes: DataFrame, pove
     fact = enrich_by_code(fact, poverty, "codigo_divipola")
     fact = enrich_by_code(fact, connectivity, "codigo_divipola")
     return band_column(fact, "total_accesos_res",
-                       quantile_cuts(connectivity, "total_accesos_res", error=cut_error),
+                       quantile_cuts(connectivity, "total_accesos_res"),
                        "nivel_conectividad")
 
 

@@ -75,7 +75,7 @@ def gold_fact(spark, sf):
     return period_fact(
         students(spark, sf), calendar, settle(municipality_codes(net), "codes"),
         settle(poverty_by_code(poverty(spark, sf)), "poverty"),
-        settle(connectivity_by_code(net), "connectivity"), cut_error=1e-6)
+        settle(connectivity_by_code(net), "connectivity"))
 
 
 _VALUES = ", ".join(f"('{p}', {a}, '{s}', {o}, '{k}', {n})" for p, a, s, o, k, n in CALENDAR)

@@ -214,4 +214,4 @@ def tercile_bands(spark, sf):
     totals = settle(_totals(spark, sf), "totals")
     facts = enrich_by_code(table(spark, sf, "customer").select("c_custkey"), totals,
                            "c_custkey", "o_custkey")
-    return band_column(facts, "cents", quantile_cuts(totals, "cents", error=1e-6))
+    return band_column(facts, "cents", quantile_cuts(totals, "cents"))
