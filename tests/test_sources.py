@@ -256,3 +256,15 @@ def test_period_files_and_exports_with_other_columns_are_united(spark, tmp_path)
     assert raw_to_silver(spark, str(raw), str(tmp_path / "silver"), "r", {}) == ["estudiantes"]
     got = spark.read.parquet(str(tmp_path / "silver" / "estudiantes"))
     assert rows(got.select("id", "extra", "edad")) == [("1", "x", None), ("2", None, "30")]
+
+
+def test_audit_reads_the_dataset_id_once_per_file(spark):
+    pages = spark.createDataFrame(
+        [("/a/2025/dataset_n48w-gutb.json",)] * 3 + [("/a/hq2v-5umk_part-0000001.json",)]
+        + [("/a/b/x.json/part-00000-1.txt",)] * 2 + [("/a.json/b/part-0",)], "file_path string")
+    audit = page_audit(pages)
+    assert rows(audit.select("dataset", "n_records")) == [
+        ("", 1), ("hq2v-5umk", 1), ("n48w-gutb", 3), ("x", 2)]
+    plan = audit._jdf.queryExecution().optimizedPlan().toString()
+    keys = plan[plan.index("Aggregate ["):].split("], [")[0]
+    assert "file_path" in keys and "regexp_extract" not in keys

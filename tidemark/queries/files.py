@@ -83,9 +83,11 @@ def _write_pages(spark, sf, path):
     pages = (orders.withColumn("page", F.concat_ws("-", "block", cut)).groupBy("page")
              .agg(F.concat(F.lit("["), F.concat_ws(",\n", F.collect_list(record)), F.lit("]"))
                   .alias("value")))
-    empty = spark.range(1).select(F.lit("last").alias("page"),
-                                  F.lit("[]").alias("value"))
-    pages.unionByName(empty).write.partitionBy("page").text(path)
+    empty = spark.range(1).select(F.lit("[]").alias("value"))
+    # a file per row, all in one folder: tasks name and move their files themselves, while a folder
+    # per page would be made, moved and listed one by one on the driver
+    (pages.select("value").unionByName(empty).write.option("maxRecordsPerFile", 1)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path))
 
 
 @query("json_roundtrip", """select cast(o_orderkey as varchar) as o_orderkey,
@@ -93,7 +95,7 @@ def _write_pages(spark, sf, path):
 def json_roundtrip(spark, sf):
     path = fresh_path(spark, "json")
     _write_pages(spark, sf, path)
-    return read_json_array(spark, path, ORDER_SCHEMA).drop("page")
+    return read_json_array(spark, path, ORDER_SCHEMA)
 
 
 @query("pages_union", """select cast(o_orderkey as varchar) as o_orderkey, o_totalprice

@@ -33,7 +33,9 @@ def read_json_array(spark: SparkSession, path: str | Sequence[str],
 def dataset_id(path: Column) -> Column:
     """``…/dataset_<id>.json``, ``…/<id>.json`` and ``…/<id>_part-0000001.json`` give the id, and
     so does a folder of that name with Spark part files inside."""
-    return F.regexp_extract(path, r"(?:dataset_)?([^/]+?)(?:_part-\d+)?\.json(?:/part-[^/]+)?$", 1)
+    # the last two names hold all of it; over a whole path the search tries every start
+    return F.regexp_extract(F.substring_index(path, "/", -2),
+                            r"(?:dataset_)?([^/]+?)(?:_part-\d+)?\.json(?:/part-[^/]+)?$", 1)
 
 
 def route_datasets(spark: SparkSession, path: str | Sequence[str],
@@ -72,7 +74,7 @@ def read_pages(spark: SparkSession, path: str | Sequence[str],
 
 
 def page_audit(pages: DataFrame) -> DataFrame:
-    """Records per dataset and page file."""
-    return (pages.groupBy(dataset_id(F.col("file_path")).alias("dataset"),
-                          F.col("file_path").alias("page_file"))
-            .agg(F.count("*").alias("n_records")))
+    """Records per dataset and page file; the id is read off a path once per file."""
+    return (pages.groupBy(F.col("file_path").alias("page_file"))
+            .agg(F.count("*").alias("n_records"))
+            .select(dataset_id(F.col("page_file")).alias("dataset"), "page_file", "n_records"))
