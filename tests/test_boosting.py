@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.learning import boosting, models
 from tidemark.learning.boosting import MISSING, BinPlan, BoostSettings, fit_trees, plan_bins
 from tidemark.learning.models import fit_balanced, tree_pipeline, with_score
 from tidemark.operators.evaluation import evaluate, score_counts
@@ -120,3 +121,32 @@ def test_as_good_as_filled_trees_where_missing_tells(spark):
         return evaluate(score_counts(scored, "score", "y"), 0.5).first()["pr_auc"]
     ours, theirs = area(native.with_score(test)), area(with_score(filled, test.withColumns(fill)))
     assert ours > theirs - 0.01 and ours > 0.6
+
+
+def test_equal_rows_reach_the_trees_once(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 40, float(i % 8), i % 2) for i in range(400)],
+                                 "id int, x double, y int")
+    seen = []
+
+    class Learner:
+        def getFeaturesCol(self): return "x"
+        def getLabelCol(self): return "y"
+        def getWeightCol(self): return "w"
+        def fit(self, df): seen.append(sorted(tuple(r) for r in df.select("x", "y", "w").collect()))
+
+    models.FoldedRows(Learner())._fit(rows.withColumn("w", F.lit(0.5)))
+    assert seen == [[(float(x), x % 2, 25.0) for x in range(8)]]
+
+    kept = []
+    monkeypatch.setattr(boosting, "settle", lambda df, label: kept.append(df.count()) or df)
+    plan = boosting.BinPlan({"x": [3.5]})
+    boosting.fit_trees(rows, "y", plan, boosting.BoostSettings(trees=1, depth=1))
+    assert kept == [4]
+
+
+def test_bins_part_few_values_and_leave_a_constant_whole(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") == 7, 9.0).otherwise(F.col("id") % 2)
+                                    .alias("a"), F.lit(3.0).alias("b"), F.col("id").cast("double")
+                                    .alias("c"))
+    made = models.Binner(["a", "b", "c"], ["p", "q", "r"], 8)._fit(rows).transform(rows)
+    assert [made.select(c).distinct().count() for c in ("p", "q", "r")] == [3, 1, 8]
