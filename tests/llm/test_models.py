@@ -255,3 +255,13 @@ def test_drawn_passages_are_spread_over_the_text():
     kept = quality.drawn(bag, s)[:, 0]
     assert len(kept) == 20 and (np.diff(kept) > 0).all() and kept[0] < 250 and kept[-1] > 750
     assert quality.drawn(bag[:20], s) is not None and len(quality.drawn(bag[:20], s)) == 20
+
+
+def test_texts_are_not_moved_for_their_scores(spark):
+    """A text meets its score by a digest made before the join, so the join needs no text."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+                    for t in ("documents", "labels"))
+    scored = toxicity.toxicity_scores(docs, labels)
+    lines = scored._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in lines if "Join " in line]
+    assert joins and not [line for line in joins if "md5" in line]

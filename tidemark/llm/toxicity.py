@@ -424,8 +424,10 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
     scored = found.select(F.col("id").alias("_id"), (
         1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))).alias("_score"))
     kept = [c for c in docs.columns if c != "score"] if carry else [key]
-    return docs.join(scored, own == F.col("_id")).select(
-        *[docs[f"`{c}`"] for c in kept], F.col("_score").alias("score"))
+    # the digest is a column before the join, else the texts are moved to make it there
+    named = docs.select(*[docs[f"`{c}`"] for c in kept], own.alias("_own"))
+    return named.join(scored, F.col("_own") == F.col("_id")).select(
+        *[named[f"`{c}`"] for c in kept], F.col("_score").alias("score"))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, carry: bool = False,
