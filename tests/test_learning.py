@@ -4,11 +4,14 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark.learning.features import FeatureSpec, apply_categories, build_features
 from tidemark.learning.features import freeze_categories
+from tidemark.learning import importance
 from tidemark.learning.importance import permuted_rows
+from tidemark.learning.models import fit_balanced, tree_pipeline, with_score
 from tidemark.learning.splits import exact_holdout, group_folds, in_holdout
-from tidemark.learning.training import TrainSettings
+from tidemark.learning.training import TrainSettings, prepare
 from tidemark.plans.fixed import CHURN_SPEC
 from tidemark.plans.model import score_and_save, train_and_save
+from tidemark.session import settle
 from tidemark.sources import load_latest
 
 
@@ -120,3 +123,26 @@ def test_train_save_load_score(spark, modelling, tmp_path):
     limit = metrics["threshold"]["threshold"]
     assert scores.filter((F.col("banda_riesgo") == "alto")
                          != (F.col("score_riesgo") >= limit)).count() == 0
+
+
+def test_permuted_rows_score_as_the_model_scores_them(spark, modelling, monkeypatch):
+    """Shared leaf masks give the model's own scores, and the pairs are dealt by their number."""
+    spec, settings = CHURN_SPEC, TrainSettings(trees=5, depth=4)
+    frames = prepare(spark.read.parquet(modelling), spec, settings)
+    model = fit_balanced(tree_pipeline(frames.numeric, frames.categories, spec.target, "boosted",
+                                       5, 4), frames.train, spec.target)
+    key, features = [spec.entity, spec.period], [*frames.numeric, *frames.categories, "unseen"]
+    test = settle(frames.test.withColumn("unseen", F.lit(1)), "test")
+    monkeypatch.setattr(importance, "PAIRS_PER_TASK", 50)
+    scored = importance.variant_scores(model, test, key, features, spec.target, 2, 7)
+    assert scored.rdd.getNumPartitions() == -(-test.count() * 2 // 50) > 1
+    got = rows(scored.select("target", "feature", "repeat", F.round("score", 12)))
+
+    pairs = permuted_rows(test, key, features, 2, 7)
+    want = [(*r, len(features), 0) for r in with_score(model, test).select(
+        spec.target, F.round("score", 12)).collect()]
+    for i, name in enumerate(features):
+        lent = pairs.withColumn(name, F.col("_perm")[name]).select(*test.columns, "_repeat")
+        want += [(r[0], r[2], i, r[1]) for r in with_score(model, lent).select(
+            spec.target, "_repeat", F.round("score", 12)).collect()]
+    assert got == sorted(((y, i, r, p) for y, p, i, r in want), key=repr)
