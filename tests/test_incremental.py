@@ -13,6 +13,8 @@ from tidemark.plans.gold import silver_to_gold
 from tidemark.plans.incremental import FACTS, raw_files, refresh, silver_students, start_ledger
 from tidemark.plans.silver import raw_to_silver
 from tidemark.session import scratch, settle
+from tidemark.sources import partitions
+from tidemark.sources.partitions import apply_replacement, stage_kept, stage_rows
 
 
 def put(lake, period, *people, header=HEADER):
@@ -129,3 +131,43 @@ def test_what_needs_a_full_run(spark, lake):
         (lake / "raw" / "gobierno" / "n48w-gutb.json").write_text("[]")
         assert refresh(spark, str(lake), "r") is None
     assert refresh(spark, f"{lake}/nowhere", "r") is None
+
+
+def test_duplicates_do_not_depend_on_how_a_period_is_cut_into_files(spark, lake):
+    folder = lake / "raw" / "estudiantes" / "estudiantes_periodo_2032.csv"
+    folder.mkdir()
+    for part, age in (("part-0", 30), ("part-1", 20)):
+        (folder / part).write_text(f"{HEADER}\n{person(501, '2032', age=age)}\n")
+    with scratch(spark):
+        assert refresh(spark, str(lake), "r1")["files"] == 2
+        fact = spark.read.parquet(f"{lake}/gold/{FACTS[0]}").filter("id = '501'")
+        assert [r["edad"] for r in fact.collect()] == ["20"]
+
+
+def test_staged_partitions_are_moved_and_a_stop_in_between_is_finished(spark, tmp_path, monkeypatch):
+    path, staged = str(tmp_path / "table"), str(tmp_path / "staged")
+    schema = "id string, x int, anio int"
+    spark.createDataFrame([("a", 1, 2023), ("a", 1, 2024), ("b", 1, 2025), ("c", 1, 2026)],
+                          schema).write.partitionBy("anio").parquet(path)
+    stage_rows(spark.createDataFrame([("a", 2, 2024), ("a", 2, 2025)], schema), "anio", staged)
+    values = stage_kept(spark, path, spark.createDataFrame([("a",)], "id string"), "id", "anio",
+                        staged)
+    assert values == [2023, 2024, 2025]  # had rows, had and has, has
+    ready = {f for _, _, names in os.walk(staged) for f in names if f.startswith("part-")}
+
+    def stop_in_the_middle(spark, new, old):
+        if "2025" in new:
+            raise RuntimeError("lost")
+        move(spark, new, old)
+    move = partitions.replace_folder
+    monkeypatch.setattr(partitions, "replace_folder", stop_in_the_middle)
+    with pytest.raises(RuntimeError, match="lost"):
+        apply_replacement(spark, path, staged, "anio", values)
+    monkeypatch.undo()
+    for _ in range(2):
+        apply_replacement(spark, path, staged, "anio", values)
+        assert rows(spark.read.parquet(path)) == [
+            ("a", 2, 2024), ("a", 2, 2025), ("b", 1, 2025), ("c", 1, 2026)]
+    now = {f for _, _, names in os.walk(path) for f in names if f.startswith("part-")}
+    assert ready < now  # the files themselves, not a second copy of their rows
+    assert not os.path.exists(f"{path}/anio=2023")

@@ -23,10 +23,12 @@ def code_table(df: DataFrame, place: str, region: str, code: Column) -> DataFram
     """One code (the largest) per canonical (place, region).
 
     Spellings are folded as they are first, so the canonical form is worked out once per
-    distinct spelling and not once per row.
+    distinct spelling and not once per row. The fold is a distinct, which is hashed, where the
+    largest of strings per group would sort all rows; it is settled, as the optimizer leaves out a
+    distinct below a maximum.
     """
-    spelled = df.groupBy(F.col(place).alias("_place"), F.col(region).alias("_region")).agg(
-        F.max(code).alias("code"))
+    spelled = settle(df.select(F.col(place).alias("_place"), F.col(region).alias("_region"),
+                               code.alias("code")).distinct(), "spellings")
     return (spelled.select(canonical_place(F.col("_place")).alias("place"),
                            canonical_place(F.col("_region")).alias("region"), "code")
             .groupBy("place", "region").agg(F.max("code").alias("code")))

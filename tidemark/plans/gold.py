@@ -45,15 +45,23 @@ def connectivity_by_code(internet: DataFrame) -> DataFrame:
 
 def period_fact(students: DataFrame, calendar: DataFrame, codes: DataFrame, poverty: DataFrame,
                 connectivity: DataFrame,
-                last: Column | None = None) -> DataFrame:
+                last: Column | None = None, spelled: DataFrame | None = None) -> DataFrame:
     """Fact at grain (id, period).
 
     ``codes``, ``poverty`` and ``connectivity`` are stored tables, so their joins broadcast by
     size. The facts move twice: once to fold duplicates, once by id for all windows. ``last``, the
-    last semester, has to be given where ``students`` are not all there are.
+    last semester, has to be given where ``students`` are not all there are; ``spelled`` may name
+    a table with the places of all ``students`` that is cheaper to read.
+
+    Of duplicates the first by their own columns stays; from which file and run a row came decides
+    last, so the result does not depend on how a period is cut into files. The calendar comes after
+    the fold, which then moves no columns that follow from the period.
     """
-    fact = dedup_by_key(attach_calendar(students, calendar, "periodo_codigo"),
-                        ["id", "periodo_codigo"])
+    known = students.join(calendar.select("periodo_codigo"), "periodo_codigo", "left_semi")
+    origin = [c for c in known.columns if c == "source_file" or c.startswith("_silver_")]
+    known = known.select(*[c for c in known.columns if c not in origin], *origin)
+    fact = attach_calendar(dedup_by_key(known, ["id", "periodo_codigo"]), calendar,
+                           "periodo_codigo")
     # the last semester from the narrow input, not from the folded fact
     if last is None:
         last = (attach_calendar(students.select("periodo_codigo"), calendar, "periodo_codigo")
@@ -71,7 +79,8 @@ def period_fact(students: DataFrame, calendar: DataFrame, codes: DataFrame, pove
     span = F.col("ultimo_periodo") - F.col("primer_periodo") + 1
     fact = fact.withColumn("tasa_permanencia", F.col("total_periodos_matriculados") / span)
     home = ("municipio_residencia", "departamento_residencia")
-    places = place_codes(students, *home, codes, ("mpio_norm", "depto_norm"), "codigo_divipola")
+    places = place_codes(students if spelled is None else spelled, *home, codes,
+                         ("mpio_norm", "depto_norm"), "codigo_divipola")
     fact = enrich_by_place(fact, places, *home)
     fact = enrich_by_code(fact, poverty, "codigo_divipola")
     fact = enrich_by_code(fact, connectivity, "codigo_divipola")

@@ -8,7 +8,7 @@ they have or had rows are written again.
 A batch is prepared aside and then put in place: ``pending/batch-n`` holds the new partitions and,
 written last, their values. A run that finds such a batch finishes it first. The ledger entry is
 the last step, so a batch that stopped anywhere is either done again from the files or put in place
-again from the prepared partitions, with the same result.
+to the end from the prepared partitions, with the same result.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from tidemark.session import delete_path, settle
 from tidemark.sources.artifacts import artifacts_exist
 from tidemark.sources.delimited import file_pattern
 from tidemark.sources.partitions import (
-    apply_replacement, same_entity, stage_replacement)
+    apply_replacement, same_entity, stage_kept, stage_rows)
 from tidemark.sources.tables import literal_rows, with_gold_audit, with_silver_audit
 
 FACTS = ("fact_estudiante_periodo", "fact_estudiante_semestre")
@@ -90,14 +90,16 @@ def _last_semester(spark: SparkSession, students: DataFrame) -> int | None:
 
 
 def _changes(spark: SparkSession, lake: str, files: DataFrame) -> DataFrame:
-    """``source, file, modified, size, gone`` of files that are new, changed or gone."""
+    """``source, file, modified, size, gone, known`` of files that are new, changed or gone; a known
+    one was there before."""
     entries = _ledger(spark, lake)
     known = entries.groupBy("file").agg(F.max_by(F.struct("source", *STAMP), "batch").alias("was"))
     both = files.join(known.withColumnRenamed("file", "key"), F.col("file") == F.col("key"), "full")
     same = (F.col("was.modified") == F.col("modified")) & (F.col("was.size") == F.col("size"))
     return both.filter(~F.coalesce(same, F.lit(False))).select(
         F.coalesce("source", "was.source").alias("source"), F.coalesce("file", "key").alias("file"),
-        "modified", "size", F.col("file").isNull().alias("gone"))
+        "modified", "size", F.col("file").isNull().alias("gone"),
+        F.col("key").isNotNull().alias("known"))
 
 
 def refresh(spark: SparkSession, lake: str, run_id: str) -> dict[str, Any] | None:
@@ -117,25 +119,31 @@ def refresh(spark: SparkSession, lake: str, run_id: str) -> dict[str, Any] | Non
         further = refresh(spark, lake, run_id)
         return done if further is not None and further["files"] == 0 else further
     changes = settle(_changes(spark, lake, raw_files(spark, f"{lake}/raw")), "changes")
-    kinds = {(r["source"], r["gone"]) for r in
-             changes.select("source", "gone").distinct().toLocalIterator()}
+    kinds = {(r["source"], r["gone"], r["known"]) for r in
+             changes.select("source", "gone", "known").distinct().toLocalIterator()}
     if not kinds:
         return {"files": 0, "batch": batch - 1, "partitions": []}
-    if any(gone or source not in GROWING for source, gone in kinds):
+    if any(gone or source not in GROWING for source, gone, _ in kinds):
         return None
-    if not _prepare(spark, lake, run_id, batch, changes.drop("gone")):
+    if not _prepare(spark, lake, run_id, batch, changes.drop("gone", "known"),
+                    any(known for *_, known in kinds)):
         return None
     return _put_in_place(spark, lake, batch)
 
 
-def _prepare(spark: SparkSession, lake: str, run_id: str, batch: int, changes: DataFrame) -> bool:
-    """Land the files and write the new partitions aside; False if the facts lack a column."""
+def _prepare(spark: SparkSession, lake: str, run_id: str, batch: int, changes: DataFrame,
+             replaces: bool) -> bool:
+    """Land the files and write the new partitions aside; False if the facts lack a column.
+
+    Only where a file replaces rows (``replaces``) are the students before and after compared: what
+    is just added says itself whom it touches, and no period goes.
+    """
     gold, pending = f"{lake}/gold", f"{lake}/pending/batch-{batch}"
     before = settle(_ledger(spark, lake).filter("batch > 0").groupBy("file")
                     .agg(F.max("batch").alias("batch")), "landed-before")
     new = changes.select("file").withColumn("batch", F.lit(batch))
     landed = settle(new.unionByName(before.join(new, "file", "left_anti")), "landed")
-    old_students = _students(spark, lake, before)
+    old_students = _students(spark, lake, before) if replaces else None
     parts = []
     for source, read in GROWING.items():
         paths = [file_pattern(r["file"]) for r in changes.filter(F.col("source") == source)
@@ -144,36 +152,47 @@ def _prepare(spark: SparkSession, lake: str, run_id: str, batch: int, changes: D
             parts.append(normalize_columns(read(spark, paths)))
     rows = normalize_columns(with_silver_audit(union_all(parts, allow_missing=True),
                                                "estudiantes", run_id))
-    (rows.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+    rows = rows.withColumn("batch", F.lit(batch))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
      .parquet(f"{lake}/silver/estudiantes_landings"))
 
     students = _students(spark, lake, landed)
     fact = spark.read.parquet(f"{gold}/{FACTS[0]}")
     if set(students.columns) - set(fact.columns):
         return False
-    last, last_before = (_last_semester(spark, s) for s in (students, old_students))
-    mine = [s.join(new, s["source_file"] == new["file"], "left_semi").select("id")
-            for s in (students, old_students)]
+    last_before = fact.agg(F.max("semestre_orden")).first()[0]
+    if replaces:
+        last = _last_semester(spark, students)
+        mine = [s.join(new, s["source_file"] == new["file"], "left_semi").select("id")
+                for s in (students, old_students)]
+    else:
+        added = (spark.read.schema(rows.schema).parquet(f"{lake}/silver/estudiantes_landings")
+                 .filter(F.col("batch") == batch))
+        last = max((x for x in (last_before, _last_semester(spark, added)) if x is not None),
+                   default=None)
+        mine = [added.select("id")]
     if last != last_before:  # targets that were open, or are again
         since = min(x for x in (last, last_before) if x is not None)
         mine.append(fact.filter(F.col("semestre_orden") >= since).select("id"))
     touched = settle(union_all(mine).distinct(), "touched")
     again = students.join(touched, same_entity(students, touched, "id"), "left_semi")
     calendar = literal_rows(spark, CALENDAR, CALENDAR_SCHEMA)
-    fresh = settle(period_fact(
+    part = period_fact(
         again, calendar, *[stored_dimension(spark, f"{gold}/{name}") for name in (
             "dim_divipola", "dim_pobreza_mpio", "dim_conectividad_mpio")],
-        last=F.lit(last)), "fresh")
-    years = set()
-    for name, part in zip(FACTS, (fresh, semester_fact(fresh)), strict=True):
+        last=F.lit(last), spelled=students)
+    for name in FACTS:
         shape = spark.read.parquet(f"{gold}/{name}")
         part = with_gold_audit(part, run_id)
-        part = part.select(*[F.col(c) if c in part.columns
-                             else F.lit(None).cast(shape.schema[c].dataType).alias(c)
-                             for c in shape.columns])
-        years |= set(stage_replacement(spark, f"{gold}/{name}", part, touched, "id", "anio",
-                                       f"{pending}/{name}"))
+        stage_rows(part.select(*[F.col(c) if c in part.columns
+                                 else F.lit(None).cast(shape.schema[c].dataType).alias(c)
+                                 for c in shape.columns]), "anio", f"{pending}/{name}")
+        if name == FACTS[0]:  # the second fact is built from the first as written
+            part = semester_fact(spark.read.schema(shape.schema).parquet(f"{pending}/{name}"))
+    years = set()
+    for name in FACTS:
+        years |= set(stage_kept(spark, f"{gold}/{name}", touched, "id", "anio",
+                                f"{pending}/{name}"))
     changes.write.mode("overwrite").parquet(f"{pending}/files")
     literal_rows(spark, [(y,) for y in sorted(years)], "anio int").write.mode(
         "overwrite").parquet(f"{pending}/values")

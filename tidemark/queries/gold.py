@@ -16,13 +16,18 @@ from tidemark.sources.tables import literal_rows, write_silver
 CODES = [row[0] for row in CALENDAR] + ["periodo_9998", "periodo_9999"]
 
 
+def nations(spark, sf):
+    """Few rows. Large tables are joined to their own key table first, whose size is known from its
+    file; that of a join is not, and the large table would be shuffled for it."""
+    return table(spark, sf, "nation").join(
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+
 def students(spark, sf):
     """Enrolments from orders: some unknown periods, bad ages, missing strata, odd spellings."""
-    nation = table(spark, sf, "nation").join(
-        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    people = table(spark, sf, "customer").join(nation,
-                                               F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = table(spark, sf, "orders").join(people, F.col("o_custkey") == F.col("c_custkey"))
+    rows = table(spark, sf, "orders").join(table(spark, sf, "customer"),
+                                           F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.join(nations(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     code = F.get(F.array(*[F.lit(x) for x in CODES]), (k % len(CODES)).cast("int"))
     return rows.select(
@@ -39,11 +44,9 @@ def students(spark, sf):
 
 
 def internet(spark, sf):
-    nation = table(spark, sf, "nation").join(
-        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    places = table(spark, sf, "supplier").join(nation,
-                                               F.col("s_nationkey") == F.col("n_nationkey"))
-    lines = table(spark, sf, "lineitem").join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"),
+                                              F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = lines.join(nations(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"))
     segment = (F.when(F.col("l_returnflag") == "N", "CORPORATIVO")
                .when(F.col("l_returnflag") == "A", "RESIDENCIAL - ESTRATO 1")
                .otherwise("RESIDENCIAL"))
@@ -200,7 +203,9 @@ _LANDINGS = 3  # period files land in as many steps
 def landed_facts(spark, sf):
     """A full run on the files of the first periods, then the others by landings; the lake."""
     lake = fresh_path(spark, "lake")
-    people = settle(students(spark, sf), "students")
+    people = fresh_path(spark, "students")
+    students(spark, sf).write.partitionBy("periodo_codigo").parquet(people)
+    people = spark.read.parquet(people)
     write_silver(internet(spark, sf), f"{lake}/silver/gobierno_internet_fijo")
     write_silver(poverty(spark, sf), f"{lake}/silver/gobierno_sisben_iv")
     for step in range(_LANDINGS):
