@@ -63,6 +63,13 @@ def test_permuted_features_are_a_permutation(spark, n):
         assert out.groupBy("id").agg(F.count_distinct("b").alias("d")).filter("d < 2").count() == 0
 
 
+def test_donors_do_not_pass_through_the_driver(spark):
+    """Rows of arrays look small to Catalyst; at 1 GB their broadcast ended the driver."""
+    df = spark.range(50).select("id", F.array(F.col("id")).alias("a"))
+    plan = permuted_rows(df, ["id"], ["a"], 2, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_place" in plan and "HashJoin [_place" not in plan
+
+
 def test_one_row_keeps_its_features_and_none_gives_none(spark):
     df = spark.range(1).withColumn("a", F.lit(5))
     assert [r["_perm"]["a"] for r in permuted_rows(df, ["id"], ["a"], 2, 1).collect()] == [5, 5]
