@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.learning import boosting, models
+from pyspark.ml import PipelineModel
+from tidemark.learning import boosting, models, trees
 from tidemark.learning.boosting import MISSING, BinPlan, BoostSettings, fit_trees, plan_bins
 from tidemark.learning.models import fit_balanced, tree_pipeline, with_score
 from tidemark.operators.evaluation import evaluate, score_counts
@@ -150,3 +151,58 @@ def test_bins_part_few_values_and_leave_a_constant_whole(spark):
                                     .alias("c"))
     made = models.Binner(["a", "b", "c"], ["p", "q", "r"], 8)._fit(rows).transform(rows)
     assert [made.select(c).distinct().count() for c in ("p", "q", "r")] == [3, 1, 8]
+
+
+def filled(spark, n=1500):
+    cats = {"c": ["a", "b", "d", "new", "none"]}
+    fill = {"c": F.coalesce("c", F.lit("none")), "z": F.nanvl("z", F.lit(None).cast("double"))}
+    rows = frame(spark, made(n)).withColumns(fill).withColumn("v", F.rand(3)).localCheckpoint()
+    return rows, tree_pipeline(["x", "z", "v"], cats, "y", trees=12, depth=4)
+
+
+def test_held_rows_give_the_trees_of_spark(spark, monkeypatch, tmp_path):
+    """Sets of bins and categories, a cut of the flag, a constant flag, weights, leaves, gains."""
+    rows, pipeline = filled(spark)
+
+    def of(model):
+        return [r["score"] for r in with_score(model, rows).orderBy("id").collect()]
+    held = fit_balanced(pipeline, rows, "y")
+    monkeypatch.setattr(trees, "MOST_ROWS", 10)
+    own = fit_balanced(pipeline, rows, "y")
+    ours, theirs = held.stages[-1], own.stages[-1]
+    assert np.allclose(of(held), of(own), atol=1e-9)
+    assert [t.numNodes for t in ours.trees] == [t.numNodes for t in theirs.trees]
+    assert any("<=" in t.toDebugString for t in ours.trees)
+    assert np.allclose(ours.featureImportances.toArray(), theirs.featureImportances.toArray())
+    held.write().save(str(tmp_path / "m"))
+    assert of(PipelineModel.load(str(tmp_path / "m"))) == of(held)
+
+
+def test_a_fit_is_few_jobs(spark):
+    """Not two stages per level of a tree, whose tasks the driver starts and remembers."""
+    rows, pipeline = filled(spark, 300)
+    spark.sparkContext.setJobGroup("one fit", "")
+    try:
+        fit_balanced(pipeline, rows, "y")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("one fit")) < 40
+
+
+def test_spark_grows_trees_in_no_more_tasks_than_run_at_once(spark, monkeypatch):
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 10)
+    slots = spark.sparkContext.defaultParallelism
+    spread = [models._spread(spark.range(n)).rdd.getNumPartitions() for n in (5, 20, 5000)]
+    assert spread == [1, 2, slots]
+    monkeypatch.setattr(models, "MOST_ROWS", 100)
+    assert models._spread(spark.range(5000)).rdd.getNumPartitions() == 50
+
+
+def test_trees_refuse_what_is_no_whole_number_and_labels_beside_0_and_1():
+    inputs = trees.Inputs([3], [True])
+    with pytest.raises(ValueError, match="whole"):
+        trees.Grower(np.array([[3]], np.uint8), np.ones(1), np.ones(1), inputs)
+    with pytest.raises(ValueError, match="labels"):
+        trees.Grower(np.array([[1]], np.uint8), np.full(1, 2.0), np.ones(1), inputs)
+    one = trees.Grower(np.ones((4, 1), np.uint8), np.ones(4), np.ones(4), inputs)
+    assert [len(t) for t in one.boosted(2, 5, 0.1)] == [1, 1]
